@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,19 +86,26 @@ def widen(
     base: DataFrame,
     tables: Mapping[str, DataFrame],
     lookups: Sequence[Lookup],
-    hot_rows: int = 1_000_000,
+    hot_rows: int | None = 1_000_000,
+    known: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """``base`` joined with each lookup in turn.
 
-    Each satellite is first scanned for keys with ``hot_rows`` rows or more; that
-    is the only job this starts.  Lookups share no state, so one table may be
-    used several times.
+    Each satellite is first scanned for keys with ``hot_rows`` rows or more
+    (None: not at all); that is the only job this starts.  ``known`` gives base
+    columns that equal one value in every row, so tables joined on them need
+    only be read there.  Lookups share no state, so one table may be used
+    several times.
     """
     row = base
     for spec in lookups:
+        table = tables[spec.table]
+        fixed = {c: known[r] for c, r in spec.on.items() if known and r in known}
+        if fixed and not spec.code_type:
+            spec = replace(spec, where={**spec.where, **fixed})
         hot = None
-        if spec.satellite:
-            rows = lookup_rows(tables[spec.table], spec)
-            hot = find_hot_keys(rows, [f"__k{i}" for i in range(len(spec.on))], hot_rows)
-        row = lookup_join(row, tables[spec.table], spec, hot)
+        if spec.satellite and hot_rows is not None:
+            keys = [f"__k{i}" for i in range(len(spec.on))]
+            hot = find_hot_keys(lookup_rows(table, spec), keys, hot_rows)
+        row = lookup_join(row, table, spec, hot)
     return row

@@ -27,5 +27,5 @@ def upsert_entities(
     """
     names = [key] if isinstance(key, str) else list(key)
     new = collapse_by_key(incoming, [F.col(n) for n in names], order_by)
-    kept = current.join(incoming.select(*names), names, "left_anti")
+    kept = current.join(incoming.select(*names).distinct(), names, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)

@@ -43,8 +43,8 @@ def customer_profile(owner: str = "") -> Profile:
     ``owner`` is the prefix that the tables of the master system and its customer
     id and type columns carry at a site.  The tax and segment tables may hold
     several rows per customer, and tax descriptions come in every language there
-    is, so a customer can give several rows.  Lookups on the base table's own
-    codes come first, before satellites multiply the rows.
+    is, so a customer can give several rows.  These two come first: they are joined
+    on the customer id, so the rows are shuffled once and without descriptions.
     """
     customer_id = f"{owner}customer_id"
     base_columns = [
@@ -69,6 +69,28 @@ def customer_profile(owner: str = "") -> Profile:
         "credit_risk_code",
     ]
     lookups = [
+        Lookup(
+            f"{owner}cust_unit_tax",
+            on={customer_id: customer_id},
+            take={
+                "tax_exemption_code": "tax_exemption_code",
+                "sales_tax_exempt_id": "sales_tax_exempt_id",
+            },
+            satellite=True,
+        ),
+        Lookup(
+            f"{owner}customer_segment_asgn",
+            on={customer_id: customer_id},
+            where={f"{owner}customer_type_code": SEGMENT_CUSTOMER_TYPE},
+            take={"customer_segment_code": "customer_segment_code"},
+            satellite=True,
+        ),
+        Lookup(
+            "tax_exemption_type_lang",
+            on={"tax_exemption_code": "tax_exemption_code"},
+            take={"tax_exemption_desc": "tax_exemption_desc"},
+        ),
+        shared_code(SEGMENT_LIST, "customer_segment_code", "customer_segment_desc"),
         described(
             "customer_status_lang",
             "customer_status_code",
@@ -99,28 +121,6 @@ def customer_profile(owner: str = "") -> Profile:
         shared_code(
             SOURCE_SYSTEM_LIST, "source_create_system_code", "source_system_desc"
         ),
-        Lookup(
-            f"{owner}cust_unit_tax",
-            on={customer_id: customer_id},
-            take={
-                "tax_exemption_code": "tax_exemption_code",
-                "sales_tax_exempt_id": "sales_tax_exempt_id",
-            },
-            satellite=True,
-        ),
-        Lookup(
-            "tax_exemption_type_lang",
-            on={"tax_exemption_code": "tax_exemption_code"},
-            take={"tax_exemption_desc": "tax_exemption_desc"},
-        ),
-        Lookup(
-            f"{owner}customer_segment_asgn",
-            on={customer_id: customer_id},
-            where={f"{owner}customer_type_code": SEGMENT_CUSTOMER_TYPE},
-            take={"customer_segment_code": "customer_segment_code"},
-            satellite=True,
-        ),
-        shared_code(SEGMENT_LIST, "customer_segment_code", "customer_segment_desc"),
     ]
 
     def output():

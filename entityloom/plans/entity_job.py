@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entityloom.functions.scalars import quoted
 from entityloom.operators.collapse import collapse_by_key
 from entityloom.operators.entities import KEY, split_bad_keys, with_key
 from entityloom.operators.lookups import Lookup, widen
@@ -31,16 +32,19 @@ class Profile:
         self,
         tables: Mapping[str, DataFrame],
         only: object | None = None,
-        hot_rows: int = 1_000_000,
+        hot_rows: int | None = 1_000_000,
     ) -> DataFrame:
         """All rows, or those whose filter column equals ``only``."""
         base = tables[self.base]
+        known = {}
         if only is not None:
             if self.filter_column is None:
                 raise ValueError("this profile has no filter column")
             base = base.where(F.col(self.filter_column) == F.lit(only))
+            known[self.filter_column] = only
         base = base.select(*self.base_columns)
-        return widen(base, tables, self.lookups, hot_rows).select(*self.output())
+        wide = widen(base, tables, self.lookups, hot_rows, known)
+        return wide.select(*self.output())
 
 
 @dataclass(frozen=True)
@@ -69,8 +73,12 @@ class EntityRules:
         )
 
     def entities(self, keyed: DataFrame) -> DataFrame:
+        """One row per usable key."""
         good, _ = split_bad_keys(keyed)
-        return collapse_by_key(good, order_by=self.order_by())
+        # Text key columns are equal just when the keys are, and naming them lets
+        # a join on the same column serve the collapse without another shuffle.
+        keys = None if self.cast_keys else [quoted(c) for c in self.key_columns]
+        return collapse_by_key(good, keys, self.order_by())
 
 
 @dataclass(frozen=True)

@@ -75,12 +75,14 @@ def numeric_code(list_id: int, key: str, description: str) -> Lookup:
 
 
 def order_profile() -> Profile:
+    """The large tables come first, so that no description is shuffled."""
     lookups = [
         Lookup(
-            "order_status",
-            on={"status_code": "o_orderstatus"},
-            where={"language_type_code": "en"},
-            take={"order_status_desc": "status_desc"},
+            "lineitem",
+            on={"l_orderkey": "o_orderkey"},
+            where={"l_linenumber": 1},
+            take={"first_line_price": "l_extendedprice"},
+            satellite=True,
         ),
         Lookup(
             "customer",
@@ -96,11 +98,10 @@ def order_profile() -> Profile:
         numeric_code(NATION_LIST, "nation_key", "nation_desc"),
         numeric_code(REGION_LIST, "region_key", "region_desc"),
         Lookup(
-            "lineitem",
-            on={"l_orderkey": "o_orderkey"},
-            where={"l_linenumber": 1},
-            take={"first_line_price": "l_extendedprice"},
-            satellite=True,
+            "order_status",
+            on={"status_code": "o_orderstatus"},
+            where={"language_type_code": "en"},
+            take={"order_status_desc": "status_desc"},
         ),
     ]
 

@@ -1,8 +1,10 @@
 """Sink for an external keyed store, as a Python data source.
 
 ``df.write.format("entity_store").option("store", "module:Class")`` builds one
-``Class(options)`` per task, calls ``put(batch)`` with Arrow batches and then
-``close()``.  Tasks may run twice, so a put must overwrite by key.
+``Class(options)`` per task attempt, calls ``put(batch)`` with Arrow batches and
+then ``close()``.  Attempts may run twice, so a put must overwrite by key, or
+stay unseen until ``Class.publish(options, tokens)`` is called once with what
+``close()`` returned in the attempts that count.
 """
 
 from __future__ import annotations
@@ -26,24 +28,28 @@ FORMAT = "entity_store"
 
 
 @dataclass
-class TaskRows(WriterCommitMessage):
-    partition: int
-    rows: int
+class Written(WriterCommitMessage):
+    token: str | None
 
 
 class StoreWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]):
         self.options = options
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+    def _store_class(self):
         module, _, name = self.options["store"].partition(":")
-        store = getattr(importlib.import_module(module), name)(self.options)
-        rows = 0
+        return getattr(importlib.import_module(module), name)
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        store = self._store_class()(self.options)
         for batch in iterator:
             store.put(batch)
-            rows += batch.num_rows
-        store.close()
-        return TaskRows(TaskContext.get().partitionId(), rows)
+        return Written(store.close())
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        publish = getattr(self._store_class(), "publish", None)
+        if publish is not None:
+            publish(self.options, [m.token for m in messages if m and m.token])
 
 
 class EntityStore(DataSource):
@@ -58,31 +64,35 @@ class EntityStore(DataSource):
 
 
 class FolderStore:
-    """One Parquet file per partition in ``folder``; a repeated task replaces its file."""
+    """One Parquet file per task in ``folder``, named without its leading dot, and
+    so seen by readers, only once the whole write is done."""
 
     def __init__(self, options: dict[str, str]):
         task = TaskContext.get()
-        self._fs, folder = _file_system(options["folder"])
-        self._fs.create_dir(folder, recursive=True)
-        part = f"part-{task.partitionId():06d}.parquet"
-        self._final = f"{folder}/{part}"
-        self._temporary = f"{folder}/.{part}.{task.taskAttemptId()}"
+        self._fs, self._folder = _file_system(options["folder"])
+        self._fs.create_dir(self._folder, recursive=True)
+        self._file = f".part-{task.partitionId():06d}-{task.taskAttemptId()}.parquet"
         self._writer: pq.ParquetWriter | None = None
 
     def put(self, batch: pa.RecordBatch) -> None:
         if self._writer is None:
             self._writer = pq.ParquetWriter(
-                self._temporary, batch.schema, filesystem=self._fs
+                f"{self._folder}/{self._file}", batch.schema, filesystem=self._fs
             )
         self._writer.write_batch(batch)
 
-    def close(self) -> None:
+    def close(self) -> str | None:
         if self._writer is None:
-            return
+            return None
         self._writer.close()
-        if self._fs.get_file_info(self._final).type != fs.FileType.NotFound:
-            self._fs.delete_file(self._final)
-        self._fs.move(self._temporary, self._final)
+        return self._file
+
+    @staticmethod
+    def publish(options: dict[str, str], tokens: list[str]) -> None:
+        system, folder = _file_system(options["folder"])
+        system.create_dir(folder, recursive=True)
+        for token in tokens:
+            system.move(f"{folder}/{token}", f"{folder}/{token.removeprefix('.')}")
 
 
 def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
