@@ -20,7 +20,7 @@ def entity_keys() -> list[Column]:
 
 def collapse_by_key(
     df: DataFrame,
-    keys: Sequence[Column] | None = None,
+    keys: Sequence[str | Column] | None = None,
     order_by: Sequence[Column] = (),
 ) -> DataFrame:
     """The first row of each key under ``order_by``, ties broken by all columns.
@@ -30,13 +30,15 @@ def collapse_by_key(
     task before it shuffles, so a key with very many rows sends few.
     """
     keys = list(keys) if keys else entity_keys()
+    settled = {KEY, *[k for k in keys if isinstance(k, str)]}
+    by = [quoted(k) if isinstance(k, str) else k for k in keys]
     ties = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.MapType, T.VariantType)):
             raise TypeError(f"{f.name} cannot be ordered: normalise first")
-        if f.name != KEY:
+        if f.name not in settled:
             ties.append(quoted(f.name).asc_nulls_last())
-    ranked = W.partitionBy(*keys).orderBy(*order_by, *ties)
+    ranked = W.partitionBy(*by).orderBy(*order_by, *ties)
     return (
         df.withColumn("__rank", F.row_number().over(ranked))
         .where("__rank = 1")

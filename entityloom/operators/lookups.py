@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from entityloom.functions.scalars import all_of, guarded_code
 from entityloom.operators.skew import HotKeys, find_hot_keys, spread_left_join
 
 
+MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 32 << 20
+
+
 @dataclass(frozen=True)
 class Lookup:
     """One left outer join of a chain.
@@ -32,6 +37,7 @@ class Lookup:
     trim: bool = False  # the table's text keys and literals are blank padded
     unique: bool = False  # fail if a key occurs twice
     satellite: bool = False  # may hold many rows per key, some keys very many
+    measure: bool = False  # Spark cannot know the size: measure, broadcast if small
 
 
 class DuplicateLookupKey(ValueError):
@@ -67,15 +73,49 @@ def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def small_tables(tables: Mapping[str, DataFrame]) -> set[str]:
+    """Which of ``tables`` are within the broadcast bounds, by measuring all of
+    them in one job that returns one row each."""
+    if not tables:
+        return set()
+
+    def size(df: DataFrame):
+        width = F.lit(0)
+        for f in df.schema.fields:
+            text = isinstance(f.dataType, T.StringType)
+            value = F.col(f.name) if text else F.to_json(F.struct(f.name))
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
+        return F.coalesce(F.sum(width), F.lit(0))
+
+    measured = [
+        df.agg(
+            F.lit(name).alias("name"), F.count("*").alias("rows"), size(df).alias("bytes")
+        )
+        for name, df in tables.items()
+    ]
+    return {
+        m["name"]
+        for m in reduce(DataFrame.unionByName, measured).collect()
+        if m["rows"] <= MAX_BROADCAST_ROWS and m["bytes"] <= MAX_BROADCAST_BYTES
+    }
+
+
 def lookup_join(
-    base: DataFrame, table: DataFrame, spec: Lookup, hot: HotKeys | None = None
+    base: DataFrame,
+    table: DataFrame,
+    spec: Lookup,
+    hot: HotKeys | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """``base`` with the ``take`` columns of ``table``; a null key matches nothing.
 
-    No broadcast is forced: Spark broadcasts a table whose size it knows to be
-    below its threshold, from file sizes or at run time, and shuffles otherwise.
+    Unless the table was measured and is ``small``, no broadcast is asked for:
+    Spark broadcasts a table whose files, or shuffled rows, it finds to be below
+    its threshold, and shuffles otherwise.
     """
     rows = lookup_rows(table, spec)
+    if small:
+        rows = F.broadcast(rows)
     keys = [f"__k{i}" for i in range(len(spec.on))]
     if spec.unique and (twice := repeated_keys(rows, keys).take(1)):
         raise DuplicateLookupKey(f"{spec.table}: key {twice[0][:-1]} is not unique")
@@ -92,13 +132,19 @@ def widen(
     """``base`` joined with each lookup in turn.
 
     Each satellite is first scanned for keys with ``hot_rows`` rows or more
-    (None: not at all); that is the only job this starts.  ``known`` gives base
-    columns that equal one value in every row, so tables joined on them need
-    only be read there.  Lookups share no state, so one table may be used
-    several times.
+    (None: not at all), and the lookups marked so are measured; no other job is
+    started.  ``known`` gives base columns that equal one value in every row, so
+    tables joined on them need only be read there.  Lookups share no state, so
+    one table may be used several times.
     """
+    measured = {
+        str(i): lookup_rows(tables[spec.table], spec)
+        for i, spec in enumerate(lookups)
+        if spec.measure
+    }
+    small = small_tables(measured)
     row = base
-    for spec in lookups:
+    for i, spec in enumerate(lookups):
         table = tables[spec.table]
         fixed = {c: known[r] for c, r in spec.on.items() if known and r in known}
         if fixed and not spec.code_type:
@@ -107,5 +153,5 @@ def widen(
         if spec.satellite and hot_rows is not None:
             keys = [f"__k{i}" for i in range(len(spec.on))]
             hot = find_hot_keys(lookup_rows(table, spec), keys, hot_rows)
-        row = lookup_join(row, table, spec, hot)
+        row = lookup_join(row, table, spec, hot, str(i) in small)
     return row

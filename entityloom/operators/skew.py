@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 10 * MAX_HOT_KEYS
+MERGE_GROUPS = 64
 
 _SKETCHED = (
     T.ByteType,
@@ -51,31 +52,38 @@ def _one_value(keys: list[Column], types: list[T.DataType]) -> Column:
 
 
 def find_hot_keys(
-    df: DataFrame, keys: list[str], min_rows: int = 1_000_000, share: float = 0.001
+    df: DataFrame, keys: list[str], min_rows: int = 1_000_000, share: float = 0.0005
 ) -> HotKeys:
     """Keys of ``df`` with at least ``min_rows`` rows and ``share`` of all rows.
 
-    One pass over the key columns into a fixed-size sketch per task, so nothing
-    is shuffled by key; the driver gets at most ``MAX_HOT_KEYS`` values.  Every
-    value returned does occur in ``df``, which the join below relies on.  The
-    counts are estimates and only decide how rows are spread.
+    One pass over the key columns into sketches of fixed size, merged in two
+    steps, so no row is shuffled by key; the driver gets at most ``MAX_HOT_KEYS``
+    values.  Every value returned does occur in ``df``, which the join below
+    relies on.  The counts are estimates and only decide how rows are spread.
     """
     types = [df.schema[k].dataType for k in keys]
     value = _one_value([F.col(k) for k in keys], types)
-    sketch = F.expr(f"approx_top_k(__key, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     found = (
-        df.select(value.alias("__key"))
-        .agg(F.count("__key").alias("rows"), sketch.alias("top"))
+        df.select(value.alias("__key"), group.alias("__group"))
+        .where("__key is not null")
+        .groupBy("__group")
+        .agg(
+            F.expr(f"approx_top_k_accumulate(__key, {TRACKED_KEYS})").alias("sketch"),
+            F.count("*").alias("rows"),
+        )
+        .groupBy(F.lit(0).alias("__all"))  # no row at all if there was none
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"),
+            F.sum("rows").alias("rows"),
+        )
+        .selectExpr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS}) as top", "rows")
         .first()
     )
+    if found is None:
+        return HotKeys(())
     least = max(min_rows, share * found["rows"])
-    return HotKeys(
-        tuple(
-            t["item"]
-            for t in found["top"]
-            if t["item"] is not None and t["count"] >= least
-        )
-    )
+    return HotKeys(tuple(t["item"] for t in found["top"] if t["count"] >= least))
 
 
 def spread_left_join(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from entityloom.operators.collapse import collapse_by_key
 
@@ -26,6 +25,6 @@ def upsert_entities(
     twice, so land it first if it is the end of a long chain.
     """
     names = [key] if isinstance(key, str) else list(key)
-    new = collapse_by_key(incoming, [F.col(n) for n in names], order_by)
+    new = collapse_by_key(incoming, names, order_by)
     kept = current.join(incoming.select(*names).distinct(), names, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)

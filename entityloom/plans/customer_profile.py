@@ -16,17 +16,20 @@ SEGMENT_LIST = 1
 SEGMENT_CUSTOMER_TYPE = "0"
 
 
-def described(table: str, code: str, description: str, text: str) -> Lookup:
+def described(
+    table: str, code: str, description: str, text: str, measure: bool
+) -> Lookup:
     """A code's description in the profile's language."""
     return Lookup(
         table,
         on={code: code},
         where={"language_type_code": LANGUAGE},
         take={description: text},
+        measure=measure,
     )
 
 
-def shared_code(list_id: int, code: str, description: str) -> Lookup:
+def shared_code(list_id: int, code: str, description: str, measure: bool) -> Lookup:
     """A numeric code described in the table that all code lists share."""
     return Lookup(
         "cust_codes_language_desc",
@@ -34,10 +37,11 @@ def shared_code(list_id: int, code: str, description: str) -> Lookup:
         where={"code_table_ref_id": list_id, "language_type_code": LANGUAGE},
         take={description: "code_desc"},
         code_type="smallint",
+        measure=measure,
     )
 
 
-def customer_profile(owner: str = "") -> Profile:
+def customer_profile(owner: str = "", measure_codes: bool = False) -> Profile:
     """The profile as a declaration.
 
     ``owner`` is the prefix that the tables of the master system and its customer
@@ -45,6 +49,8 @@ def customer_profile(owner: str = "") -> Profile:
     several rows per customer, and tax descriptions come in every language there
     is, so a customer can give several rows.  These two come first: they are joined
     on the customer id, so the rows are shuffled once and without descriptions.
+    Set ``measure_codes`` where the code tables are views or JDBC tables, whose
+    size Spark cannot tell.
     """
     customer_id = f"{owner}customer_id"
     base_columns = [
@@ -89,37 +95,54 @@ def customer_profile(owner: str = "") -> Profile:
             "tax_exemption_type_lang",
             on={"tax_exemption_code": "tax_exemption_code"},
             take={"tax_exemption_desc": "tax_exemption_desc"},
+            measure=measure_codes,
+        ),
+        shared_code(
+            SEGMENT_LIST,
+            "customer_segment_code",
+            "customer_segment_desc",
+            measure_codes,
         ),
-        shared_code(SEGMENT_LIST, "customer_segment_code", "customer_segment_desc"),
         described(
             "customer_status_lang",
             "customer_status_code",
             "customer_status_desc",
             "display_short_desc",
+            measure_codes,
         ),
         described(
             "credit_terms_lang",
             "credit_terms_code",
             "credit_terms_desc",
             "credit_terms_desc",
+            measure_codes,
         ),
         described(
             "new_cust_ovrd_type_lang",
             "new_cust_ovrd_code",
             "new_cust_override_desc",
             "new_cust_ovrd_desc",
+            measure_codes,
         ),
         described(
-            "new_sales_type_lang", "new_sales_code", "new_sales_desc", "new_sales_desc"
+            "new_sales_type_lang",
+            "new_sales_code",
+            "new_sales_desc",
+            "new_sales_desc",
+            measure_codes,
         ),
         described(
             "credit_risk_lang",
             "credit_risk_code",
             "credit_risk_desc",
             "credit_risk_desc",
+            measure_codes,
         ),
         shared_code(
-            SOURCE_SYSTEM_LIST, "source_create_system_code", "source_system_desc"
+            SOURCE_SYSTEM_LIST,
+            "source_create_system_code",
+            "source_system_desc",
+            measure_codes,
         ),
     ]
 

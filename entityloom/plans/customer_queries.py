@@ -167,14 +167,14 @@ PROFILE_SQL = """
 
 @query(PROFILE_SQL, name="customer_profile")
 def profile_rows(t):
-    rows = customer_profile().rows(master_tables(t))
+    rows = customer_profile(measure_codes=True).rows(master_tables(t))
     amount = F.col("credit_limit_dollar_amt").cast("double")
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
 
 @query(f"select * from ({PROFILE_SQL}) where customer_id = '000000042'")
 def customer_profile_one(t):
-    rows = customer_profile().rows(master_tables(t), only="000000042")
+    rows = customer_profile(measure_codes=True).rows(master_tables(t), only="000000042")
     amount = F.col("credit_limit_dollar_amt").cast("double")
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
@@ -193,7 +193,7 @@ def customer_profile_one(t):
 )
 def customer_entities(t):
     rules = customer_rules("demo")
-    keyed = rules.keyed(customer_profile().rows(master_tables(t)))
+    keyed = rules.keyed(customer_profile(measure_codes=True).rows(master_tables(t)))
     return rules.entities(keyed).select(
         F.col(f"{KEY}.project").alias("project"),
         F.col(f"{KEY}.kind").alias("kind"),

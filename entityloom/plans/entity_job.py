@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.functions.scalars import quoted
 from entityloom.operators.collapse import collapse_by_key
 from entityloom.operators.entities import KEY, split_bad_keys, with_key
 from entityloom.operators.lookups import Lookup, widen
@@ -77,7 +76,7 @@ class EntityRules:
         good, _ = split_bad_keys(keyed)
         # Text key columns are equal just when the keys are, and naming them lets
         # a join on the same column serve the collapse without another shuffle.
-        keys = None if self.cast_keys else [quoted(c) for c in self.key_columns]
+        keys = None if self.cast_keys else self.key_columns
         return collapse_by_key(good, keys, self.order_by())
 
 

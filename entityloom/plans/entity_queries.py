@@ -129,7 +129,7 @@ def collapse_by_key_latest(t):
         "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
     latest_first = [F.desc("o_orderdate"), F.desc("o_orderkey")]
-    return collapse_by_key(orders, [F.col("o_custkey")], latest_first)
+    return collapse_by_key(orders, ["o_custkey"], latest_first)
 
 
 @query(
