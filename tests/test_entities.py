@@ -1,0 +1,192 @@
+"""Keys, entity forms, collapse, upsert and counts."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from entityloom.operators.collapse import collapse_by_key
+from entityloom.operators.entities import KEY, split_bad_keys, to_long, with_key
+from entityloom.operators.metrics import observe_keyed, run_metrics
+from entityloom.operators.normalise import normalise
+from entityloom.operators.upsert import upsert_entities
+from tests.conftest import plan_of
+
+VALUES = ["long", "double", "bool", "string", "blob", "timestamp"]
+
+
+def names(df):
+    return [r[0] for r in df.select(f"{KEY}.name").collect()]
+
+
+def test_key_and_properties(spark):
+    df = spark.createDataFrame([("k1", None)], "id string, n bigint")
+    keyed = with_key(df, ["id"], "demo", "Thing")
+    assert keyed.first() == (("demo", "Thing", "k1"), "k1", None)
+
+
+def test_long_form_shows_null_properties(spark):
+    df = spark.createDataFrame([("k1", None, 2.5)], "id string, n bigint, x double")
+    long = to_long(with_key(df, ["id"], "demo", "Thing"))
+    found = {r.property: r for r in long.collect()}
+    assert found["id"].value_type == "string" and found["id"].string_value == "k1"
+    assert found["n"].value_type == "null"
+    assert {found["n"][f"{v}_value"] for v in VALUES} == {None}
+    assert found["x"].double_value == 2.5
+    for row in found.values():
+        filled = [v for v in VALUES if row[f"{v}_value"] is not None]
+        assert filled == ([] if row.value_type == "null" else [row.value_type])
+
+
+def test_long_form_leaves_out_absent_properties(spark):
+    df = spark.createDataFrame([("a", "1"), ("b", "no"), ("c", None)], "id string, n string")
+    long = to_long(with_key(normalise(df, reads={"n": "int"}), ["id"], "p", "K"))
+    found = {r.key_name: r.value_type for r in long.where("property = 'n'").collect()}
+    assert found == {"a": "long", "c": "null"}
+    assert long.where("property = 'id'").count() == 3
+
+
+def test_wide_to_long_and_back(spark):
+    df = spark.sql(
+        "select cast(id as string) as id, id as n, id / 3 as x, id % 2 = 0 as b,"
+        " cast(cast(id as string) as binary) as blob, timestamp_micros(id * 1000001) as ts,"
+        " if(id % 3 = 0, null, 'text') as t from range(20)"
+    )
+    wide = with_key(normalise(df), ["id"], "p", "K")
+    long = to_long(wide)
+    assert long.count() == 20 * 7
+    value = {"n": "long", "x": "double", "b": "bool", "blob": "blob", "ts": "timestamp"}
+    back = long.groupBy("key_name").agg(
+        *[
+            F.max(F.when(F.col("property") == c, F.col(f"{value.get(c, 'string')}_value"))).alias(c)
+            for c in df.columns
+        ]
+    )
+    assert sorted(back.drop("key_name").collect()) == sorted(wide.drop(KEY).collect())
+
+
+def test_long_form_wants_normalised_columns(spark):
+    with pytest.raises(TypeError, match="normalise first"):
+        to_long(with_key(spark.sql("select 'a' as id, 1 as n"), ["id"], "p", "K"))
+
+
+def test_key_column_must_be_text(spark):
+    df = spark.sql("select 1 as id")
+    with pytest.raises(TypeError, match="not string"):
+        with_key(df, ["id"], "p", "K")
+    assert names(with_key(df, ["id"], "p", "K", cast_keys=True)) == ["1"]
+
+
+def test_bad_keys_are_split_off(spark):
+    df = spark.createDataFrame([("a",), ("",), (None,), (" ",)], "id string")
+    good, bad = split_bad_keys(with_key(df, ["id"], "p", "K"))
+    assert names(good) == ["a", " "]
+    assert sorted(bad.select("id").collect(), key=str) == [("",), (None,)]
+
+
+def test_bad_keys_may_fail_the_run(spark):
+    good = spark.createDataFrame([("a",)], "id string")
+    bad = spark.createDataFrame([("a",), (None,)], "id string")
+    assert names(with_key(good, ["id"], "p", "K", on_bad_key="fail")) == ["a"]
+    with pytest.raises(Exception, match="null or empty key"):
+        with_key(bad, ["id"], "p", "K", on_bad_key="fail").collect()
+
+
+PART = st.text(alphabet="a/\\", min_size=1, max_size=4)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(PART, PART), min_size=2, max_size=30, unique=True))
+def test_different_parts_give_different_keys(spark, parts):
+    df = spark.createDataFrame(parts, "a string, b string")
+    found = names(with_key(df, ["a", "b"], "p", "K"))
+    assert len(set(found)) == len(parts)
+
+
+def test_composite_key_with_a_null_part_is_bad(spark):
+    df = spark.createDataFrame([("a", None), ("a", ""), ("a", "b")], "a string, b string")
+    assert names(with_key(df, ["a", "b"], "p", "K")) == [None, None, "a/b"]
+
+
+def test_collapse_does_not_depend_on_arrival(spark):
+    rows = [(k, day, v) for k in "abc" for day in (1, 2, 2) for v in (None, 1, 2)]
+    results = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "k string, day int, v int").repartition(seed + 1)
+        kept = collapse_by_key(df, ["k"], [F.desc("day")])
+        results.add(tuple(sorted(map(tuple, kept.collect()))))
+    assert results == {(("a", 2, 1), ("b", 2, 1), ("c", 2, 1))}
+
+
+def test_collapse_keeps_one_row_per_key_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "id as v")
+    plan = plan_of(collapse_by_key(df, ["k"], [F.desc("v")]))
+    before_shuffle = plan[plan.index("Exchange") :]
+    assert "WindowGroupLimit" in before_shuffle
+    assert collapse_by_key(df, ["k"], [F.desc("v")]).count() == 3
+
+
+def test_collapse_of_a_hot_key(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 0, id) as k", "id as v")
+    kept = collapse_by_key(df, ["k"], [F.desc("v")])
+    assert kept.count() == 2001
+    assert kept.where("k = 0").first().v == 2997
+
+
+def test_collapse_refuses_unordered_columns(spark):
+    with pytest.raises(TypeError, match="normalise first"):
+        collapse_by_key(spark.sql("select 1 as k, map('a', 1) as m"), ["k"])
+
+
+def test_upsert_replaces_adds_and_keeps(spark):
+    current = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    incoming = spark.createDataFrame(
+        [("b", 2, "x"), ("c", 3, "y"), ("c", 2, "z")], "k string, v int, w string"
+    )
+    after = upsert_entities(current, incoming, "k", [F.desc("v")])
+    expected = [("a", 1, None), ("b", 2, "x"), ("c", 3, "y")]
+    assert sorted(map(tuple, after.collect())) == expected
+    again = upsert_entities(after, incoming, "k", [F.desc("v")])
+    assert sorted(map(tuple, again.collect())) == expected
+
+
+def test_upsert_by_whole_key(spark):
+    def things(kind):
+        return with_key(spark.sql("select 'a' as id"), ["id"], "p", kind)
+
+    both = upsert_entities(things("K"), things("L"), KEY)
+    assert both.count() == 2
+    assert upsert_entities(both, things("L"), KEY).count() == 2
+
+
+def test_counts(spark):
+    df = spark.createDataFrame(
+        [("a", "1"), ("a", "no"), ("b", None), (None, "no"), ("", "2")], "id string, n string"
+    )
+    keyed = with_key(normalise(df, reads={"n": "int"}), ["id"], "p", "K")
+    assert run_metrics(keyed).first().asDict() == {
+        "rows": 5,
+        "bad_keys": 2,
+        "dropped_values": 2,
+        "entities": 2,
+        "collapsed": 1,
+    }
+    seen = Observation("run")
+    observe_keyed(keyed, seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 5, "bad_keys": 2, "dropped_values": 2}
+    empty = run_metrics(keyed.where("1 = 0")).first()
+    assert set(empty) == {0}
+
+
+def test_observing_rows_without_reads(spark):
+    keyed = with_key(spark.sql("select 'a' as id"), ["id"], "p", "K")
+    seen = Observation()
+    observe_keyed(keyed, seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 1, "bad_keys": 0}
+    assert run_metrics(keyed).first().dropped_values == 0

@@ -1,0 +1,142 @@
+"""Type rules: a typical value, a null and an edge for each."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from entityloom.operators.labels import first_of_each_label
+from entityloom.operators.normalise import ABSENT, normalise
+
+UTC = dt.timezone.utc
+SCHEMA = (
+    "c_tiny byte, c_small short, c_int int, c_big long, c_bool boolean, c_blob binary,"
+    " c_float float, c_double double, c_dec decimal(19,2), c_str string, c_date date,"
+    " c_ts timestamp, c_ntz timestamp_ntz, c_arr array<int>, c_map map<string,int>,"
+    " c_struct struct<a:int,b:string>"
+)
+TYPICAL = (
+    1, 2, 3, 4, True, bytearray(b"AB"), 1.5, 2.5, Decimal("10.25"), "a",
+    dt.date(2024, 7, 1), dt.datetime(2024, 7, 1, 1, 2, 3, 456789),
+    dt.datetime(2024, 7, 1, 1, 2, 3, 456789), [1, 2, None], {"k": 1}, (1, None),
+)
+EDGE = (
+    -128, -32768, 2**31 - 1, -(2**63), False, bytearray(b""), float("nan"), float("inf"),
+    Decimal("12345678901234567.89"), "trailing  ", dt.date(1969, 12, 31),
+    dt.datetime(1970, 1, 1), dt.datetime(1970, 1, 1), [], {}, (None, "x\"y"),
+)
+
+EXPECTED_TYPES = {
+    **dict.fromkeys(["c_tiny", "c_small", "c_int", "c_big"], "bigint"),
+    "c_bool": "boolean",
+    "c_blob": "binary",
+    **dict.fromkeys(["c_float", "c_double", "c_dec"], "double"),
+    "c_str": "string",
+    "c_date": "timestamp",
+    "c_ts": "timestamp",
+    "c_ntz": "timestamp_ntz",
+    **dict.fromkeys(["c_arr", "c_map", "c_struct"], "string"),
+}
+
+
+@pytest.fixture(scope="module")
+def typed(spark):
+    nulls = (None,) * len(TYPICAL)
+    return normalise(spark.createDataFrame([TYPICAL, nulls, EDGE], SCHEMA))
+
+
+def test_types(typed):
+    assert dict(typed.dtypes) == EXPECTED_TYPES
+
+
+def test_typical_values(typed):
+    row = typed.where("c_str = 'a'").first().asDict()
+    assert [row[c] for c in ("c_tiny", "c_small", "c_int", "c_big")] == [1, 2, 3, 4]
+    assert row["c_bool"] is True and row["c_blob"] == bytearray(b"AB")
+    assert (row["c_float"], row["c_double"], row["c_dec"]) == (1.5, 2.5, 10.25)
+    assert row["c_arr"] == "[1,2,null]"
+    assert row["c_map"] == '{"k":1}'
+    assert row["c_struct"] == '{"a":1,"b":null}'
+
+
+def test_nulls_stay(typed):
+    assert set(typed.where("c_str is null").first()) == {None}
+
+
+def test_edges(typed):
+    row = typed.where("c_str like 'trailing%'").first()
+    assert (row.c_tiny, row.c_small, row.c_int) == (-128, -32768, 2**31 - 1)
+    assert row.c_big == -(2**63) and row.c_bool is False and row.c_blob == bytearray()
+    assert math.isnan(row.c_float) and row.c_double == math.inf
+    assert row.c_dec == 1.2345678901234568e16
+    assert row.c_str == "trailing  "
+    assert (row.c_arr, row.c_map, row.c_struct) == ("[]", "{}", '{"a":null,"b":"x\\"y"}')
+
+
+def test_instants(typed):
+    seconds = typed.select("c_str", F.unix_micros("c_date"), F.unix_micros("c_ts"))
+    found = {r[0]: r[1:] for r in seconds.collect()}
+    assert found["a"] == (1719792000_000000, 1719795723_456789)
+    assert found["trailing  "] == (-86400_000000, 0)
+
+
+def test_other_types_become_text(spark):
+    df = spark.sql(
+        "select interval '1' day as i, time '01:02:03' as t, null as v,"
+        " parse_json('{\"a\":1}') as j, cast('x' as varchar(5)) as vc"
+    )
+    row = normalise(df).first()
+    assert {t for _, t in normalise(df).dtypes} == {"string"}
+    assert "1" in row.i and row.t == "01:02:03" and row.v is None
+    assert row.j == '{"a":1}' and row.vc == "x"
+
+
+def test_decimals_may_be_kept(spark):
+    df = spark.sql("select cast(12345678901234567.89 as decimal(19,2)) as d")
+    assert normalise(df, decimal="keep").first().d == Decimal("12345678901234567.89")
+    with pytest.raises(ValueError):
+        normalise(df, decimal="text")
+
+
+def test_overrides(spark):
+    df = spark.sql("select 1.10BD as price, 2.20BD as cost, date '2024-01-02' as day, 3 as n")
+    row = normalise(
+        df,
+        overrides={
+            "decimal": lambda c: c.cast("string"),
+            "cost": lambda c: (c * 100).cast("int"),
+            "date": lambda c: F.date_format(c, "yyyy"),
+        },
+    ).first()
+    assert row.asDict() == {"price": "1.10", "cost": 220, "day": "2024", "n": 3}
+
+
+def test_unreadable_values_are_absent_not_null(spark):
+    df = spark.createDataFrame(
+        [("a", "1", "x"), ("b", "no", None), ("c", None, "2024-01-02")],
+        "id string, n string, d string",
+    )
+    rows = {r.id: r for r in normalise(df, reads={"n": "int", "d": "date"}).collect()}
+    assert (rows["a"].n, rows["a"][ABSENT]) == (1, ["d"])
+    assert (rows["b"].n, rows["b"].d, rows["b"][ABSENT]) == (None, None, ["n"])
+    assert (rows["c"].n, rows["c"][ABSENT]) == (None, [])
+    assert rows["c"].d == dt.datetime(2024, 1, 2)
+    with pytest.raises(ValueError):
+        normalise(df, reads={"nope": "int"})
+
+
+def test_earliest_of_equal_labels_wins(spark, conf):
+    df = spark.sql("select 1 as a, 2 as b, 3 as a, 4 as B")
+    assert first_of_each_label(df).first().asDict() == {"a": 1, "b": 2}
+    assert normalise(df).first().asDict() == {"a": 1, "b": 2}
+    conf(spark__sql__caseSensitive="true")
+    assert first_of_each_label(df).first().asDict() == {"a": 1, "b": 2, "B": 4}
+
+
+def test_odd_column_names(spark):
+    df = spark.sql("select 1 as `a.b`, 2 as `c``d`, 'x' as `e f`")
+    assert normalise(df).first().asDict() == {"a.b": 1, "c`d": 2, "e f": "x"}
