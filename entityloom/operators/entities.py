@@ -34,21 +34,21 @@ _VALUE_COLUMNS = {
 def key_name(parts: Sequence[Column]) -> Column:
     """Key text: the column itself, or several joined by ``/``.
 
-    Null if any part is null or empty.  Within a joined key, ``\\`` and ``/`` of
-    a part are escaped, so different parts never give the same key.
+    Null if any part is null or empty.
     """
-    if len(parts) == 1:
-        name = parts[0]
-    else:
-        name = F.concat_ws(
-            SEPARATOR, *[F.regexp_replace(p, r"([\\/])", r"\\$1") for p in parts]
-        )
     usable = F.lit(True)
     for part in parts:
         usable = usable & part.isNotNull() & (part != "")
+    name = parts[0] if len(parts) == 1 else F.concat_ws(SEPARATOR, *parts)
     return F.when(usable, name)
 
 
+def _escaped(part: Column) -> Column:
+    """``part`` with ``\\`` and ``/`` marked, so that no two keys join to one text."""
+    marked = F.replace(part, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(marked, F.lit(SEPARATOR), F.lit("\\" + SEPARATOR))
+
+
 def with_key(
     df: DataFrame,
     key_columns: Sequence[str],
@@ -74,7 +74,10 @@ def with_key(
             raise TypeError(
                 f"key column {name} is {df.schema[name].dataType.simpleString()}, not string"
             )
-        parts.append(quoted(name) if is_text else quoted(name).cast("string"))
+        part = quoted(name) if is_text else quoted(name).cast("string")
+        if is_text and len(key_columns) > 1:
+            part = _escaped(part)
+        parts.append(part)
     name = key_name(parts)
     if on_bad_key == "fail":
         message = f"null or empty key in {', '.join(key_columns)}"

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,21 +138,36 @@ def widen(
     tables joined on them need only be read there.  Lookups share no state, so
     one table may be used several times.
     """
-    measured = {
-        str(i): lookup_rows(tables[spec.table], spec)
-        for i, spec in enumerate(lookups)
-        if spec.measure
-    }
-    small = small_tables(measured)
-    row = base
-    for i, spec in enumerate(lookups):
-        table = tables[spec.table]
-        fixed = {c: known[r] for c, r in spec.on.items() if known and r in known}
-        if fixed and not spec.code_type:
-            spec = replace(spec, where={**spec.where, **fixed})
-        hot = None
+    specs = [_restricted(spec, known or {}) for spec in lookups]
+    unmeasured, scanned = {}, {}
+    for i, spec in enumerate(specs):
+        if spec.measure:
+            unmeasured[str(i)] = lookup_rows(tables[spec.table], spec)
         if spec.satellite and hot_rows is not None:
-            keys = [f"__k{i}" for i in range(len(spec.on))]
-            hot = find_hot_keys(lookup_rows(table, spec), keys, hot_rows)
-        row = lookup_join(row, table, spec, hot, str(i) in small)
+            scanned[i] = lookup_rows(tables[spec.table], spec)
+    small, *hot = _together(
+        partial(small_tables, unmeasured),
+        *[
+            partial(find_hot_keys, rows, [f"__k{k}" for k in range(len(specs[i].on))], hot_rows)
+            for i, rows in scanned.items()
+        ],
+    )
+    hot_of = dict(zip(scanned, hot))
+    row = base
+    for i, spec in enumerate(specs):
+        row = lookup_join(row, tables[spec.table], spec, hot_of.get(i), str(i) in small)
     return row
+
+
+def _restricted(spec: Lookup, known: Mapping[str, object]) -> Lookup:
+    """``spec`` reading only the rows whose key is the base's one known value."""
+    fixed = {c: known[r] for c, r in spec.on.items() if r in known}
+    if not fixed or spec.code_type:
+        return spec
+    return replace(spec, where={**spec.where, **fixed})
+
+
+def _together(*jobs: Callable[[], object]) -> list:
+    """Results of independent Spark jobs, run at the same time."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]

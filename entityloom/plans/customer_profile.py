@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import functions as F
 
 from entityloom.functions.scalars import iso_date, or_zero
@@ -17,7 +19,7 @@ SEGMENT_CUSTOMER_TYPE = "0"
 
 
 def described(
-    table: str, code: str, description: str, text: str, measure: bool
+    table: str, code: str, description: str, text: str, measure: Collection[str]
 ) -> Lookup:
     """A code's description in the profile's language."""
     return Lookup(
@@ -25,23 +27,26 @@ def described(
         on={code: code},
         where={"language_type_code": LANGUAGE},
         take={description: text},
-        measure=measure,
+        measure=table in measure,
     )
 
 
-def shared_code(list_id: int, code: str, description: str, measure: bool) -> Lookup:
+def shared_code(
+    list_id: int, code: str, description: str, measure: Collection[str]
+) -> Lookup:
     """A numeric code described in the table that all code lists share."""
+    table = "cust_codes_language_desc"
     return Lookup(
-        "cust_codes_language_desc",
+        table,
         on={"code_value": code},
         where={"code_table_ref_id": list_id, "language_type_code": LANGUAGE},
         take={description: "code_desc"},
         code_type="smallint",
-        measure=measure,
+        measure=table in measure,
     )
 
 
-def customer_profile(owner: str = "", measure_codes: bool = False) -> Profile:
+def customer_profile(owner: str = "", measure: Collection[str] = ()) -> Profile:
     """The profile as a declaration.
 
     ``owner`` is the prefix that the tables of the master system and its customer
@@ -49,8 +54,8 @@ def customer_profile(owner: str = "", measure_codes: bool = False) -> Profile:
     several rows per customer, and tax descriptions come in every language there
     is, so a customer can give several rows.  These two come first: they are joined
     on the customer id, so the rows are shuffled once and without descriptions.
-    Set ``measure_codes`` where the code tables are views or JDBC tables, whose
-    size Spark cannot tell.
+    ``measure`` names the code tables whose size Spark cannot tell: views over
+    large tables, or tables read over JDBC.
     """
     customer_id = f"{owner}customer_id"
     base_columns = [
@@ -95,54 +100,54 @@ def customer_profile(owner: str = "", measure_codes: bool = False) -> Profile:
             "tax_exemption_type_lang",
             on={"tax_exemption_code": "tax_exemption_code"},
             take={"tax_exemption_desc": "tax_exemption_desc"},
-            measure=measure_codes,
+            measure="tax_exemption_type_lang" in measure,
         ),
         shared_code(
             SEGMENT_LIST,
             "customer_segment_code",
             "customer_segment_desc",
-            measure_codes,
+            measure,
         ),
         described(
             "customer_status_lang",
             "customer_status_code",
             "customer_status_desc",
             "display_short_desc",
-            measure_codes,
+            measure,
         ),
         described(
             "credit_terms_lang",
             "credit_terms_code",
             "credit_terms_desc",
             "credit_terms_desc",
-            measure_codes,
+            measure,
         ),
         described(
             "new_cust_ovrd_type_lang",
             "new_cust_ovrd_code",
             "new_cust_override_desc",
             "new_cust_ovrd_desc",
-            measure_codes,
+            measure,
         ),
         described(
             "new_sales_type_lang",
             "new_sales_code",
             "new_sales_desc",
             "new_sales_desc",
-            measure_codes,
+            measure,
         ),
         described(
             "credit_risk_lang",
             "credit_risk_code",
             "credit_risk_desc",
             "credit_risk_desc",
-            measure_codes,
+            measure,
         ),
         shared_code(
             SOURCE_SYSTEM_LIST,
             "source_create_system_code",
             "source_system_desc",
-            measure_codes,
+            measure,
         ),
     ]
 
@@ -186,5 +191,22 @@ def customer_profile(owner: str = "", measure_codes: bool = False) -> Profile:
 
 
 def customer_rules(project: str, kind: str = "Customer") -> EntityRules:
-    """Customers keyed by their id."""
-    return EntityRules(key_columns=["customer_id"], project=project, kind=kind)
+    """Customers keyed by their id.
+
+    Several rows of one customer differ in these columns only; the first row by
+    them stands for the customer.
+    """
+
+    def order_by():
+        return [
+            F.asc_nulls_last(name)
+            for name in (
+                "sales_tax_exempt_id",
+                "tax_exemption_code",
+                "tax_exemption_desc",
+                "customer_segment_code",
+                "customer_segment_desc",
+            )
+        ]
+
+    return EntityRules(["customer_id"], project, kind, order_by=order_by)

@@ -10,6 +10,15 @@ from entityloom.plans.order_profile import code_table
 from entityloom.plans.registry import query
 
 
+# Code tables derived from large tables; Spark cannot tell that they are small.
+DERIVED = [
+    "tax_exemption_type_lang",
+    "customer_status_lang",
+    "new_sales_type_lang",
+    "credit_risk_lang",
+]
+
+
 def customer_id(column: str):
     return F.lpad(F.col(column).cast("string"), 9, "0")
 
@@ -46,17 +55,18 @@ def master_tables(t) -> dict:
         segment_letter.alias("credit_risk_code"),
     )
 
-    def language_table(table, code, code_column, text, text_column, language="en"):
+    def language_table(table, code, code_column, text_column, text, language="en"):
         return table.select(
             code.alias(code_column),
             text.alias(text_column),
             F.lit(language).alias("language_type_code"),
-        ).distinct()
+        )
 
     nation_code = F.col("n_nationkey").cast("string")
     priority = F.col("o_orderpriority")
     tax_code, tax_text = F.substring(priority, 1, 1), F.substring(priority, 3, 99)
-    tax = ("tax_exemption_code", "tax_exemption_desc")
+    tax_columns = ("tax_exemption_code", "tax_exemption_desc")
+    priorities = t["orders"].select("o_orderpriority").distinct()
     return {
         "cust_unit": customers,
         "cust_unit_tax": t["orders"].select(
@@ -65,48 +75,50 @@ def master_tables(t) -> dict:
             F.col("o_orderkey").cast("string").alias("sales_tax_exempt_id"),
         ),
         "tax_exemption_type_lang": language_table(
-            t["orders"], tax_code, tax[0], tax_text, tax[1]
+            priorities, tax_code, *tax_columns, tax_text
         ).unionByName(
             language_table(
-                t["orders"].where("o_orderpriority < '3'"),
+                priorities.where("o_orderpriority < '3'"),
                 tax_code,
-                tax[0],
+                *tax_columns,
                 F.concat(F.lit("FR "), tax_text),
-                tax[1],
                 "fr",
             )
         ),
         "customer_status_lang": language_table(
-            t["customer"],
+            t["customer"].select("c_mktsegment").distinct(),
             F.substring("c_mktsegment", 1, 1),
             "customer_status_code",
-            F.lower("c_mktsegment"),
             "display_short_desc",
+            F.lower("c_mktsegment"),
         ),
         "credit_terms_lang": language_table(
-            t["nation"], nation_code, "credit_terms_code", F.col("n_name"), "credit_terms_desc"
+            t["nation"], nation_code, "credit_terms_code", "credit_terms_desc", F.col("n_name")
         ),
         "new_cust_ovrd_type_lang": language_table(
             t["region"],
             F.col("r_regionkey").cast("string"),
             "new_cust_ovrd_code",
-            F.col("r_name"),
             "new_cust_ovrd_desc",
+            F.col("r_name"),
         ),
         "new_sales_type_lang": language_table(
-            t["orders"],
+            t["orders"].select("o_orderstatus").distinct(),
             F.col("o_orderstatus"),
             "new_sales_code",
-            F.concat(F.lit("sale "), F.col("o_orderstatus")),
             "new_sales_desc",
+            F.concat(F.lit("sale "), F.col("o_orderstatus")),
         ),
         "cust_codes_language_desc": code_table(t),
         "credit_risk_lang": language_table(
-            t["part"].where("p_type in ('ECONOMY', 'MEDIUM', 'LARGE')"),
+            t["part"]
+            .where("p_type in ('ECONOMY', 'MEDIUM', 'LARGE')")
+            .select("p_type")
+            .distinct(),
             F.substring("p_type", 1, 1),
             "credit_risk_code",
-            F.col("p_type"),
             "credit_risk_desc",
+            F.col("p_type"),
         ),
         "customer_segment_asgn": t["labels"].select(
             customer_id("doc_id").alias("customer_id"),
@@ -167,14 +179,14 @@ PROFILE_SQL = """
 
 @query(PROFILE_SQL, name="customer_profile")
 def profile_rows(t):
-    rows = customer_profile(measure_codes=True).rows(master_tables(t))
+    rows = customer_profile(measure=DERIVED).rows(master_tables(t))
     amount = F.col("credit_limit_dollar_amt").cast("double")
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
 
 @query(f"select * from ({PROFILE_SQL}) where customer_id = '000000042'")
 def customer_profile_one(t):
-    rows = customer_profile(measure_codes=True).rows(master_tables(t), only="000000042")
+    rows = customer_profile(measure=DERIVED).rows(master_tables(t), only="000000042")
     amount = F.col("credit_limit_dollar_amt").cast("double")
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
@@ -193,7 +205,7 @@ def customer_profile_one(t):
 )
 def customer_entities(t):
     rules = customer_rules("demo")
-    keyed = rules.keyed(customer_profile(measure_codes=True).rows(master_tables(t)))
+    keyed = rules.keyed(customer_profile(measure=DERIVED).rows(master_tables(t)))
     return rules.entities(keyed).select(
         F.col(f"{KEY}.project").alias("project"),
         F.col(f"{KEY}.kind").alias("kind"),

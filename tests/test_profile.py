@@ -102,7 +102,7 @@ def test_misses_nulls_and_defaults(spark):
 
 
 def test_owner_prefix_and_measured_codes(spark):
-    prefixed = customer_profile(owner="acme_", measure_codes=True)
+    prefixed = customer_profile(owner="acme_", measure=["credit_risk_lang", "nowhere"])
     same = customer_profile().rows(M.frames(spark))
     other = prefixed.rows(M.frames(spark, owner="acme_"))
     assert sorted(other.collect(), key=str) == sorted(same.collect(), key=str)
