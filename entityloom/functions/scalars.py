@@ -27,6 +27,26 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
+_INTEGER_NAMES = ("tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long")
+_FLOAT_NAMES = ("float", "real", "double")
+_MAY_BE_INTEGER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+_MAY_BE_FLOAT = r"^[\x00-\x20\x7f]*[+-]?([0-9.]|(?i:inf|nan))"
+
+
+def read_text(col: Column, type_name: str) -> Column:
+    """Text as ``type_name``, null where it cannot be read.
+
+    The same as ``try_cast``, which raises and catches an exception for every
+    text that is not a number; most of these are sorted out by a pattern first.
+    """
+    read = col.try_cast(type_name)
+    if type_name in _INTEGER_NAMES:
+        return F.when(col.rlike(_MAY_BE_INTEGER), read)
+    if type_name in _FLOAT_NAMES:
+        return F.when(col.rlike(_MAY_BE_FLOAT), read)
+    return read
+
+
 def guarded_code(
     col: Column, code_type: str, guard: Column, on_bad_code: str = "fail"
 ) -> Column:
@@ -39,5 +59,5 @@ def guarded_code(
     """
     if on_bad_code not in ("fail", "null"):
         raise ValueError(f"on_bad_code must be 'fail' or 'null', not {on_bad_code!r}")
-    cast = col.cast(code_type) if on_bad_code == "fail" else col.try_cast(code_type)
-    return F.when(guard, cast)
+    fail = on_bad_code == "fail"
+    return F.when(guard, col.cast(code_type) if fail else read_text(col, code_type))

@@ -6,9 +6,10 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entityloom.functions.property_types import to_property
-from entityloom.functions.scalars import quoted
+from entityloom.functions.scalars import quoted, read_text
 from entityloom.operators.labels import first_of_each_label
 
 # Names of the row's properties that could not be read.  A property that is
@@ -51,10 +52,11 @@ def normalise(
         F.array(
             *[
                 F.when(
-                    quoted(name).isNotNull() & quoted(name).try_cast(type_name).isNull(),
-                    F.lit(name),
+                    quoted(f.name).isNotNull() & _as(f, reads[f.name]).isNull(),
+                    F.lit(f.name),
                 )
-                for name, type_name in reads.items()
+                for f in rows.schema.fields
+                if f.name in reads
             ]
         )
     )
@@ -65,9 +67,15 @@ def normalise(
     return marked.select(*values, ABSENT)
 
 
-def _read(field, overrides, reads) -> Column:
+def _as(field: T.StructField, type_name: str) -> Column:
     col = quoted(field.name)
-    if field.name in reads:
-        col = col.try_cast(reads[field.name])
+    is_text = isinstance(field.dataType, T.StringType)
+    return read_text(col, type_name) if is_text else col.try_cast(type_name)
+
+
+def _read(
+    field: T.StructField, overrides: Mapping[str, Override], reads: Mapping[str, str]
+) -> Column:
+    col = _as(field, reads[field.name]) if field.name in reads else quoted(field.name)
     change = overrides.get(field.name) or overrides.get(field.dataType.typeName())
     return (change(col) if change else col).alias(field.name)

@@ -7,8 +7,11 @@ import math
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from entityloom.functions.scalars import read_text
 from entityloom.operators.labels import first_of_each_label
 from entityloom.operators.normalise import ABSENT, normalise
 
@@ -129,6 +132,22 @@ def test_unreadable_values_are_absent_not_null(spark):
         normalise(df, reads={"nope": "int"})
 
 
+TEXT = st.one_of(
+    st.text(alphabet="0123456789+-. eEdDfFxXnNaAiItTyY\t\n\x7f\x00", max_size=8),
+    st.text(max_size=5),
+    st.sampled_from(["Infinity", "-inf", " NaN ", "0x1p3", "1_0", "\u0661", "\xa01", "99999"]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(TEXT, min_size=60, max_size=120))
+def test_reading_text_is_try_cast(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for name in ("smallint", "int", "bigint", "float", "double", "date"):
+        read, cast = read_text(F.col("t"), name), F.col("t").try_cast(name)
+        assert df.where(~read.eqNullSafe(cast)).collect() == []
+
+
 def test_earliest_of_equal_labels_wins(spark, conf):
     df = spark.sql("select 1 as a, 2 as b, 3 as a, 4 as B")
     assert first_of_each_label(df).first().asDict() == {"a": 1, "b": 2}
