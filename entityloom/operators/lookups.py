@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import partial, reduce
 
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from entityloom.functions.scalars import all_of, guarded_code
 from entityloom.operators.skew import HotKeys, find_hot_keys, spread_left_join
+from entityloom.together import together
 
 
 MAX_BROADCAST_ROWS = 500_000
@@ -145,7 +145,7 @@ def widen(
             unmeasured[str(i)] = lookup_rows(tables[spec.table], spec)
         if spec.satellite and hot_rows is not None:
             scanned[i] = lookup_rows(tables[spec.table], spec)
-    small, *hot = _together(
+    small, *hot = together(
         partial(small_tables, unmeasured),
         *[
             partial(find_hot_keys, rows, [f"__k{k}" for k in range(len(specs[i].on))], hot_rows)
@@ -165,9 +165,3 @@ def _restricted(spec: Lookup, known: Mapping[str, object]) -> Lookup:
     if not fixed or spec.code_type:
         return spec
     return replace(spec, where={**spec.where, **fixed})
-
-
-def _together(*jobs: Callable[[], object]) -> list:
-    """Results of independent Spark jobs, run at the same time."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        return [done.result() for done in [pool.submit(job) for job in jobs]]

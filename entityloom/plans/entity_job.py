@@ -27,6 +27,10 @@ class Profile:
     output: Callable[[], list[Column]]
     filter_column: str | None = None  # base column a run may be restricted by
 
+    def tables(self) -> list[str]:
+        """The tables a run needs, each once."""
+        return list(dict.fromkeys([self.base, *[spec.table for spec in self.lookups]]))
+
     def rows(
         self,
         tables: Mapping[str, DataFrame],

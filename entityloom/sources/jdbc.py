@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from entityloom.functions.scalars import quoted
 from entityloom.sources.tables import land
+from entityloom.together import together
 
 
 @dataclass(frozen=True)
@@ -97,19 +101,33 @@ def read_jdbc(
     )
 
 
+def where_equal(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
+    """``df`` restricted by those of ``values`` whose column it has."""
+    for column, value in values.items():
+        if column in df.columns:
+            df = df.where(quoted(column) == F.lit(value))
+    return df
+
+
 def land_tables(
     spark: SparkSession,
     source: JdbcSource,
     relations: Mapping[str, str],
     splits: Mapping[str, ValueRanges | Sequence[str]] | None = None,
+    equal: Mapping[str, object] | None = None,
     folder: str | None = None,
 ) -> dict[str, DataFrame]:
     """Each relation read once and kept as Parquet, by its name.
 
-    Joins then run on one set of rows instead of asking the database again.
+    Joins then run on one set of rows instead of asking the database again.  The
+    tables are read side by side.  A relation with a column of ``equal`` is read
+    only where it has that value; the database applies the condition.
     """
     splits = splits or {}
-    return {
-        name: land(read_jdbc(spark, source, relation, splits.get(name)), name, folder)
-        for name, relation in relations.items()
-    }
+
+    def landed(name: str, relation: str) -> DataFrame:
+        rows = read_jdbc(spark, source, relation, splits.get(name))
+        return land(where_equal(rows, equal or {}), name, folder)
+
+    jobs = [partial(landed, name, relation) for name, relation in relations.items()]
+    return dict(zip(relations, together(*jobs)))

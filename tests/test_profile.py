@@ -13,6 +13,7 @@ from entityloom.operators.lookups import (
     small_tables,
     widen,
 )
+from entityloom.plans.customer_job import CustomerJob
 from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.entity_job import run, store
 from tests import master_fixture as M
@@ -212,3 +213,21 @@ def test_storing_twice_is_storing_once(spark):
     first = store(None, entities)
     again = store(first, entities)
     assert sorted(again.collect(), key=str) == sorted(first.collect(), key=str)
+
+
+def test_customer_job_from_a_folder(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for name, table in M.frames(spark, owner="acme_").items():
+        table.write.parquet(f"{source}/{name}.parquet")
+    one = CustomerJob("demo", owner="acme_", only="tax2", folder=str(tmp_path / "one"))
+    result, stored = one.run(spark, source)
+    assert result.metrics.first().collapsed == 1
+    assert [r["__key__"].name for r in stored.collect()] == ["tax2"]
+    every = CustomerJob("demo", owner="acme_", folder=str(tmp_path / "all"))
+    _, stored = every.run(spark, source, current=stored)
+    assert {r["__key__"].name for r in stored.collect()} == set(M.EXPECTED)
+    assert stored.count() == len(M.EXPECTED)
+
+
+def test_profile_names_its_tables():
+    assert sorted(customer_profile().tables()) == sorted(M.SCHEMAS)
