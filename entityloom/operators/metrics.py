@@ -34,16 +34,20 @@ def observe_keyed(keyed: DataFrame, observation: Observation) -> DataFrame:
     return keyed.observe(observation, *counts)
 
 
-def run_metrics(keyed: DataFrame) -> DataFrame:
-    """One row: rows, bad keys, dropped values, entities, rows lost to a shared key."""
-    per_key = keyed.groupBy(*[k.alias(f"k{i}") for i, k in enumerate(entity_keys())])
-    parts = per_key.agg(*_counts(keyed))
-    usable = F.col("k0").isNotNull()
-    return parts.agg(
-        *[
-            F.coalesce(F.sum(c), F.lit(0)).alias(c)
-            for c in ("rows", "bad_keys", "dropped_values")
-        ],
-        F.count_if(usable).alias("entities"),
-        F.coalesce(F.sum(F.when(usable, F.col("rows") - 1)), F.lit(0)).alias("collapsed"),
+def run_metrics(keyed: DataFrame, entities: DataFrame | None = None) -> DataFrame:
+    """One row: rows, bad keys, dropped values, entities, rows lost to a shared key.
+
+    With the landed ``entities`` at hand both tables are only counted; otherwise
+    the keys are counted by key.
+    """
+    if entities is None:
+        good = keyed.where(F.col(f"{KEY}.name").isNotNull())
+        entities = good.select(*entity_keys()).distinct()
+    none = F.lit(0).cast("bigint")
+    total = keyed.agg(*_counts(keyed), none.alias("entities")).unionByName(
+        entities.agg(F.count("*").alias("entities")), allowMissingColumns=True
     )
+    names = ("rows", "bad_keys", "dropped_values", "entities")
+    sums = total.agg(*[F.sum(n).alias(n) for n in names])
+    kept = F.col("rows") - F.col("bad_keys")
+    return sums.select("*", (kept - F.col("entities")).alias("collapsed"))

@@ -18,14 +18,10 @@ MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 10 * MAX_HOT_KEYS
 MERGE_GROUPS = 64
 
-_SKETCHED = (
-    T.ByteType,
-    T.ShortType,
-    T.IntegerType,
-    T.LongType,
-    T.StringType,
-    T.DateType,
-)
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_SKETCHED = (*_INTEGERS, T.StringType, T.DateType)
+# Types whose equal values, and no others, have equal JSON text.
+_EXACT_TEXT = (*_SKETCHED, T.BooleanType, T.BinaryType, T.DecimalType)
 
 
 @dataclass(frozen=True)
@@ -42,6 +38,7 @@ class HotKeys:
 
 
 def _one_value(keys: list[Column], types: list[T.DataType]) -> Column:
+    """A key as one value: itself, or its JSON text if it is composite."""
     if len(keys) == 1 and isinstance(types[0], _SKETCHED):
         return keys[0]
     any_null = F.lit(False)
@@ -51,6 +48,19 @@ def _one_value(keys: list[Column], types: list[T.DataType]) -> Column:
     return F.when(~any_null, text)
 
 
+def _types(df: DataFrame, columns: list[str]) -> list[T.DataType]:
+    return [df.schema[c].dataType for c in columns]
+
+
+def _comparable(left: list[T.DataType], right: list[T.DataType]) -> bool:
+    """Whether keys of these types are equal just when their values or texts are."""
+    return all(
+        isinstance(r, _EXACT_TEXT)
+        and (l == r or (isinstance(l, _INTEGERS) and isinstance(r, _INTEGERS)))
+        for l, r in zip(left, right)
+    )
+
+
 def find_hot_keys(
     df: DataFrame, keys: list[str], min_rows: int = 1_000_000, share: float = 0.0005
 ) -> HotKeys:
@@ -60,8 +70,11 @@ def find_hot_keys(
     steps, so no row is shuffled by key; the driver gets at most ``MAX_HOT_KEYS``
     values.  Every value returned does occur in ``df``, which the join below
     relies on.  The counts are estimates and only decide how rows are spread.
+    Keys of types that have no exact text are not looked for.
     """
-    types = [df.schema[k].dataType for k in keys]
+    types = _types(df, keys)
+    if not _comparable(types, types):
+        return HotKeys(())
     value = _one_value([F.col(k) for k in keys], types)
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     found = (
@@ -95,24 +108,23 @@ def spread_left_join(
 ) -> DataFrame:
     """Left outer join on ``pairs`` of (base column, right column) names.
 
-    The right key columns are dropped.  Without hot keys this is the plain join.
+    The right key columns are dropped.  Without hot keys, or if the two sides'
+    keys are of different kinds, this is the plain join.
     """
     match = [F.col(b) == F.col(r) for b, r in pairs]
-    right_keys = [r for _, r in pairs]
-    if not hot:
+    base_keys, right_keys = [b for b, _ in pairs], [r for _, r in pairs]
+    if not hot or not _comparable(_types(base, base_keys), _types(right, right_keys)):
         return base.join(right, match, "left").drop(*right_keys)
 
     def is_hot(df: DataFrame, names: list[str]) -> Column:
-        types = [right.schema[r].dataType for r in right_keys]
-        cols = [F.col(n).cast(t) for n, t in zip(names, types)]
-        return hot.holds(cols, types)
+        return hot.holds([F.col(n) for n in names], _types(df, names))
 
     # The salt depends on row content and partition only, so a task that runs
     # again gives each row the same salt.  Copies of one row differ by partition.
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.lit(salts))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     only_zero = F.array(F.lit(0).cast("bigint"))
-    left = base.withColumn("__hot", is_hot(base, [b for b, _ in pairs])).withColumn(
+    left = base.withColumn("__hot", is_hot(base, base_keys)).withColumn(
         "__salt_l", F.explode(F.when(F.col("__hot"), every_salt).otherwise(only_zero))
     )
     salted = right.withColumn(

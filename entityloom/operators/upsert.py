@@ -14,17 +14,20 @@ def upsert_entities(
     incoming: DataFrame,
     key: str | Sequence[str],
     order_by: Sequence[Column] = (),
+    collapsed: bool = False,
 ) -> DataFrame:
     """The stored entities after ``incoming`` is written over ``current``.
 
     A repeated key replaces the whole entity.  ``current`` holds one row per key;
     ``incoming`` is brought to one row per key first, the first under
-    ``order_by``.  A property only one side has is null on the other.  Where the
+    ``order_by``, unless it is ``collapsed`` already.  A property only one side has is null on the other.  Where the
     incoming keys are below Spark's broadcast threshold, ``current`` is only
     scanned; beyond it both sides are shuffled by key.  ``incoming`` is used
     twice, so land it first if it is the end of a long chain.
     """
     names = [key] if isinstance(key, str) else list(key)
-    new = collapse_by_key(incoming, names, order_by)
-    kept = current.join(incoming.select(*names).distinct(), names, "left_anti")
+    new, keys = incoming, incoming.select(*names)
+    if not collapsed:
+        new, keys = collapse_by_key(incoming, names, order_by), keys.distinct()
+    kept = current.join(keys, names, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)

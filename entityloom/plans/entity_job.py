@@ -100,7 +100,7 @@ def run(rows: DataFrame, rules: EntityRules, folder: str | None = None) -> RunRe
     """
     keyed = land(rules.keyed(rows), "keyed-rows", folder)
     entities = land(rules.entities(keyed), "entities", folder)
-    return RunResult(entities, split_bad_keys(keyed)[1], run_metrics(keyed))
+    return RunResult(entities, split_bad_keys(keyed)[1], run_metrics(keyed, entities))
 
 
 def store(
@@ -109,4 +109,4 @@ def store(
     """The next version of the stored entities, as a new table beside the old one."""
     if current is None:
         return land(entities, "stored", folder)
-    return land(upsert_entities(current, entities, KEY), "stored", folder)
+    return land(upsert_entities(current, entities, KEY, collapsed=True), "stored", folder)

@@ -95,11 +95,37 @@ def test_composite_keys(spark, types):
     assert spread.count() == 51
 
 
-def test_base_key_of_another_width(spark):
-    right = spark.createDataFrame([(1, i) for i in range(30)], "k smallint, v int")
-    base = spark.createDataFrame([(1,), (2,)], "id bigint")
+@pytest.mark.parametrize(
+    "base_type, right_type",
+    [
+        ("bigint", "smallint"),
+        ("smallint", "bigint"),
+        ("double", "smallint"),
+        ("string", "int"),
+        ("int", "string"),
+        ("double", "double"),
+        ("decimal(9,2)", "decimal(9,2)"),
+        ("decimal(9,2)", "decimal(12,4)"),
+        ("timestamp", "timestamp"),
+    ],
+)
+def test_keys_of_other_types_lose_nothing(spark, base_type, right_type):
+    def column(type_name, name, value="id"):
+        if type_name == "timestamp":
+            return f"timestamp_micros({value}) as {name}"
+        return f"cast({value} as {type_name}) as {name}"
+
+    right = spark.range(30).selectExpr(column(right_type, "k", "1"), "id as v")
+    base = spark.createDataFrame([(1,), (2,), (None,)], "id int").selectExpr(
+        column(base_type, "id")
+    )
+    if base_type in ("double", "bigint"):
+        extra = {"double": "1.5D", "bigint": "100000L"}[base_type]
+        base = base.union(spark.sql(f"select {extra}"))
     hot = find_hot_keys(right, ["k"], min_rows=10)
-    assert spread_left_join(base, right, [("id", "k")], hot, salts=4).count() == 31
+    spread = spread_left_join(base, right, [("id", "k")], hot, salts=4)
+    assert rows(spread) == rows(spread_left_join(base, right, [("id", "k")]))
+    assert spread.count() == 30 + base.count() - 1
 
 
 @pytest.mark.parametrize("key_type", ["string", "date", "bigint", "smallint", "double"])
