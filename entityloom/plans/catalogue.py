@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from entityloom.plans import (  # noqa: F401  (importing them registers their queries)
-    customer_queries,
-    entity_queries,
+# Importing these registers their queries, the simplest first.
+from entityloom.plans import (  # noqa: F401, I001
     join_queries,
     type_queries,
+    entity_queries,
+    customer_queries,
 )
 from entityloom.plans.registry import QUERIES, SCHEMAS, SQL
 

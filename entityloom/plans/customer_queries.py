@@ -9,23 +9,42 @@ from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.order_profile import code_table
 from entityloom.plans.registry import query
 
-
-# Code tables derived from large tables; Spark cannot tell that they are small.
-DERIVED = [
-    "tax_exemption_type_lang",
-    "customer_status_lang",
-    "new_sales_type_lang",
-    "credit_risk_lang",
-]
+ID_WIDTH = 12
+
+# The code table derived from a large table; Spark cannot tell that it is small.
+DERIVED = ["credit_risk_lang"]
+
+# Code tables that are fixed lists.
+CODE_TABLES = {
+    "tax_exemption_type_lang": """
+        select * from values
+          ('1', 'URGENT', 'en'), ('2', 'HIGH', 'en'), ('3', 'MEDIUM', 'en'),
+          ('4', 'NOT SPECIFIED', 'en'), ('5', 'LOW', 'en'),
+          ('1', 'FR URGENT', 'fr'), ('2', 'FR HIGH', 'fr')
+        as t(tax_exemption_code, tax_exemption_desc, language_type_code)
+    """,
+    "customer_status_lang": """
+        select * from values
+          ('A', 'automobile', 'en'), ('B', 'building', 'en'), ('F', 'furniture', 'en'),
+          ('H', 'household', 'en'), ('M', 'machinery', 'en'), ('M', 'machines', 'fr')
+        as t(customer_status_code, display_short_desc, language_type_code)
+    """,
+    "new_sales_type_lang": """
+        select * from values
+          ('F', 'sale F', 'en'), ('O', 'sale O', 'en'), ('P', 'sale P', 'en')
+        as t(new_sales_code, new_sales_desc, language_type_code)
+    """,
+}
 
 
 def customer_id(column: str):
-    return F.lpad(F.col(column).cast("string"), 9, "0")
+    return F.lpad(F.col(column).cast("string"), ID_WIDTH, "0")
 
 
 def master_tables(t) -> dict:
     """The ten tables of the profile.  Debtors have no status date and no limit;
     tax rows repeat per customer; tax codes 1 and 2 are described in two languages."""
+    spark = t["customer"].sparkSession
     nation = F.col("c_nationkey")
     debtor = F.col("c_acctbal") < 0
     segment_letter = F.substring("c_mktsegment", 1, 1)
@@ -63,35 +82,14 @@ def master_tables(t) -> dict:
         )
 
     nation_code = F.col("n_nationkey").cast("string")
-    priority = F.col("o_orderpriority")
-    tax_code, tax_text = F.substring(priority, 1, 1), F.substring(priority, 3, 99)
-    tax_columns = ("tax_exemption_code", "tax_exemption_desc")
-    priorities = t["orders"].select("o_orderpriority").distinct()
     return {
         "cust_unit": customers,
         "cust_unit_tax": t["orders"].select(
             customer_id("o_custkey").alias("customer_id"),
-            tax_code.alias("tax_exemption_code"),
+            F.substring("o_orderpriority", 1, 1).alias("tax_exemption_code"),
             F.col("o_orderkey").cast("string").alias("sales_tax_exempt_id"),
         ),
-        "tax_exemption_type_lang": language_table(
-            priorities, tax_code, *tax_columns, tax_text
-        ).unionByName(
-            language_table(
-                priorities.where("o_orderpriority < '3'"),
-                tax_code,
-                *tax_columns,
-                F.concat(F.lit("FR "), tax_text),
-                "fr",
-            )
-        ),
-        "customer_status_lang": language_table(
-            t["customer"].select("c_mktsegment").distinct(),
-            F.substring("c_mktsegment", 1, 1),
-            "customer_status_code",
-            "display_short_desc",
-            F.lower("c_mktsegment"),
-        ),
+        **{name: spark.sql(text) for name, text in CODE_TABLES.items()},
         "credit_terms_lang": language_table(
             t["nation"], nation_code, "credit_terms_code", "credit_terms_desc", F.col("n_name")
         ),
@@ -102,13 +100,6 @@ def master_tables(t) -> dict:
             "new_cust_ovrd_desc",
             F.col("r_name"),
         ),
-        "new_sales_type_lang": language_table(
-            t["orders"].select("o_orderstatus").distinct(),
-            F.col("o_orderstatus"),
-            "new_sales_code",
-            "new_sales_desc",
-            F.concat(F.lit("sale "), F.col("o_orderstatus")),
-        ),
         "cust_codes_language_desc": code_table(t),
         "credit_risk_lang": language_table(
             t["part"]
@@ -129,7 +120,7 @@ def master_tables(t) -> dict:
 
 
 PROFILE_SQL = """
-    select lpad(cast(c_custkey as varchar), 9, '0') as customer_id,
+    select lpad(cast(c_custkey as varchar), 12, '0') as customer_id,
            c_name as customer_name,
            c_mktsegment[1] as customer_status_code,
            lower(c_mktsegment) as customer_status_desc,
@@ -184,9 +175,9 @@ def profile_rows(t):
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
 
-@query(f"select * from ({PROFILE_SQL}) where customer_id = '000000042'")
+@query(f"select * from ({PROFILE_SQL}) where customer_id = '000000000042'")
 def customer_profile_one(t):
-    rows = customer_profile(measure=DERIVED).rows(master_tables(t), only="000000042")
+    rows = customer_profile(measure=DERIVED).rows(master_tables(t), only="000000000042")
     amount = F.col("credit_limit_dollar_amt").cast("double")
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
