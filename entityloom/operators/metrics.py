@@ -37,17 +37,19 @@ def observe_keyed(keyed: DataFrame, observation: Observation) -> DataFrame:
 def run_metrics(keyed: DataFrame, entities: DataFrame | None = None) -> DataFrame:
     """One row: rows, bad keys, dropped values, entities, rows lost to a shared key.
 
-    With the landed ``entities`` at hand both tables are only counted; otherwise
-    the keys are counted by key.
+    With the landed ``entities`` at hand both tables are only counted.  Otherwise
+    one pass counts ``keyed`` by key, each task adding up its own rows first.
     """
-    if entities is None:
-        good = keyed.where(F.col(f"{KEY}.name").isNotNull())
-        entities = good.select(*entity_keys()).distinct()
     none = F.lit(0).cast("bigint")
-    total = keyed.agg(*_counts(keyed), none.alias("entities")).unionByName(
-        entities.agg(F.count("*").alias("entities")), allowMissingColumns=True
-    )
+    if entities is not None:
+        parts = keyed.agg(*_counts(keyed), none.alias("entities")).unionByName(
+            entities.agg(F.count("*").alias("entities")), allowMissingColumns=True
+        )
+    else:
+        keys = [k.alias(f"k{i}") for i, k in enumerate(entity_keys())]
+        one = F.when(F.col("k0").isNotNull(), 1).otherwise(0).alias("entities")
+        parts = keyed.groupBy(*keys).agg(*_counts(keyed)).select("*", one)
     names = ("rows", "bad_keys", "dropped_values", "entities")
-    sums = total.agg(*[F.sum(n).alias(n) for n in names])
+    sums = parts.agg(*[F.coalesce(F.sum(n), none).alias(n) for n in names])
     kept = F.col("rows") - F.col("bad_keys")
     return sums.select("*", (kept - F.col("entities")).alias("collapsed"))
