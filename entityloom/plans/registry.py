@@ -39,7 +39,7 @@ SCHEMAS = {
     "pages": "page_id bigint, url string, html string",
     "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality int, toxic int",
-    "conversations": "conv_id bigint, turn int, role string, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
