@@ -8,6 +8,8 @@ and the left row is repeated once per salt.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,15 +28,21 @@ _EXACT_TEXT = (*_SKETCHED, T.BooleanType, T.BinaryType, T.DecimalType)
 
 @dataclass(frozen=True)
 class HotKeys:
-    """At most ``MAX_HOT_KEYS`` key values that hold many rows."""
+    """At most ``MAX_HOT_KEYS`` key values that hold many rows, by the number of
+    salts that cuts their rows into pieces of an ordinary size."""
 
-    values: tuple
+    by_salts: Mapping[int, tuple]
 
     def __bool__(self) -> bool:
-        return bool(self.values)
+        return bool(self.by_salts)
 
-    def holds(self, keys: list[Column], types: list[T.DataType]) -> Column:
-        return F.coalesce(_one_value(keys, types).isin(list(self.values)), F.lit(False))
+    def salts(self, keys: list[Column], types: list[T.DataType]) -> Column:
+        """Number of salts of a key: 1 unless it is hot."""
+        value = _one_value(keys, types)
+        number = F
+        for salts, values in self.by_salts.items():
+            number = number.when(value.isin(list(values)), F.lit(salts).cast("bigint"))
+        return number.otherwise(F.lit(1).cast("bigint"))
 
 
 def _one_value(keys: list[Column], types: list[T.DataType]) -> Column:
@@ -64,7 +72,8 @@ def _comparable(left: list[T.DataType], right: list[T.DataType]) -> bool:
 def find_hot_keys(
     df: DataFrame, keys: list[str], min_rows: int = 1_000_000, share: float = 0.0005
 ) -> HotKeys:
-    """Keys of ``df`` with at least ``min_rows`` rows and ``share`` of all rows.
+    """Keys of ``df`` with more than ``min_rows`` rows and ``share`` of all rows, to
+    be cut into pieces of about ``min_rows``.
 
     One pass over the key columns into sketches of fixed size, merged in two
     steps, so no row is shuffled by key; the driver gets at most ``MAX_HOT_KEYS``
@@ -74,7 +83,7 @@ def find_hot_keys(
     """
     types = _types(df, keys)
     if not _comparable(types, types):
-        return HotKeys(())
+        return HotKeys({})
     value = _one_value([F.col(k) for k in keys], types)
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     found = (
@@ -93,10 +102,12 @@ def find_hot_keys(
         .selectExpr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS}) as top", "rows")
         .first()
     )
-    if found is None:
-        return HotKeys(())
-    least = max(min_rows, share * found["rows"])
-    return HotKeys(tuple(t["item"] for t in found["top"] if t["count"] >= least))
+    by_salts: dict[int, tuple] = {}
+    for item, count in found["top"] if found else []:
+        if count > max(min_rows, share * found["rows"]):
+            salts = 2 ** math.ceil(math.log2(count / min_rows))  # few distinct numbers
+            by_salts[salts] = (*by_salts.get(salts, ()), item)
+    return HotKeys(by_salts)
 
 
 def spread_left_join(
@@ -104,7 +115,6 @@ def spread_left_join(
     right: DataFrame,
     pairs: list[tuple[str, str]],
     hot: HotKeys | None = None,
-    salts: int = 64,
 ) -> DataFrame:
     """Left outer join on ``pairs`` of (base column, right column) names.
 
@@ -116,25 +126,26 @@ def spread_left_join(
     if not hot or not _comparable(_types(base, base_keys), _types(right, right_keys)):
         return base.join(right, match, "left").drop(*right_keys)
 
-    def is_hot(df: DataFrame, names: list[str]) -> Column:
-        return hot.holds([F.col(n) for n in names], _types(df, names))
+    def salts(df: DataFrame, names: list[str]) -> Column:
+        return hot.salts([F.col(n) for n in names], _types(df, names))
 
     # The salt depends on row content and partition only, so a task that runs
     # again gives each row the same salt.  Copies of one row differ by partition.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.lit(salts))
-    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    only_zero = F.array(F.lit(0).cast("bigint"))
-    left = base.withColumn("__hot", is_hot(base, base_keys)).withColumn(
-        "__salt_l", F.explode(F.when(F.col("__hot"), every_salt).otherwise(only_zero))
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.col("__salts_r"))
+    zero = F.lit(0).cast("bigint")
+    salted = (
+        right.withColumn("__salts_r", salts(right, right_keys))
+        .withColumn("__salt_r", F.when(F.col("__salts_r") > 1, salt).otherwise(zero))
+        .withColumn("__hit", F.lit(True))
+    )
+    left = base.withColumn("__salts_l", salts(base, base_keys)).withColumn(
+        "__salt_l", F.explode(F.sequence(zero, F.col("__salts_l") - 1))
     )
-    salted = right.withColumn(
-        "__salt_r",
-        F.when(is_hot(right, right_keys), salt).otherwise(F.lit(0).cast("bigint")),
-    ).withColumn("__hit", F.lit(True))
     joined = left.join(
         salted, [*match, F.col("__salt_l") == F.col("__salt_r")], "left"
     )
     # A hot key occurs on the right, so some salt matched: the repeats that met
     # nothing are surplus.  Other rows were not repeated and all stay.
-    kept = joined.where(~F.col("__hot") | F.col("__hit").isNotNull())
-    return kept.drop(*right_keys, "__hot", "__salt_l", "__salt_r", "__hit")
+    kept = joined.where((F.col("__salts_l") == 1) | F.col("__hit").isNotNull())
+    helpers = ["__salts_l", "__salt_l", "__salts_r", "__salt_r", "__hit"]
+    return kept.drop(*right_keys, *helpers)
