@@ -136,7 +136,8 @@ def widen(
     (None: not at all), and the lookups marked so are measured; no other job is
     started.  ``known`` gives base columns that equal one value in every row, so
     tables joined on them need only be read there.  Lookups share no state, so
-    one table may be used several times.
+    one table may be used several times.  The tables must not change meanwhile:
+    land those of a live database first.
     """
     specs = [_restricted(spec, known or {}) for spec in lookups]
     unmeasured, scanned = {}, {}

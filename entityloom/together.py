@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
+
 
 def together(*jobs: Callable[[], object]) -> list:
-    """The results of ``jobs`` in order; the driver only waits for them."""
+    """The results of ``jobs`` in order; the driver only waits for them.
+
+    The threads take over the caller's job group and scheduler pool.
+    """
     if not jobs:
         return []
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [done.result() for done in [pool.submit(job) for job in jobs]]
+        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [done.result() for done in running]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from entityloom.operators.lookups import Lookup, widen
 from entityloom.operators.skew import HotKeys, find_hot_keys, spread_left_join
+from entityloom.together import together
 
 KEYS = st.one_of(st.none(), st.integers(0, 4))
 
@@ -148,3 +149,17 @@ def test_widen_spreads_satellites(spark):
     plain = widen(base, {"tax": tax}, [spec], hot_rows=None)
     assert rows(spread) == rows(plain)
     assert spread.count() == 43
+
+
+def test_jobs_run_together_under_the_callers_group(spark):
+    def group():
+        return spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+
+    spark.sparkContext.setJobGroup("mine", "a group")
+    try:
+        assert together(group, lambda: 2, spark.range(3).count) == ["mine", 2, 3]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert together() == []
+    with pytest.raises(ZeroDivisionError):
+        together(lambda: 1, lambda: 1 / 0)
