@@ -147,6 +147,7 @@ def widen(
         if spec.satellite and hot_rows is not None:
             scanned[i] = lookup_rows(tables[spec.table], spec)
     small, *hot = together(
+        base.sparkSession,
         partial(small_tables, unmeasured),
         *[
             partial(find_hot_keys, rows, [f"__k{k}" for k in range(len(specs[i].on))], hot_rows)

@@ -130,4 +130,4 @@ def land_tables(
         return land(where_equal(rows, equal or {}), name, folder)
 
     jobs = [partial(landed, name, relation) for name, relation in relations.items()]
-    return dict(zip(relations, together(*jobs)))
+    return dict(zip(relations, together(spark, *jobs)))

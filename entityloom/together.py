@@ -6,15 +6,21 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 
-def together(*jobs: Callable[[], object]) -> list:
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """The results of ``jobs`` in order; the driver only waits for them.
 
-    The threads take over the caller's job group and scheduler pool.
+    Each thread takes over the caller's job group, tags and scheduler pool.
     """
     if not jobs:
         return []
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(_as_caller(spark, job)) for job in jobs]
         return [done.result() for done in running]
+
+
+def _as_caller(spark: SparkSession, job: Callable[[], object]) -> Callable[[], object]:
+    inherit = inheritable_thread_target(spark)  # one copy of the properties per job
+    return job if inherit is spark else inherit(job)

@@ -157,9 +157,9 @@ def test_jobs_run_together_under_the_callers_group(spark):
 
     spark.sparkContext.setJobGroup("mine", "a group")
     try:
-        assert together(group, lambda: 2, spark.range(3).count) == ["mine", 2, 3]
+        assert together(spark, group, lambda: 2, spark.range(3).count) == ["mine", 2, 3]
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert together() == []
+    assert together(spark) == []
     with pytest.raises(ZeroDivisionError):
-        together(lambda: 1, lambda: 1 / 0)
+        together(spark, lambda: 1, lambda: 1 / 0)
