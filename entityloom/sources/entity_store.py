@@ -25,6 +25,7 @@ from pyspark.sql.datasource import (
 )
 
 FORMAT = "entity_store"
+ROW_GROUP = 100_000
 
 
 @dataclass
@@ -73,15 +74,26 @@ class FolderStore:
         self._fs.create_dir(self._folder, recursive=True)
         self._file = f".part-{task.partitionId():06d}-{task.taskAttemptId()}.parquet"
         self._writer: pq.ParquetWriter | None = None
+        self._waiting: list[pa.RecordBatch] = []
 
     def put(self, batch: pa.RecordBatch) -> None:
+        self._waiting.append(batch)
+        if sum(b.num_rows for b in self._waiting) >= ROW_GROUP:
+            self._flush()
+
+    def _flush(self) -> None:
+        if not self._waiting:
+            return
+        table = pa.Table.from_batches(self._waiting)
+        self._waiting = []
         if self._writer is None:
             self._writer = pq.ParquetWriter(
-                f"{self._folder}/{self._file}", batch.schema, filesystem=self._fs
+                f"{self._folder}/{self._file}", table.schema, filesystem=self._fs
             )
-        self._writer.write_batch(batch)
+        self._writer.write_table(table)
 
     def close(self) -> str | None:
+        self._flush()
         if self._writer is None:
             return None
         self._writer.close()
