@@ -250,10 +250,11 @@ def personal_digest(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.filter("spans", lambda s: s["kind"].isin(*BASE)),
         lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]),
     )
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in BASE
-    ]
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in BASE]
     return found.select(
         key,
         *counts,

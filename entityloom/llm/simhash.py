@@ -182,7 +182,7 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
                 [pa.array(buckets), pa.array(kept.view(np.int64))], ["bucket", "fp"]
             )
 
-    def meet(key, table: pa.Table) -> pa.Table:
+    def meet(key, table):
         fps = table.column("fp").combine_chunks().to_numpy().view(np.uint64)
         # A crowded bucket is expanded in slices by further bits, so memory stays bounded.
         more = max(0, int(np.ceil(np.log2(max(1, len(fps)) / TASK_ROWS))))
