@@ -9,7 +9,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entityloom.llm import packing, personal, simhash
+from entityloom.llm import (
+    decontaminate,
+    language,
+    licenses,
+    packing,
+    personal,
+    quality,
+    simhash,
+    substrings,
+    toxicity,
+    vectors,
+)
 from entityloom.plans.registry import SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,11 +31,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def tokenizer_file() -> str:
+    """Where the tokenizer's package is installed, on the driver and all executors alike."""
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def contamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.contamination(docs, benchmark)
+
+
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
@@ -37,9 +54,94 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal.personal_digest(table(spark, folder, "documents"))
 
 
+def repeats_removed(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.removal_digest(table(spark, folder, "documents"))
+
+
+def toxic(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def good(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(table(spark, folder, "documents"))
+
+
+def license_notices(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+def vector_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.vector_groups(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": contamination,
     "op2_simhash": simhash_groups,
     "op3_packing": packed,
     "op4_personal": personal_data,
+    "op5_substrings": repeats_removed,
+    "op6_toxicity": toxic,
+    "op7_quality": good,
+    "op8_language": languages,
+    "op9_licenses": license_notices,
+    "op10_vectors": vector_groups,
+}
+
+ITEM_WORDS = r"""regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+        with doc as (select doc_id, {ITEM_WORDS} as w from documents),
+        item as (select item_id, {ITEM_WORDS} as w from benchmark),
+        win as (
+            select item_id, least(13, len(w)) as span,
+                   unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2),
+                       lambda i: array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) as key
+            from item where len(w) > 0),
+        spans as (select distinct span from win),
+        place as (
+            select doc_id, span, unnest(range(1, len(w) - span + 2)) as p, w
+            from doc, spans where len(w) >= span),
+        occurs as (
+            select doc_id, span, p, array_to_string(w[p:p + span - 1], ' ') as key from place),
+        hit as (
+            select o.doc_id, o.p, o.span, win.item_id from occurs o join win using (span, key)),
+        words as (
+            select doc_id, count(distinct q) as n_hit
+            from (select doc_id, unnest(range(p, p + span)) as q from hit) group by doc_id),
+        items as (
+            select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as names
+            from (select distinct doc_id, cast(item_id as varchar) as i from hit) group by doc_id)
+        select doc.doc_id, len(doc.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+               coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(names, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(doc.w) as contaminated
+        from doc left join words using (doc_id) left join items using (doc_id)
+    """,
+    "op5_substrings": r"""
+        with doc as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+            from documents),
+        place as (
+            select doc_id, p, md5(array_to_string(w[p:p + 34], ' ')) as key
+            from (select doc_id, w, unnest(range(1, len(w) - 33)) as p from doc)),
+        again as (select key from place group by key having count(*) > 1),
+        gone as (
+            select distinct doc_id, unnest(range(p, p + 35)) as q
+            from place where key in (select key from again)),
+        kept as (
+            select doc_id, string_agg(x, ' ' order by q) as kept, count(*) as n_kept
+            from (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as q from doc) u
+            where not exists (select 1 from gone g where g.doc_id = u.doc_id and g.q = u.q)
+            group by doc_id)
+        select doc.doc_id, len(doc.w)::bigint as n_words,
+               (len(doc.w) - coalesce(n_kept, 0))::bigint as n_removed,
+               sha256(coalesce(kept, '')) as kept_sha256
+        from doc left join kept using (doc_id)
+    """,
 }
-SQL: dict[str, str] = {}

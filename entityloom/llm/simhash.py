@@ -225,3 +225,28 @@ def simhash_groups(
     return rows.join(named, "fp", "left").select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest key; all columns stay.
+
+    Of several rows with that key one stays.  Rows without a key are not compared and stay.
+    """
+    groups = simhash_groups(docs.where(F.col(key).isNotNull()), key, text, shingle, max_bits)
+    groups = written(groups, "simhash-groups")
+    first = groups.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("least"))
+    first = first.agg(F.count(F.lit(1)).alias("times"))
+    lone = first.where("times = 1").select("least")
+    several = first.where("times > 1").select("least")
+    left = docs.join(lone, docs[key] == F.col("least"), "left_semi")
+    left = left.unionByName(docs.where(F.col(key).isNull()))
+    if several.isEmpty():
+        return left
+    copies = docs.join(several, docs[key] == F.col("least"), "left_semi")
+    return left.unionByName(copies.dropDuplicates([key]))

@@ -1,0 +1,61 @@
+"""Language identification: the gradient, whole texts, held-out accuracy."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from entityloom.llm import language
+from tests.conftest import DATA
+
+
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(0)
+    net = language.Network(["a", "b", "c"], hidden=3, seed=1)
+    for layer in net.layers:
+        layer.inputs, layer.state = layer.inputs.astype(float), layer.state.astype(float)
+    net.out, net.bias = net.out.astype(float), net.bias.astype(float)
+    data, label = rng.integers(97, 105, (4, 5)), rng.integers(0, 3, 5)
+
+    def loss():
+        states, _, _ = net.joined(data)
+        return -net.log_probabilities(states)[:, np.arange(5), label].mean()
+
+    for w, g in zip(net.weights(), net.gradients(data, label), strict=True):
+        for _ in range(6):
+            at = tuple(rng.integers(0, s) for s in w.shape)
+            if w.shape[0] == 256:
+                at = (int(rng.choice(data.ravel())), at[1])
+            old = w[at]
+            w[at] = old + 1e-3
+            up = loss()
+            w[at] = old - 1e-3
+            down = loss()
+            w[at] = old
+            assert abs((up - down) / 2e-3 - g[at]) < 2e-3
+
+
+def test_accuracy_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    test = [r for r in rows if r.held_out]
+    assert len(rows) == 1000 and len(test) > 150
+    assert sum(r.lang == r.lang_pred for r in test) > 0.97 * len(test)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_every_position_counts_and_edges_are_defined(spark):
+    rng = random.Random(1)
+    net = language.train([(bytes([rng.choice(b"abc")] * 4), 0) for _ in range(600)]
+                         + [(bytes([rng.choice(b"xyz")] * 4), 1) for _ in range(600)], ["p", "q"])
+    reader = language.Reader(net)
+    texts = [None, "", "12 !?", "aaaa " * 3 + "xxxx " * 500, "bbbb" * 5000, "_", "×÷", "aaaa"]
+    lang, score = reader(pa.array(texts, pa.string()))
+    assert lang.to_pylist() == ["und", "und", "und", "q", "p", "und", "und", "p"]
+    assert reader(pa.array(texts, pa.string()))[1].to_pylist() == score.to_pylist()
+    frame = spark.createDataFrame([(1, None, "x")], "doc_id int, text string, language string")
+    assert language.identify(frame, net).collect()[0]["language_"].lang_pred == "und"
+    empty = spark.read.parquet(f"{DATA}/documents.parquet").where("false")
+    assert language.identified(empty).count() == 0
+    assert language.identified(empty.limit(0).union(
+        spark.createDataFrame([(None, None, None, None, None)], empty.schema))).count() == 1
