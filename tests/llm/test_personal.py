@@ -43,7 +43,7 @@ def test_digest_and_mask(spark):
     ]
     frame = spark.createDataFrame(docs, "doc_id long, text string, masked int")
     rows = {r.doc_id: r for r in personal.personal_digest(frame).collect()}
-    assert rows[1].spans == "email:7:13,phone:17:33"
+    assert rows[1].spans == "email:7:15,phone:19:36"
     assert (rows[1].n_email, rows[1].n_phone, rows[4].n_ip) == (1, 1, 1)
     assert rows[2].base_sha256 == rows[3].base_sha256 and rows[2].spans == ""
     masked = personal.mask_personal(frame, length="masked").collect()
