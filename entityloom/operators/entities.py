@@ -75,7 +75,7 @@ def with_key(
                 f"key column {name} is {df.schema[name].dataType.simpleString()}, not string"
             )
         part = quoted(name) if is_text else quoted(name).cast("string")
-        if is_text and len(key_columns) > 1:
+        if len(key_columns) > 1:
             part = _escaped(part)
         parts.append(part)
     name = key_name(parts)
@@ -101,9 +101,10 @@ def to_long(wide: DataFrame) -> DataFrame:
     for name in names:
         kind = P.stored_kind(wide.schema[name].dataType)
         if kind is None:
-            raise TypeError(
-                f"{name} is {wide.schema[name].dataType.simpleString()}: normalise first"
-            )
+            found = wide.schema[name].dataType
+            kept = isinstance(found, T.DecimalType)
+            advice = "a kept decimal has no long form" if kept else "normalise first"
+            raise TypeError(f"{name} is {found.simpleString()}: {advice}")
         col = quoted(name)
         cells += [
             F.lit(name),
@@ -123,4 +124,5 @@ def to_long(wide: DataFrame) -> DataFrame:
     )
     if not has_absent:
         return rows
-    return rows.where(~F.array_contains(ABSENT, F.col("property"))).drop(ABSENT)
+    absent = F.coalesce(F.array_contains(ABSENT, F.col("property")), F.lit(False))
+    return rows.where(~absent).drop(ABSENT)

@@ -5,8 +5,38 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from entityloom.functions.scalars import quoted
 from entityloom.operators.collapse import collapse_by_key
+from entityloom.operators.entities import KEY
+from entityloom.operators.normalise import ABSENT
+
+
+class PropertyTypeChanged(TypeError):
+    pass
+
+
+def check_same_types(current: DataFrame, incoming: DataFrame) -> None:
+    """Fails, before anything runs, if a property is of another type on either side."""
+    stored = dict(current.dtypes)
+    changed = [
+        f"{name}: {stored[name]} stored, {kind} incoming"
+        for name, kind in incoming.dtypes
+        if stored.get(name, kind) != kind
+    ]
+    if changed:
+        raise PropertyTypeChanged("; ".join(changed))
+
+
+def _with_absent(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the properties that only ``other`` has marked absent in each row."""
+    lacking = [c for c in other.columns if c not in (*df.columns, ABSENT)]
+    named = F.array(*[F.lit(c) for c in lacking]).cast("array<string>")
+    if ABSENT in df.columns:
+        named = F.array_union(F.coalesce(ABSENT, F.array().cast("array<string>")), named)
+    rest = [quoted(c) for c in df.columns if c != ABSENT]
+    return df.select(*rest, named.alias(ABSENT))
 
 
 def upsert_entities(
@@ -20,14 +50,22 @@ def upsert_entities(
 
     A repeated key replaces the whole entity.  ``current`` holds one row per key;
     ``incoming`` is brought to one row per key first, the first under
-    ``order_by``, unless it is ``collapsed`` already.  A property only one side has is null on the other.  Where the
-    incoming keys are below Spark's broadcast threshold, ``current`` is only
-    scanned; beyond it both sides are shuffled by key.  ``incoming`` is used
+    ``order_by``, unless it is ``collapsed`` already.  A property of entities that only
+    one side has is absent, not null, in the other's rows (``__absent__`` names it);
+    rows that are no entities get null there.  A property whose type differs fails before
+    the run.  Where the incoming keys are below Spark's broadcast threshold, ``current`` is
+    only scanned; beyond it both sides are shuffled by key.  ``incoming`` is used
     twice, so land it first if it is the end of a long chain.
     """
     names = [key] if isinstance(key, str) else list(key)
+    check_same_types(current, incoming)
     new, keys = incoming, incoming.select(*names)
     if not collapsed:
         new, keys = collapse_by_key(incoming, names, order_by), keys.distinct()
     kept = current.join(keys, names, "left_anti")
+    entities = KEY in current.columns and KEY in incoming.columns
+    properties = [{*df.columns} - {ABSENT} for df in (current, incoming)]
+    marked = ABSENT in current.columns or ABSENT in incoming.columns
+    if entities and (marked or properties[0] != properties[1]):
+        kept, new = _with_absent(kept, incoming), _with_absent(new, current)
     return kept.unionByName(new, allowMissingColumns=True)

@@ -156,13 +156,61 @@ def test_upsert_replaces_adds_and_keeps(spark):
     assert sorted(map(tuple, again.collect())) == expected
 
 
+def things(spark, rows, schema, reads=None):
+    df = spark.createDataFrame(rows, schema)
+    return with_key(normalise(df, reads=reads), ["id"], "p", "K")
+
+
+def shown(df):
+    return sorted((r.key_name, r.property, r.value_type) for r in to_long(df).collect())
+
+
+@pytest.mark.parametrize("marked", ["current", "incoming", "neither"])
+def test_upsert_tells_absent_from_null(spark, marked):
+    plain = things(spark, [("a", None), ("b", "1")], "id string, x string")
+    read = things(spark, [("c", "1"), ("d", "no"), ("e", None)], "id string, n string", {"n": "int"})
+    if marked == "neither":
+        read = things(spark, [("c", 1), ("e", None)], "id string, n int")
+    sides = (read, plain) if marked == "current" else (plain, read)
+    expected = [("a", "id", "string"), ("a", "x", "null"), ("b", "id", "string")]
+    expected += [("b", "x", "string"), ("c", "id", "string"), ("c", "n", "long")]
+    expected += [("e", "id", "string"), ("e", "n", "null")]
+    if marked != "neither":
+        expected.append(("d", "id", "string"))
+    once = upsert_entities(*sides, KEY)
+    assert shown(once) == sorted(expected)
+    assert shown(upsert_entities(once, sides[1], KEY)) == sorted(expected)
+
+
+def test_upsert_reports_changed_types_before_the_run(spark):
+    current = things(spark, [("a", "1")], "id string, n string")
+    incoming = things(spark, [("a", 1)], "id string, n int")
+    with pytest.raises(TypeError, match="n: string stored, bigint incoming"):
+        upsert_entities(current, incoming, KEY)
+
+
+def test_cast_parts_are_escaped(spark):
+    df = spark.sql(
+        "select cast(a as binary) as a, cast(b as binary) as b"
+        " from values ('a/b', 'c'), ('a', 'b/c') as t(a, b)"
+    )
+    found = names(with_key(df, ["a", "b"], "p", "K", cast_keys=True))
+    assert len(set(found)) == 2
+
+
+def test_kept_decimals_have_no_long_form(spark):
+    df = normalise(spark.sql("select 'a' as id, 1.5 as x"), decimal="keep")
+    with pytest.raises(TypeError, match="kept decimal"):
+        to_long(with_key(df, ["id"], "p", "K"))
+
+
 def test_upsert_by_whole_key(spark):
-    def things(kind):
+    def thing(kind):
         return with_key(spark.sql("select 'a' as id"), ["id"], "p", kind)
 
-    both = upsert_entities(things("K"), things("L"), KEY)
+    both = upsert_entities(thing("K"), thing("L"), KEY)
     assert both.count() == 2
-    assert upsert_entities(both, things("L"), KEY).count() == 2
+    assert upsert_entities(both, thing("L"), KEY).count() == 2
 
 
 def test_counts(spark):
