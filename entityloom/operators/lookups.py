@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entityloom.functions.scalars import all_of, guarded_code
-from entityloom.operators.skew import HotKeys, find_hot_keys, spread_left_join
+from entityloom.functions.scalars import all_of, guarded_code, quoted
+from entityloom.operators.skew import find_hot_keys, spread_left_join
 from entityloom.together import together
 
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 32 << 20
+AUTO = "auto"
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ class Lookup:
     where: Mapping[str, object] = field(default_factory=dict)
     code_type: str | None = None  # the table's key is text, compare it as this type
     on_bad_code: str = "fail"
-    trim: bool = False  # the table's text keys and literals are blank padded
+    trim: bool = False  # text keys of either side and the literals may be blank padded
     unique: bool = False  # fail if a key occurs twice
     satellite: bool = False  # may hold many rows per key, some keys very many
     measure: bool = False  # Spark cannot know the size: measure, broadcast if small
@@ -52,7 +53,10 @@ def lookup_rows(table: DataFrame, spec: Lookup) -> DataFrame:
         is_text = spec.trim and isinstance(table.schema[name].dataType, T.StringType)
         return F.rtrim(F.col(name)) if is_text else F.col(name)
 
-    conditions = [column(c) == F.lit(v) for c, v in spec.where.items()]
+    def literal(value: object):
+        return F.lit(value.rstrip(" ") if spec.trim and isinstance(value, str) else value)
+
+    conditions = [column(c) == literal(v) for c, v in spec.where.items()]
     guard = all_of(conditions)
     keys = []
     for i, name in enumerate(spec.on):
@@ -74,7 +78,18 @@ def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def small_tables(tables: Mapping[str, DataFrame]) -> set[str]:
+def will_be_broadcast(rows: DataFrame) -> bool:
+    """Whether Spark's own estimate puts ``rows`` below its broadcast threshold."""
+    conf = rows.sparkSession._jsparkSession.sessionState().conf()
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
+
+
+def small_tables(
+    tables: Mapping[str, DataFrame],
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> set[str]:
     """Which of ``tables`` are within the broadcast bounds, by measuring all of
     them in one job that returns one row each."""
     if not tables:
@@ -97,7 +112,7 @@ def small_tables(tables: Mapping[str, DataFrame]) -> set[str]:
     return {
         m["name"]
         for m in reduce(DataFrame.unionByName, measured).collect()
-        if m["rows"] <= MAX_BROADCAST_ROWS and m["bytes"] <= MAX_BROADCAST_BYTES
+        if m["rows"] <= max_rows and m["bytes"] <= max_bytes
     }
 
 
@@ -105,7 +120,7 @@ def lookup_join(
     base: DataFrame,
     table: DataFrame,
     spec: Lookup,
-    hot: HotKeys | None = None,
+    hot: DataFrame | None = None,
     small: bool = False,
 ) -> DataFrame:
     """``base`` with the ``take`` columns of ``table``; a null key matches nothing.
@@ -114,27 +129,39 @@ def lookup_join(
     Spark broadcasts a table whose files, or shuffled rows, it finds to be below
     its threshold, and shuffles otherwise.
     """
+    if taken := sorted({c.lower() for c in base.columns} & {c.lower() for c in spec.take}):
+        raise ValueError(f"{spec.table}: the rows have a column {', '.join(taken)} already")
     rows = lookup_rows(table, spec)
     if small:
         rows = F.broadcast(rows)
     keys = [f"__k{i}" for i in range(len(spec.on))]
     if spec.unique and (twice := repeated_keys(rows, keys).take(1)):
         raise DuplicateLookupKey(f"{spec.table}: key {twice[0][:-1]} is not unique")
-    return spread_left_join(base, rows, list(zip(spec.on.values(), keys)), hot)
+    names = list(spec.on.values())
+    padded = [n for n in names if isinstance(base.schema[n].dataType, T.StringType)]
+    if not spec.trim or not padded:
+        return spread_left_join(base, rows, list(zip(names, keys)), hot)
+    plain = {n: f"__b{i}" for i, n in enumerate(padded)}
+    trimmed = base.select("*", *[F.rtrim(quoted(n)).alias(b) for n, b in plain.items()])
+    pairs = [(plain.get(n, n), k) for n, k in zip(names, keys)]
+    return spread_left_join(trimmed, rows, pairs, hot).drop(*plain.values())
 
 
 def widen(
     base: DataFrame,
     tables: Mapping[str, DataFrame],
     lookups: Sequence[Lookup],
-    hot_rows: int | None = 1_000_000,
+    hot_rows: int | str | None = AUTO,
     known: Mapping[str, object] | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``base`` joined with each lookup in turn.
 
-    Each satellite is first scanned for keys with ``hot_rows`` rows or more
-    (None: not at all), and the lookups marked so are measured; no other job is
-    started.  ``known`` gives base columns that equal one value in every row, so
+    Each satellite that Spark would not broadcast is first scanned for keys with more
+    than ``hot_rows`` rows (by default those of an ordinary shuffle partition; None: not at
+    all), and the lookups marked so are measured: one within ``max_rows`` and ``max_bytes``
+    is broadcast, a larger one is shuffled, with the same rows.  No other job is started.  ``known`` gives base columns that equal one value in every row, so
     tables joined on them need only be read there.  Lookups share no state, so
     one table may be used several times.  The tables must not change meanwhile:
     land those of a live database first.
@@ -145,12 +172,15 @@ def widen(
         if spec.measure:
             unmeasured[str(i)] = lookup_rows(tables[spec.table], spec)
         if spec.satellite and hot_rows is not None:
-            scanned[i] = lookup_rows(tables[spec.table], spec)
+            rows = lookup_rows(tables[spec.table], spec)
+            if hot_rows != AUTO or not will_be_broadcast(rows):
+                scanned[i] = rows
+    least = None if hot_rows == AUTO else hot_rows
     small, *hot = together(
         base.sparkSession,
-        partial(small_tables, unmeasured),
+        partial(small_tables, unmeasured, max_rows, max_bytes),
         *[
-            partial(find_hot_keys, rows, [f"__k{k}" for k in range(len(specs[i].on))], hot_rows)
+            partial(find_hot_keys, rows, [f"__k{k}" for k in range(len(specs[i].on))], least)
             for i, rows in scanned.items()
         ],
     )

@@ -8,52 +8,17 @@ and the left row is repeated once per salt.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 10 * MAX_HOT_KEYS
-MERGE_GROUPS = 64
-
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_SKETCHED = (*_INTEGERS, T.StringType, T.DateType)
-# Types whose equal values, and no others, have equal JSON text.
-_EXACT_TEXT = (*_SKETCHED, T.BooleanType, T.BinaryType, T.DecimalType)
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """At most ``MAX_HOT_KEYS`` key values that hold many rows, by the number of
-    salts that cuts their rows into pieces of an ordinary size."""
-
-    by_salts: Mapping[int, tuple]
-
-    def __bool__(self) -> bool:
-        return bool(self.by_salts)
-
-    def salts(self, keys: list[Column], types: list[T.DataType]) -> Column:
-        """Number of salts of a key: 1 unless it is hot."""
-        value = _one_value(keys, types)
-        number = F
-        for salts, values in self.by_salts.items():
-            number = number.when(value.isin(list(values)), F.lit(salts).cast("bigint"))
-        return number.otherwise(F.lit(1).cast("bigint"))
+from entityloom.sources.tables import land
 
+SALTS = "__salts"
+LEAST_HOT_ROWS = 10_000
+MAX_BROADCAST_KEYS = 100_000
 
-def _one_value(keys: list[Column], types: list[T.DataType]) -> Column:
-    """A key as one value: itself, or its JSON text if it is composite."""
-    if len(keys) == 1 and isinstance(types[0], _SKETCHED):
-        return keys[0]
-    any_null = F.lit(False)
-    for key in keys:
-        any_null = any_null | key.isNull()
-    text = F.to_json(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]))
-    return F.when(~any_null, text)
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _types(df: DataFrame, columns: list[str]) -> list[T.DataType]:
@@ -61,84 +26,74 @@ def _types(df: DataFrame, columns: list[str]) -> list[T.DataType]:
 
 
 def _comparable(left: list[T.DataType], right: list[T.DataType]) -> bool:
-    """Whether keys of these types are equal just when their values or texts are."""
+    """Whether each key of the left equals at most one key of the right."""
     return all(
-        isinstance(r, _EXACT_TEXT)
-        and (l == r or (isinstance(l, _INTEGERS) and isinstance(r, _INTEGERS)))
+        l == r or (isinstance(l, _INTEGERS) and isinstance(r, _INTEGERS))
         for l, r in zip(left, right)
     )
 
 
+def rows_per_partition(df: DataFrame) -> int:
+    """Rows of an ordinary shuffle partition of ``df``, ``LEAST_HOT_ROWS`` at least."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_HOT_ROWS, df.count() // partitions)
+
+
 def find_hot_keys(
-    df: DataFrame, keys: list[str], min_rows: int = 1_000_000, share: float = 0.0005
-) -> HotKeys:
-    """Keys of ``df`` with more than ``min_rows`` rows and ``share`` of all rows, to
-    be cut into pieces of about ``min_rows``.
-
-    One pass over the key columns into sketches of fixed size, merged in two
-    steps, so no row is shuffled by key; the driver gets at most ``MAX_HOT_KEYS``
-    values.  Every value returned does occur in ``df``, which the join below
-    relies on.  The counts are estimates and only decide how rows are spread.
-    Keys of types that have no exact text are not looked for.
+    df: DataFrame, keys: list[str], min_rows: int | None = None
+) -> DataFrame | None:
+    """Every key of ``df`` with more than ``min_rows`` rows (by default an ordinary shuffle
+    partition's), with the number of salts that cuts it into pieces of about that many.
+
+    Rows are counted per task before they are shuffled, so a hot key is cheap to count.  The
+    table is landed and stays on the executors; None if no key is hot.
     """
-    types = _types(df, keys)
-    if not _comparable(types, types):
-        return HotKeys({})
-    value = _one_value([F.col(k) for k in keys], types)
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
-    found = (
-        df.select(value.alias("__key"), group.alias("__group"))
-        .where("__key is not null")
-        .groupBy("__group")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(__key, {TRACKED_KEYS})").alias("sketch"),
-            F.count("*").alias("rows"),
-        )
-        .groupBy(F.lit(0).alias("__all"))  # no row at all if there was none
-        .agg(
-            F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"),
-            F.sum("rows").alias("rows"),
-        )
-        .selectExpr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS}) as top", "rows")
-        .first()
-    )
-    by_salts: dict[int, tuple] = {}
-    for item, count in found["top"] if found else []:
-        if count > max(min_rows, share * found["rows"]):
-            salts = 2 ** math.ceil(math.log2(count / min_rows))  # few distinct numbers
-            by_salts[salts] = (*by_salts.get(salts, ()), item)
-    return HotKeys(by_salts)
+    least = min_rows or rows_per_partition(df)
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    counts = df.where(present).groupBy(*keys).agg(F.count("*").alias("rows"))
+    salts = F.pow(2, F.ceil(F.log2(F.col("rows") / least))).cast("bigint").alias(SALTS)
+    hot = land(counts.where(F.col("rows") > least).select(*keys, salts), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def spread_left_join(
     base: DataFrame,
     right: DataFrame,
     pairs: list[tuple[str, str]],
-    hot: HotKeys | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer join on ``pairs`` of (base column, right column) names.
 
-    The right key columns are dropped.  Without hot keys, or if the two sides'
-    keys are of different kinds, this is the plain join.
+    The right key columns are dropped.  ``hot`` must come from ``right``'s own rows.  Without
+    hot keys, or if the two sides' keys are of different kinds, this is the plain join.
     """
     match = [F.col(b) == F.col(r) for b, r in pairs]
     base_keys, right_keys = [b for b, _ in pairs], [r for _, r in pairs]
-    if not hot or not _comparable(_types(base, base_keys), _types(right, right_keys)):
+    if hot is None or not _comparable(_types(base, base_keys), _types(right, right_keys)):
         return base.join(right, match, "left").drop(*right_keys)
 
-    def salts(df: DataFrame, names: list[str]) -> Column:
-        return hot.salts([F.col(n) for n in names], _types(df, names))
+    few = hot.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+
+    def salted_rows(df: DataFrame, names: list[str], label: str) -> DataFrame:
+        renamed = [F.col(r).alias(f"__hot{i}") for i, r in enumerate(right_keys)]
+        table = hot.select(*renamed, F.col(SALTS).alias(f"__{label}"))
+        same = [F.col(n) == F.col(f"__hot{i}") for i, n in enumerate(names)]
+        joined = df.join(F.broadcast(table) if few else table, same, "left")
+        one = F.coalesce(f"__{label}", F.lit(1).cast("bigint"))
+        return joined.select(*df.columns, one.alias(label))
 
     # The salt depends on row content and partition only, so a task that runs
     # again gives each row the same salt.  Copies of one row differ by partition.
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.col("__salts_r"))
     zero = F.lit(0).cast("bigint")
     salted = (
-        right.withColumn("__salts_r", salts(right, right_keys))
+        salted_rows(right, right_keys, "__salts_r")
         .withColumn("__salt_r", F.when(F.col("__salts_r") > 1, salt).otherwise(zero))
         .withColumn("__hit", F.lit(True))
     )
-    left = base.withColumn("__salts_l", salts(base, base_keys)).withColumn(
+    left = salted_rows(base, base_keys, "__salts_l").withColumn(
         "__salt_l", F.explode(F.sequence(zero, F.col("__salts_l") - 1))
     )
     joined = left.join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections import Counter
 
 import pytest
@@ -10,14 +11,16 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from entityloom.operators.lookups import Lookup, widen
-from entityloom.operators.skew import HotKeys, find_hot_keys, spread_left_join
+from entityloom.operators.skew import SALTS, find_hot_keys, spread_left_join
 from entityloom.together import together
 
 KEYS = st.one_of(st.none(), st.integers(0, 4))
 
 
-def values(hot):
-    return {v for group in hot.by_salts.values() for v in group}
+def salts(hot):
+    """Number of salts by key."""
+    rows = hot.collect() if hot is not None else []
+    return {tuple(r)[:-1]: r[SALTS] for r in rows}
 
 
 def rows(df):
@@ -44,7 +47,8 @@ def test_spread_join_equals_brute_force(spark, base, right):
     b = spark.createDataFrame(base, "id int, tag int")
     r = spark.createDataFrame(right, "k int, v int")
     hot = find_hot_keys(r, ["k"], min_rows=2)
-    assert values(hot) <= {k for k, _ in right if k is not None}
+    counts = Counter(k for k, _ in right if k is not None)
+    assert {k for (k,) in salts(hot)} == {k for k, n in counts.items() if n > 2}
     joined = spread_left_join(b, r, [("id", "k")], hot)
     assert joined.columns == ["id", "tag", "v"]
     assert rows(joined) == left_join(base, right)
@@ -56,7 +60,7 @@ def test_one_key_with_a_third_of_all_rows(spark):
     )
     base = spark.range(100).selectExpr("id", "id as tag")
     hot = find_hot_keys(right, ["k"], min_rows=1000)
-    assert hot.by_salts == {4: (7,)}
+    assert salts(hot) == {(7,): 4}
     plain = spread_left_join(base, right, [("id", "k")])
     spread = spread_left_join(base, right, [("id", "k")], hot)
     assert rows(spread) == rows(plain)
@@ -93,7 +97,7 @@ def test_composite_keys(spark, types):
         f"cast({first} as {t1}) b1", f"cast(id as {t2}) b2", "id as tag"
     )
     hot = find_hot_keys(right, ["k1", "k2"], min_rows=10)
-    assert len(values(hot)) == 2
+    assert len(salts(hot)) == 2
     pairs = [("b1", "k1"), ("b2", "k2")]
     spread = spread_left_join(base, right, pairs, hot)
     assert rows(spread) == rows(spread_left_join(base, right, pairs))
@@ -137,8 +141,37 @@ def test_keys_of_other_types_lose_nothing(spark, base_type, right_type):
 def test_nothing_hot(spark, key_type):
     empty = spark.createDataFrame([], f"k {key_type}")
     nulls = spark.createDataFrame([(None,)] * 5, f"k {key_type}")
-    assert find_hot_keys(empty, ["k"], min_rows=1) == HotKeys({})
-    assert find_hot_keys(nulls, ["k"], min_rows=1) == HotKeys({})
+    assert find_hot_keys(empty, ["k"], min_rows=1) is None
+    assert find_hot_keys(nulls, ["k"], min_rows=1) is None
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_every_one_of_many_hot_keys_is_spread(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr("entityloom.operators.skew.MAX_BROADCAST_KEYS", 10)
+    right = spark.range(100_000).selectExpr("id % 5000 as k", "id as v")
+    hot = find_hot_keys(right, ["k"], min_rows=10)  # each key holds 0.02 % of the rows
+    assert hot.count() == 5000 and {r[SALTS] for r in hot.collect()} == {2}
+    base = spark.range(6000).selectExpr("id")
+    joined = spread_left_join(base, right, [("id", "k")], hot)
+    assert joined.count() == 101_000
+    assert joined.where("v is null").count() == 1000
+    assert joined.selectExpr("sum(v)").first()[0] == sum(range(100_000))
+
+
+def test_a_broadcast_satellite_is_not_scanned(spark, conf, monkeypatch):
+    base = spark.range(4).selectExpr("id")
+    table = spark.range(50).selectExpr("id % 3 as k", "id as v")
+    spec = Lookup("t", on={"k": "id"}, take={"v": "v"}, satellite=True)
+    asked = []
+    monkeypatch.setattr(
+        "entityloom.operators.lookups.find_hot_keys", lambda *a: asked.append(a)
+    )
+    widen(base, {"t": table}, [spec])
+    assert not asked
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    widen(base, {"t": table}, [spec])
+    assert len(asked) == 1
 
 
 def test_widen_spreads_satellites(spark):
@@ -163,3 +196,17 @@ def test_jobs_run_together_under_the_callers_group(spark):
     assert together(spark) == []
     with pytest.raises(ZeroDivisionError):
         together(spark, lambda: 1, lambda: 1 / 0)
+
+
+def test_a_failure_cancels_the_other_jobs(spark):
+    def endless():
+        return spark.range(4).selectExpr("java_method('java.lang.Thread', 'sleep', 60000L)").collect()
+
+    def fails():
+        time.sleep(2)
+        raise ZeroDivisionError
+
+    start = time.perf_counter()
+    with pytest.raises(ZeroDivisionError):
+        together(spark, endless, fails)
+    assert time.perf_counter() - start < 40
