@@ -53,3 +53,12 @@ def run_metrics(keyed: DataFrame, entities: DataFrame | None = None) -> DataFram
     sums = parts.agg(*[F.coalesce(F.sum(n), none).alias(n) for n in names])
     kept = F.col("rows") - F.col("bad_keys")
     return sums.select("*", (kept - F.col("entities")).alias("collapsed"))
+
+
+def observed_metrics(seen: Observation, entities: DataFrame) -> DataFrame:
+    """The row of ``run_metrics`` from counts taken by ``observe_keyed`` in a run that is over."""
+    counts = {"dropped_values": 0, **seen.get}
+    totals = [F.lit(counts[n]).cast("bigint").alias(n) for n in ("rows", "bad_keys", "dropped_values")]
+    found = entities.agg(F.count("*").alias("entities")).select(*totals, "entities")
+    kept = F.col("rows") - F.col("bad_keys")
+    return found.select("*", (kept - F.col("entities")).alias("collapsed"))

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from entityloom.plans.customer_profile import customer_profile, customer_rules
-from entityloom.plans.entity_job import RunResult, run, store
-from entityloom.sources.jdbc import JdbcSource, ValueRanges, land_tables
-from entityloom.sources.tables import ParquetTables
+from entityloom.plans.entity_job import Profile, RunResult, run, run_folder, store
+from entityloom.sources.jdbc import JdbcSource, ValueRanges, land_tables, read_jdbc
+from entityloom.sources.tables import ParquetTables, land
 
 
 @dataclass(frozen=True)
@@ -18,8 +18,11 @@ class CustomerJob:
     """Parameters of a run.
 
     ``only`` restricts it to one customer id.  ``schema`` is the database schema
-    of the tables, ``splits`` how each is read in parallel.  ``folder`` takes the
-    landed tables; by default they go under the session's shared folder.
+    of the tables, ``splits`` how each is read in parallel, ``check_counts`` whether the
+    rows landed are compared with a count by the database.  ``statement`` is a SELECT that
+    yields the profile's rows itself: the database then joins, and one snapshot is read.
+    ``trim`` is for blank-padded text columns.  ``folder`` takes the landed tables, each
+    run's in a folder of its own; by default they go under the session's shared folder.
     """
 
     project: str
@@ -30,18 +33,48 @@ class CustomerJob:
     splits: Mapping[str, ValueRanges | Sequence[str]] | None = None
     measure: Collection[str] = ()
     folder: str | None = None
+    statement: str | None = None
+    trim: bool = False
+    check_counts: bool = False
+    exact_counts: bool = False
+
+    def profile(self) -> Profile:
+        return customer_profile(self.owner, self.measure, self.trim)
 
     def tables(
         self, spark: SparkSession, source: JdbcSource | str
     ) -> Mapping[str, DataFrame]:
-        """The ten tables, from a database or a folder of Parquet tables."""
-        names = customer_profile(self.owner).tables()
+        """The ten tables, from a database or a folder of Parquet tables.
+
+        Of a database only the columns and rows that the profile uses are read.
+        """
+        profile = self.profile()
+        names = profile.tables()
         if isinstance(source, str):
             return ParquetTables(spark, source, dict.fromkeys(names))
         prefix = f"{self.schema}." if self.schema else ""
-        relations = {name: prefix + name for name in names}
-        equal = {f"{self.owner}customer_id": self.only} if self.only else {}
-        return land_tables(spark, source, relations, self.splits, equal, self.folder)
+        return land_tables(
+            spark,
+            source,
+            {name: prefix + name for name in names},
+            self.splits,
+            {f"{self.owner}customer_id": self.only} if self.only and not self.trim else {},
+            self.folder and run_folder(spark, self.folder),
+            profile.columns(),
+            profile.conditions(),
+            self.check_counts,
+        )
+
+    def rows(self, spark: SparkSession, source: JdbcSource | str) -> DataFrame:
+        """The profile's rows, from its tables or from one statement."""
+        if self.statement is None:
+            return self.profile().rows(self.tables(spark, source), self.only)
+        if isinstance(source, str):
+            raise ValueError("a statement needs a database")
+        rows = read_jdbc(spark, source, f"({self.statement}) q")
+        if self.only:
+            rows = rows.where(rows["customer_id"] == self.only)
+        return land(rows, "statement", self.folder and run_folder(spark, self.folder))
 
     def run(
         self,
@@ -50,7 +83,6 @@ class CustomerJob:
         current: DataFrame | None = None,
     ) -> tuple[RunResult, DataFrame]:
         """The run's result, and the stored entities after it."""
-        profile = customer_profile(self.owner, self.measure)
-        rows = profile.rows(self.tables(spark, source), self.only)
-        result = run(rows, customer_rules(self.project, self.kind), self.folder)
+        rules = customer_rules(self.project, self.kind)
+        result = run(self.rows(spark, source), rules, self.folder, self.exact_counts)
         return result, store(current, result.entities, self.folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -46,7 +47,9 @@ def shared_code(
     )
 
 
-def customer_profile(owner: str = "", measure: Collection[str] = ()) -> Profile:
+def customer_profile(
+    owner: str = "", measure: Collection[str] = (), trim: bool = False
+) -> Profile:
     """The profile as a declaration.
 
     ``owner`` is the prefix that the tables of the master system and its customer
@@ -55,8 +58,10 @@ def customer_profile(owner: str = "", measure: Collection[str] = ()) -> Profile:
     is, so a customer can give several rows.  These two come first: they are joined
     on the customer id, so the rows are shuffled once and without descriptions.
     ``measure`` names the code tables whose size Spark cannot tell: views over
-    large tables, or tables read over JDBC.
+    large tables, or tables read over JDBC.  ``trim`` is for sites whose text columns are
+    blank padded: the base's are trimmed, and keys are compared without padding.
     """
+    # Fixed values from here on: the columns, lookups and output names of the profile.
     customer_id = f"{owner}customer_id"
     base_columns = [
         customer_id,
@@ -185,8 +190,10 @@ def customer_profile(owner: str = "", measure: Collection[str] = ()) -> Profile:
             F.col("customer_segment_desc"),
         ]
 
+    if trim:
+        lookups = [replace(spec, trim=True) for spec in lookups]
     return Profile(
-        f"{owner}cust_unit", base_columns, lookups, output, filter_column=customer_id
+        f"{owner}cust_unit", base_columns, lookups, output, filter_column=customer_id, trim=trim
     )
 
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entityloom.operators.collapse import collapse_by_key
 from entityloom.operators.entities import KEY, split_bad_keys, with_key
-from entityloom.operators.lookups import Lookup, widen
-from entityloom.operators.metrics import run_metrics
+from entityloom.operators.lookups import AUTO, Lookup, widen
+from entityloom.operators.metrics import observe_keyed, observed_metrics, run_metrics
 from entityloom.operators.normalise import Override, normalise
 from entityloom.operators.upsert import upsert_entities
+from entityloom.sources.shared import new_path
 from entityloom.sources.tables import land
 
 
@@ -26,6 +29,32 @@ class Profile:
     lookups: Sequence[Lookup]
     output: Callable[[], list[Column]]
     filter_column: str | None = None  # base column a run may be restricted by
+    trim: bool = False  # the base's text columns are blank padded
+
+    def columns(self) -> dict[str, list[str]]:
+        """The columns a run reads of each table."""
+        read = {self.base: list(self.base_columns)}
+        for spec in self.lookups:
+            names = read.setdefault(spec.table, [])
+            names += [c for c in (*spec.on, *spec.take.values(), *spec.where) if c not in names]
+        return read
+
+    def conditions(self) -> dict[str, Column]:
+        """What the rows a run uses of a table meet: the literals of one of its lookups.
+
+        Tables that some lookup reads whole are not named.
+        """
+        met: dict[str, Column] = {}
+        whole = {self.base, *(spec.table for spec in self.lookups if not spec.where)}
+        for spec in self.lookups:
+            if spec.table in whole:
+                continue
+            literals = F.lit(True)
+            for name, value in spec.where.items():
+                column = F.rtrim(name) if spec.trim and isinstance(value, str) else F.col(name)
+                literals = literals & (column == F.lit(value))
+            met[spec.table] = met[spec.table] | literals if spec.table in met else literals
+        return met
 
     def tables(self) -> list[str]:
         """The tables a run needs, each once."""
@@ -35,17 +64,21 @@ class Profile:
         self,
         tables: Mapping[str, DataFrame],
         only: object | None = None,
-        hot_rows: int | None = 1_000_000,
+        hot_rows: int | str | None = AUTO,
     ) -> DataFrame:
         """All rows, or those whose filter column equals ``only``."""
-        base = tables[self.base]
+        base = tables[self.base].select(*self.base_columns)
+        if self.trim:
+            texts = {f.name for f in base.schema if isinstance(f.dataType, T.StringType)}
+            base = base.select(
+                *[F.rtrim(c).alias(c) if c in texts else F.col(c) for c in base.columns]
+            )
         known = {}
         if only is not None:
             if self.filter_column is None:
                 raise ValueError("this profile has no filter column")
             base = base.where(F.col(self.filter_column) == F.lit(only))
             known[self.filter_column] = only
-        base = base.select(*self.base_columns)
         wide = widen(base, tables, self.lookups, hot_rows, known)
         return wide.select(*self.output())
 
@@ -91,22 +124,44 @@ class RunResult:
     metrics: DataFrame
 
 
-def run(rows: DataFrame, rules: EntityRules, folder: str | None = None) -> RunResult:
-    """Turn ``rows`` into landed entities.
+def run_folder(spark: SparkSession, folder: str | None) -> str:
+    """A folder for one run's tables, below ``folder`` or the session's shared folder."""
+    if folder is None:
+        return new_path(spark, "run")
+    return f"{folder.rstrip('/')}/run-{uuid.uuid4().hex}"
 
-    The keyed rows are landed once; entities, quarantine and metrics all read
-    that table, so the joins run once and the counts are exact whatever tasks had
-    to be repeated.
+
+def run(
+    rows: DataFrame,
+    rules: EntityRules,
+    folder: str | None = None,
+    exact_counts: bool = False,
+) -> RunResult:
+    """Turn ``rows`` into landed entities, in a folder of the run's own.
+
+    The entities are landed straight from the joins, so a join on the key column serves
+    the collapse too, and the rows are counted on their way; the quarantine is landed from
+    its own filtered branch.  Counts may be high after a task was repeated.  With
+    ``exact_counts`` the keyed rows are landed once instead and all three read that table:
+    one write, read and shuffle more, and the counts are exact whatever happened.
     """
-    keyed = land(rules.keyed(rows), "keyed-rows", folder)
-    entities = land(rules.entities(keyed), "entities", folder)
-    return RunResult(entities, split_bad_keys(keyed)[1], run_metrics(keyed, entities))
+    place = run_folder(rows.sparkSession, folder)
+    keyed = rules.keyed(rows)
+    if exact_counts:
+        keyed = land(keyed, "keyed-rows", place)
+        entities = land(rules.entities(keyed), "entities", place)
+        return RunResult(entities, split_bad_keys(keyed)[1], run_metrics(keyed, entities))
+    seen = Observation()
+    entities = land(rules.entities(observe_keyed(keyed, seen)), "entities", place)
+    quarantine = land(split_bad_keys(keyed)[1], "quarantine", place)
+    return RunResult(entities, quarantine, observed_metrics(seen, entities))
 
 
 def store(
     current: DataFrame | None, entities: DataFrame, folder: str | None = None
 ) -> DataFrame:
     """The next version of the stored entities, as a new table beside the old one."""
+    place = run_folder(entities.sparkSession, folder)
     if current is None:
-        return land(entities, "stored", folder)
-    return land(upsert_entities(current, entities, KEY, collapsed=True), "stored", folder)
+        return land(entities, "stored", place)
+    return land(upsert_entities(current, entities, KEY, collapsed=True), "stored", place)

@@ -4,7 +4,10 @@
 ``Class(options)`` per task attempt, calls ``put(batch)`` with Arrow batches and
 then ``close()``.  Attempts may run twice, so a put must overwrite by key, or
 stay unseen until ``Class.publish(options, tokens)`` is called once with what
-``close()`` returned in the attempts that count.
+``close()`` returned in the attempts that count.  If the write fails,
+``Class.abort(options, tokens)``, where there is one, gets what had been closed by then.
+
+Entities kept as Parquet need no such class: ``entity_job.store`` overwrites them by key.
 """
 
 from __future__ import annotations
@@ -14,9 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -25,7 +25,6 @@ from pyspark.sql.datasource import (
 )
 
 FORMAT = "entity_store"
-ROW_GROUP = 100_000
 
 
 @dataclass
@@ -47,6 +46,11 @@ class StoreWriter(DataSourceArrowWriter):
             store.put(batch)
         return Written(store.close())
 
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        abort = getattr(self._store_class(), "abort", None)
+        if abort is not None:
+            abort(self.options, [m.token for m in messages if m and m.token])
+
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         publish = getattr(self._store_class(), "publish", None)
         if publish is not None:
@@ -64,60 +68,12 @@ class EntityStore(DataSource):
         return StoreWriter(dict(self.options))
 
 
-class FolderStore:
-    """One Parquet file per task in ``folder``, named without its leading dot, and
-    so seen by readers, only once the whole write is done."""
-
-    def __init__(self, options: dict[str, str]):
-        task = TaskContext.get()
-        self._fs, self._folder = _file_system(options["folder"])
-        self._fs.create_dir(self._folder, recursive=True)
-        self._file = f".part-{task.partitionId():06d}-{task.taskAttemptId()}.parquet"
-        self._writer: pq.ParquetWriter | None = None
-        self._waiting: list[pa.RecordBatch] = []
-
-    def put(self, batch: pa.RecordBatch) -> None:
-        self._waiting.append(batch)
-        if sum(b.num_rows for b in self._waiting) >= ROW_GROUP:
-            self._flush()
-
-    def _flush(self) -> None:
-        if not self._waiting:
-            return
-        table = pa.Table.from_batches(self._waiting)
-        self._waiting = []
-        if self._writer is None:
-            self._writer = pq.ParquetWriter(
-                f"{self._folder}/{self._file}", table.schema, filesystem=self._fs
-            )
-        self._writer.write_table(table)
-
-    def close(self) -> str | None:
-        self._flush()
-        if self._writer is None:
-            return None
-        self._writer.close()
-        return self._file
-
-    @staticmethod
-    def publish(options: dict[str, str], tokens: list[str]) -> None:
-        system, folder = _file_system(options["folder"])
-        system.create_dir(folder, recursive=True)
-        for token in tokens:
-            system.move(f"{folder}/{token}", f"{folder}/{token.removeprefix('.')}")
-
-
-def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
-    if folder.startswith("file:"):
-        folder = "/" + folder.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(folder.rstrip("/"))
-
-
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(EntityStore)
 
 
 def write_entities(df: DataFrame, store: str, options: dict[str, str]) -> None:
-    """Put every row of ``df`` into ``store`` (``module:Class``), keyed and repeatable."""
+    """Put every row of ``df`` into ``store`` (``module:Class``); whether a repeated write
+    overwrites by key is the store's to do."""
     register(df.sparkSession)
     df.write.format(FORMAT).option("store", store).options(**options).mode("append").save()

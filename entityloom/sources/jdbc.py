@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.functions.scalars import quoted
@@ -14,6 +14,10 @@ from entityloom.sources.tables import land
 from entityloom.together import together
 
 
+class RowCountDiffers(RuntimeError):
+    pass
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """A database to read.  URL, user and password stay out of ``repr`` and logs."""
@@ -60,11 +64,15 @@ class ValueRanges:
 def text_ranges(column: str, cuts: Sequence[str]) -> list[str]:
     """Conditions that split a text column at ``cuts``; each row meets exactly one.
 
-    The cuts must ascend in the database's own order.  One hot value cannot be
-    split this way; give conditions over a second column for it.
+    The cuts must ascend in the database's own order.  Cuts that ascend neither by
+    characters nor without regard to case are refused; what else the database may order
+    otherwise shows in the row counts (``land_tables(check_counts=True)``).  One hot value
+    cannot be split this way; give conditions over a second column for it.
     """
     if len(set(cuts)) != len(cuts):
         raise ValueError("a cut occurs twice")
+    if list(cuts) not in (sorted(cuts), sorted(cuts, key=str.casefold)):
+        raise ValueError("the cuts do not ascend")
     if not cuts:
         return ["1 = 1"]
     text = ["'" + c.replace("'", "''") + "'" for c in cuts]
@@ -116,18 +124,36 @@ def land_tables(
     splits: Mapping[str, ValueRanges | Sequence[str]] | None = None,
     equal: Mapping[str, object] | None = None,
     folder: str | None = None,
+    columns: Mapping[str, Sequence[str]] | None = None,
+    conditions: Mapping[str, Column] | None = None,
+    check_counts: bool = False,
 ) -> dict[str, DataFrame]:
     """Each relation read once and kept as Parquet, by its name.
 
     Joins then run on one set of rows instead of asking the database again.  The
     tables are read side by side.  A relation with a column of ``equal`` is read
-    only where it has that value; the database applies the condition.
+    only where it has that value; the database applies the condition.  ``columns`` and
+    ``conditions`` name the columns and rows that are used of a relation; others are not
+    read.  ``check_counts`` compares the rows of a split read with a count of the whole by
+    the database, and fails if they differ: the split missed rows or met some twice, or the
+    table changed meanwhile.
     """
     splits = splits or {}
 
+    def used(name: str, rows: DataFrame) -> DataFrame:
+        rows = where_equal(rows, equal or {})
+        if name in (conditions or {}):
+            rows = rows.where(conditions[name])
+        return rows.select(*[quoted(c) for c in (columns or {}).get(name, rows.columns)])
+
     def landed(name: str, relation: str) -> DataFrame:
-        rows = read_jdbc(spark, source, relation, splits.get(name))
-        return land(where_equal(rows, equal or {}), name, folder)
+        split = splits.get(name)
+        rows = land(used(name, read_jdbc(spark, source, relation, split)), name, folder)
+        if check_counts and split is not None:
+            expected = used(name, read_jdbc(spark, source, relation, None)).count()
+            if (found := rows.count()) != expected:
+                raise RowCountDiffers(f"{name}: {found} rows landed, {expected} in the database")
+        return rows
 
     jobs = [partial(landed, name, relation) for name, relation in relations.items()]
     return dict(zip(relations, together(spark, *jobs)))

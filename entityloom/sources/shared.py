@@ -12,12 +12,17 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
     Only a local session (tests) may do without; it gets a temporary folder as
-    its checkpoint folder.
+    its checkpoint folder.  On a cluster a ``file:`` folder is refused unless
+    ``spark.entityloom.sharedFiles`` says that all machines mount the same one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if folder:
+        mounted = spark.conf.get("spark.entityloom.sharedFiles", "false") == "true"
+        on_disk = folder.startswith("file:") and not context.master.startswith("local")
+        if on_disk and not mounted:
+            raise RuntimeError(f"executors on other machines may not see {folder}")
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -51,6 +51,14 @@ def land(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_landed(landed: DataFrame) -> None:
+    """Delete the files of a landed table that is not needed any more."""
+    context = landed.sparkSession.sparkContext
+    for folder in {file.rpartition("/")[0] for file in landed.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def query_rows(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],

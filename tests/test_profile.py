@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections import defaultdict
 
 import pytest
@@ -16,7 +17,10 @@ from entityloom.operators.lookups import (
 from entityloom.plans.customer_job import CustomerJob
 from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.entity_job import run, store
+from entityloom.sources.jdbc import JdbcSource, RowCountDiffers
+from entityloom.sources.tables import drop_landed, land
 from tests import master_fixture as M
+from tests.conftest import plan_of
 
 COLUMNS = """customer_id customer_name customer_status_code customer_status_desc
 customer_status_date customer_store_nbr non_profit_indicator accept_orders_indicator
@@ -159,6 +163,39 @@ def test_blank_padded_keys(spark):
     base = spark.createDataFrame([("A",)], "id string")
     spec = Lookup("t", {"k": "id"}, {"v": "v"}, {"lang": "en"}, trim=True)
     assert lookup_join(base, table, spec).first() == ("A", "x ")
+    padded = spark.createDataFrame([("A ",), ("A   ",), ("A",), (None,), ("B ",)], "id string")
+    found = [tuple(r) for r in lookup_join(padded, table, spec).collect()]
+    assert sorted(found, key=str) == sorted(
+        [("A ", "x "), ("A   ", "x "), ("A", "x "), (None, None), ("B ", None)], key=str
+    )
+
+
+def test_padded_profile_equals_the_plain_one(spark):
+    def padded(table):
+        texts = {f.name for f in table.schema if f.dataType.simpleString() == "string"}
+        return table.selectExpr(
+            *[f"rpad({c}, 40, ' ') as {c}" if c in texts else c for c in table.columns]
+        )
+
+    plain = customer_profile().rows(M.frames(spark))
+    wide = {name: padded(table) for name, table in M.frames(spark).items()}
+    rows = customer_profile(trim=True).rows(wide)
+
+    def stripped(df):
+        return sorted(
+            (tuple(v.rstrip() if isinstance(v, str) else v for v in r) for r in df.collect()),
+            key=str,
+        )
+
+    assert stripped(rows) == stripped(plain)
+    assert customer_profile(trim=True).rows(wide, only="tax2").count() == 2
+
+
+def test_taken_names_must_be_new(spark):
+    table = spark.createDataFrame([("A", "x")], "k string, v string")
+    base = spark.createDataFrame([("A",)], "id string")
+    with pytest.raises(ValueError, match="t: the rows have a column id already"):
+        lookup_join(base, table, Lookup("t", {"k": "id"}, {"ID": "v"}))
 
 
 def test_unique_lookups_keep_the_row_count(spark):
@@ -173,21 +210,21 @@ def test_unique_lookups_keep_the_row_count(spark):
     assert widen(base, {"t": status}, [spec]).count() == 4
 
 
-def test_size_is_measured(spark, monkeypatch):
+def test_size_is_measured(spark):
     tables = {
         "empty": spark.createDataFrame([], "k int, v string"),
         "small": spark.createDataFrame([(1, "x"), (None, None)], "k int, v string"),
         "wide": spark.createDataFrame([(1, "x" * 500)], "k int, v string"),
         "long": spark.range(50).selectExpr("id as k", "'y' as v"),
     }
-    monkeypatch.setattr("entityloom.operators.lookups.MAX_BROADCAST_ROWS", 40)
-    monkeypatch.setattr("entityloom.operators.lookups.MAX_BROADCAST_BYTES", 400)
-    assert small_tables(tables) == {"empty", "small"}
+    assert small_tables(tables, 40, 400) == {"empty", "small"}
     assert small_tables({}) == set()
 
 
-def test_whole_run(spark):
-    result = run(customer_profile().rows(M.frames(spark)), customer_rules("demo"))
+@pytest.mark.parametrize("exact", [False, True])
+def test_whole_run(spark, exact):
+    rows = customer_profile().rows(M.frames(spark))
+    result = run(rows, customer_rules("demo"), exact_counts=exact)
     metrics = result.metrics.first().asDict()
     assert metrics == {
         "rows": 10,
@@ -219,7 +256,7 @@ def test_customer_job_from_a_folder(spark, tmp_path):
     source = str(tmp_path / "in")
     for name, table in M.frames(spark, owner="acme_").items():
         table.write.parquet(f"{source}/{name}.parquet")
-    one = CustomerJob("demo", owner="acme_", only="tax2", folder=str(tmp_path / "one"))
+    one = CustomerJob("demo", owner="acme_", only="tax2", folder=str(tmp_path / "all"))
     result, stored = one.run(spark, source)
     assert result.metrics.first().collapsed == 1
     assert [r["__key__"].name for r in stored.collect()] == ["tax2"]
@@ -227,6 +264,78 @@ def test_customer_job_from_a_folder(spark, tmp_path):
     _, stored = every.run(spark, source, current=stored)
     assert {r["__key__"].name for r in stored.collect()} == set(M.EXPECTED)
     assert stored.count() == len(M.EXPECTED)
+    before = len(os.listdir(tmp_path / "all"))
+    drop_landed(result.quarantine)
+    drop_landed(stored)
+    assert before == len(os.listdir(tmp_path / "all"))
+    assert len(list((tmp_path / "all").glob("*/stored"))) == 1
+
+
+def test_run_shuffles_the_base_once(spark, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plans = {}
+
+    def landing(df, name, folder=None):
+        plans[name] = plan_of(df)
+        return land(df, name, folder)
+
+    monkeypatch.setattr("entityloom.plans.entity_job.land", landing)
+    tables = M.frames(spark)
+    codes = [name for name in tables if "lang" in name]
+    run(customer_profile(measure=codes).rows(tables), customer_rules("demo"))
+    exchanges = [
+        line
+        for line in plans["entities"].splitlines()
+        if "Exchange hashpartitioning(customer_id" in line
+    ]
+    assert len(exchanges) == 1
+
+
+def test_job_reads_only_what_it_uses(spark, monkeypatch, tmp_path):
+    tables, asked = M.frames(spark), {}
+
+    def fake_read(spark, source, relation, split):
+        asked.setdefault(relation, []).append(split)
+        return tables[relation.removeprefix("s.")].selectExpr("*", "'unused' as more")
+
+    monkeypatch.setattr("entityloom.sources.jdbc.read_jdbc", fake_read)
+    source = JdbcSource("a.Driver", "jdbc:x")
+    split = ["customer_id < 'm'", "customer_id >= 'm'"]
+    job = CustomerJob("demo", schema="s", splits={"cust_unit": split}, check_counts=True)
+    landed = job.tables(spark, source)
+    assert asked["s.cust_unit"] == [split, None]
+    assert all("more" not in t.columns for t in landed.values())
+    codes = landed["cust_codes_language_desc"].select("code_table_ref_id").distinct()
+    assert {r[0] for r in codes.collect()} <= {1, 33}
+    assert {r[0] for r in landed["customer_status_lang"].select("language_type_code").collect()} == {"en"}
+    result, _ = job.run(spark, source)
+    assert result.metrics.first().entities == len(M.EXPECTED)
+
+    def missing(spark, source, relation, split):
+        rows = tables[relation.removeprefix("s.")]
+        return rows.limit(1) if split else rows
+
+    monkeypatch.setattr("entityloom.sources.jdbc.read_jdbc", missing)
+    with pytest.raises(RowCountDiffers, match="cust_unit: 1 rows landed, 8 in the database"):
+        job.tables(spark, source)
+
+
+def test_job_of_one_statement(spark, monkeypatch):
+    rows = customer_profile().rows(M.frames(spark))
+    asked = []
+
+    def fake_read(spark, source, relation, split=None):
+        asked.append(relation)
+        return rows
+
+    monkeypatch.setattr("entityloom.plans.customer_job.read_jdbc", fake_read)
+    source = JdbcSource("a.Driver", "jdbc:x")
+    job = CustomerJob("demo", statement="select 1")
+    result, stored = job.run(spark, source)
+    assert asked == ["(select 1) q"] and stored.count() == len(M.EXPECTED)
+    assert CustomerJob("demo", statement="select 1", only="tax2").rows(spark, source).count() == 2
+    with pytest.raises(ValueError, match="needs a database"):
+        job.run(spark, "/a/folder")
 
 
 def test_profile_names_its_tables():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from types import SimpleNamespace
@@ -55,6 +56,9 @@ def test_text_ranges_meet_each_row_once(spark, cuts):
     assert sorted(read, key=str) == sorted((r[0] for r in df.collect()), key=str)
     with pytest.raises(ValueError):
         text_ranges("v", ["a", "a"])
+    with pytest.raises(ValueError, match="ascend"):
+        text_ranges("v", ["x", "b"])
+    assert len(text_ranges("v", ["a", "B", "c"])) == 4
 
 
 @pytest.mark.parametrize("split", [None, ValueRanges("id", 1, 9, 2), ["id < 5", "id >= 5"]])
@@ -124,6 +128,12 @@ def test_only_local_sessions_do_without_a_shared_folder():
     assert os.path.isdir(folder) and shared_folder(local) == folder
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
+    on_disk = {"spark.checkpoint.dir": "file:///tmp/x"}
+    with pytest.raises(RuntimeError, match="may not see"):
+        shared_folder(session("yarn", **on_disk))
+    assert shared_folder(session("local-cluster[2,1,1024]", **on_disk)) == "file:///tmp/x"
+    mounted = {**on_disk, "spark.entityloom.sharedFiles": "true"}
+    assert shared_folder(session("yarn", **mounted)) == "file:///tmp/x"
 
 
 def test_landing_writes_once(spark, tmp_path):
@@ -168,24 +178,50 @@ def test_files_by_date(spark, tmp_path):
     assert spark.read.json(plain).columns == ["id", "ts", "v"]
 
 
-FOLDER_STORE = "entityloom.sources.entity_store:FolderStore"
+class KeyedFiles:
+    """A store for tests: one file a key, so that a repeated put overwrites."""
 
+    def __init__(self, options):
+        self.folder, self.fail = options["folder"], options.get("fail")
 
-def test_entity_store(spark, tmp_path):
-    df = spark.range(1000).selectExpr("id", "if(id = 3, null, 'x') as v").repartition(3)
-    folder = f"file://{tmp_path}/store"
-    write_entities(df, FOLDER_STORE, {"folder": folder})
-    back = spark.read.parquet(folder)
-    assert sorted(back.collect()) == sorted(df.collect())
-    assert not [f for f in os.listdir(tmp_path / "store") if f.startswith(".part")]
+    def put(self, batch):
+        for row in batch.to_pylist():
+            if self.fail == row["key_name"]:
+                raise RuntimeError("no more room")
+            with open(f"{self.folder}/{row['key_name']}-{row['property']}", "w") as file:
+                json.dump(row["value"], file)
 
+    def close(self):
+        return None
 
-def test_entity_store_without_rows_or_class(spark, tmp_path):
-    empty = spark.createDataFrame([], "id bigint")
-    write_entities(empty, FOLDER_STORE, {"folder": f"{tmp_path}/none"})
-    assert os.listdir(tmp_path / "none") == []
+    @staticmethod
+    def abort(options, tokens):
+        with open(f"{options['folder']}/aborted", "w") as file:
+            json.dump(tokens, file)
+
+
+STORE = "tests.test_sources:KeyedFiles"
+
+
+def kept(folder):
+    return {p.name: json.loads(p.read_text()) for p in folder.iterdir()}
+
+
+def test_entity_store_puts_by_key(spark, tmp_path):
+    rows = [("a", "n", "1"), ("a", "x", None), ("b", "n", "2")]
+    first = spark.createDataFrame(rows, "key_name string, property string, value string")
+    for _ in range(2):
+        write_entities(first.repartition(2), STORE, {"folder": str(tmp_path)})
+        assert kept(tmp_path) == {"a-n": "1", "a-x": None, "b-n": "2"}
+    second = spark.createDataFrame([("b", "n", "3")], first.schema)
+    write_entities(second, STORE, {"folder": str(tmp_path)})
+    assert kept(tmp_path)["b-n"] == "3"
+    write_entities(first.where("false"), STORE, {"folder": str(tmp_path)})
+    with pytest.raises(Exception, match="no more room"):
+        write_entities(second, STORE, {"folder": str(tmp_path), "fail": "b"})
+    assert (tmp_path / "aborted").exists()
     with pytest.raises(Exception, match="module:Class"):
-        empty.write.format("entity_store").mode("append").save()
+        first.write.format("entity_store").mode("append").save()
 
 
 def test_tables_are_a_mapping(spark):
