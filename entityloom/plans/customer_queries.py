@@ -102,10 +102,7 @@ def master_tables(t) -> dict:
         ),
         "cust_codes_language_desc": code_table(t),
         "credit_risk_lang": language_table(
-            t["part"]
-            .where("p_type in ('ECONOMY', 'MEDIUM', 'LARGE')")
-            .select("p_type")
-            .distinct(),
+            t["part"].select("p_type").distinct(),
             F.substring("p_type", 1, 1),
             "credit_risk_code",
             "credit_risk_desc",
@@ -182,16 +179,26 @@ def customer_profile_one(t):
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
 
+# How the first row of a customer is chosen, as the customer rules do.
+FIRST_ROW = """
+    row_number() over (partition by customer_id order by
+      sales_tax_exempt_id nulls last, tax_exemption_code nulls last,
+      tax_exemption_desc nulls last, customer_segment_code nulls last,
+      customer_segment_desc nulls last)
+"""
+
+
 @query(
     f"""
-    select 'demo' as project, 'Customer' as kind, customer_id as key_name,
-           min(customer_name) as customer_name,
-           min(customer_division_id) as customer_division_id,
-           min(credit_limit_dollar_amt) as credit_limit_dollar_amt,
-           min(sales_tax_exempt_id) as sales_tax_exempt_id,
-           cast(min(source_system_code) as bigint) as source_system_code
-    from ({PROFILE_SQL})
-    group by customer_id
+    select * exclude (first_row, company_nbr, source_system_code, primary_ship_dc_nbr,
+                      customer_segment_code),
+           'demo' as project, 'Customer' as kind, customer_id as key_name,
+           cast(company_nbr as bigint) as company_nbr,
+           cast(source_system_code as bigint) as source_system_code,
+           cast(primary_ship_dc_nbr as bigint) as primary_ship_dc_nbr,
+           cast(customer_segment_code as bigint) as customer_segment_code
+    from (select *, {FIRST_ROW} as first_row from ({PROFILE_SQL}))
+    where first_row = 1
     """
 )
 def customer_entities(t):
@@ -201,9 +208,5 @@ def customer_entities(t):
         F.col(f"{KEY}.project").alias("project"),
         F.col(f"{KEY}.kind").alias("kind"),
         F.col(f"{KEY}.name").alias("key_name"),
-        "customer_name",
-        "customer_division_id",
-        "credit_limit_dollar_amt",
-        "sales_tax_exempt_id",
-        "source_system_code",
+        *[c for c in keyed.columns if c != KEY],
     )

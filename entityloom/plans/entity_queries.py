@@ -10,8 +10,8 @@ from entityloom.operators.lookups import Lookup, lookup_join
 from entityloom.operators.metrics import run_metrics
 from entityloom.operators.normalise import normalise
 from entityloom.operators.upsert import upsert_entities
+from entityloom.plans.entity_job import store
 from entityloom.plans.registry import query
-from entityloom.sources.entity_store import write_entities
 from entityloom.sources.files import write_by_date
 from entityloom.sources.shared import new_path
 
@@ -62,15 +62,21 @@ def keyed_customers(t):
     """
 )
 def entity_key(t):
-    rows = normalise(t["lineitem"].select("l_orderkey", "l_linenumber"))
+    # Different parts give different keys, so the parts can be counted before the text is made.
+    rows = t["lineitem"].groupBy("l_orderkey", "l_linenumber")
     keyed = with_key(
-        rows, ["l_orderkey", "l_linenumber"], PROJECT, "LineItem", cast_keys=True
+        normalise(rows.agg(F.count("*").alias("rows_per_key"))),
+        ["l_orderkey", "l_linenumber"],
+        PROJECT,
+        "LineItem",
+        cast_keys=True,
     )
-    return keyed.groupBy(
+    return keyed.select(
         F.col(f"{KEY}.project").alias("project"),
         F.col(f"{KEY}.kind").alias("kind"),
         F.col(f"{KEY}.name").alias("key_name"),
-    ).agg(F.count("*").alias("rows_per_key"))
+        "rows_per_key",
+    )
 
 
 @query(
@@ -163,15 +169,88 @@ def upsert_orders(t):
     return upsert_entities(current, incoming, "order_id")
 
 
-@query(LONG_SQL)
-def entity_sink(t):
-    spark = t["customer"].sparkSession
-    folder = new_path(spark, "entity-sink")
-    entities = to_long(keyed_customers(t)).select(*LONG_COLUMNS)
-    write_entities(
-        entities, "entityloom.sources.entity_store:FolderStore", {"folder": folder}
+UPSERT_LONG_SQL = """
+    with stored as (
+      select cast(o_orderkey as varchar) as key_name, *, o_orderdate >= '2000-01-01' as late
+      from orders)
+    select key_name, 'order_id' as property, 'string' as value_type,
+           cast(null as bigint) as long_value, cast(null as double) as double_value,
+           key_name as string_value
+    from stored
+    union all
+    select key_name, 'amount', 'double', null, o_totalprice, null from stored
+    union all
+    select key_name, 'status', 'string', null, null, o_orderstatus from stored where not late
+    union all
+    select key_name, 'rank', case o_orderstatus when 'F' then 'long' else 'null' end,
+           case o_orderstatus when 'F' then cast(o_orderpriority[1] as bigint) end, null, null
+    from stored where late and o_orderstatus <> 'O'
+"""
+
+
+@query(UPSERT_LONG_SQL)
+def upsert_long(t):
+    """Each side has a property the other lacks; ranks of open orders cannot be read."""
+    order_id = F.col("o_orderkey").cast("string").alias("order_id")
+    amount = F.col("o_totalprice").alias("amount")
+    digit = F.substring("o_orderpriority", 1, 1)
+    current = t["orders"].where("o_orderdate < timestamp_ntz '2001-01-01 00:00:00'")
+    current = normalise(current.select(order_id, amount, F.col("o_orderstatus").alias("status")))
+    rank = F.when(F.col("o_orderstatus") == "F", digit).when(F.col("o_orderstatus") == "O", "none")
+    incoming = t["orders"].where("o_orderdate >= timestamp_ntz '2000-01-01 00:00:00'")
+    incoming = normalise(
+        incoming.select(order_id, amount, rank.alias("rank")), reads={"rank": "int"}
+    )
+    keyed = [with_key(df, ["order_id"], PROJECT, "Order") for df in (current, incoming)]
+    return to_long(upsert_entities(*keyed, KEY)).select(
+        "key_name", "property", "value_type", "long_value", "double_value", "string_value"
+    )
+
+
+@query(
+    """
+    select cast(event_id as varchar) as key_name, 'event_id' as property,
+           'string' as value_type, cast(event_id as varchar) as string_value,
+           cast(null as boolean) as bool_value, cast(null as varchar) as blob_hex,
+           cast(null as timestamp) as timestamp_value
+    from events
+    union all
+    select cast(event_id as varchar), 'large', 'bool', null, value > 50, null, null from events
+    union all
+    select cast(event_id as varchar), 'props', 'blob', null, null, hex(cast(props as blob)), null
+    from events
+    union all
+    select cast(event_id as varchar), 'ts', 'timestamp', null, null, null, ts from events
+    """
+)
+def entity_long_types(t):
+    rows = t["events"].select(
+        F.col("event_id").cast("string").alias("event_id"),
+        (F.col("value") > 50).alias("large"),
+        F.col("props").cast("binary").alias("props"),
+        "ts",
+    )
+    long = to_long(with_key(normalise(rows), ["event_id"], PROJECT, "Event"))
+    return long.select(
+        "key_name",
+        "property",
+        "value_type",
+        "string_value",
+        "bool_value",
+        F.hex("blob_value").alias("blob_hex"),
+        F.col("timestamp_value").cast("timestamp_ntz").alias("timestamp_value"),
     )
-    return spark.read.schema(entities.schema).parquet(folder)
+
+
+@query(
+    LONG_SQL.replace("c_acctbal, null", "case when c_acctbal < 0 then 0 else c_acctbal end, null")
+)
+def entity_sink(t):
+    """Two writes with overlapping keys; the second sets the balance of debtors to zero."""
+    first = keyed_customers(t)
+    second = first.where("balance < 0").withColumn("balance", F.lit(0.0))
+    stored = store(store(None, first), second)
+    return to_long(stored).select(*LONG_COLUMNS)
 
 
 @query(

@@ -253,6 +253,37 @@ def duplicate_label(t):
     return first_of_each_label(rows)
 
 
+@query(
+    """
+    select c_custkey, n_name as nation_name from customer
+    left join nation on n_nationkey = c_nationkey
+    """
+)
+def lookup_padded(t):
+    """Padding on the base, on the table, on both and on neither."""
+
+    def padded(key: str, of: str, width: int):
+        text = F.col(key).cast("string")
+        return F.when(F.col(of) % 2 == 0, F.rpad(text, width, " ")).otherwise(text)
+
+    customers = t["customer"].select(
+        "c_custkey", padded("c_nationkey", "c_custkey", 5).alias("nation_code")
+    )
+    nations = t["nation"].select(
+        padded("n_nationkey", "n_regionkey", 9).alias("code"),
+        "n_name",
+        F.lit("en ").alias("language"),
+    )
+    spec = Lookup(
+        "nation",
+        on={"code": "nation_code"},
+        where={"language": "en"},
+        take={"nation_name": "n_name"},
+        trim=True,
+    )
+    return lookup_join(customers, nations, spec).select("c_custkey", "nation_name")
+
+
 CUTS = ["Customer#000000100", "Customer#000000500", "Customer#000001000"]
 
 
@@ -264,7 +295,7 @@ CUTS = ["Customer#000000100", "Customer#000000500", "Customer#000001000"]
     from customer
     """
 )
-def jdbc_read_split(t):
+def text_range_split(t):
     met = [F.expr(condition).cast("int") for condition in text_ranges("c_name", CUTS)]
     read_by = [F.lit(i) * m for i, m in enumerate(met)]
     return t["customer"].select(

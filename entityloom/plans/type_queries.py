@@ -37,10 +37,35 @@ def norm_binary(t):
     return rows.select("c_custkey", F.hex("name").alias("name_bytes"))
 
 
-@query("select vec_id, cast(embedding[1] as double) as first_value from embeddings")
+@query(
+    """
+    select vec_id, cast(unnest(range(len(embedding))) as bigint) as place,
+           cast(unnest(embedding) as double) as value
+    from embeddings
+    """
+)
 def norm_float(t):
     return normalise(
-        t["embeddings"].select("vec_id", F.col("embedding")[0].alias("first_value"))
+        t["embeddings"].select("vec_id", F.posexplode("embedding").alias("place", "value"))
+    )
+
+
+@query(
+    """
+    select event_id,
+           'INTERVAL ''' || user_id || ' 00:00:00'' DAY TO SECOND' as days,
+           'INTERVAL ''' || user_id // 12 || '-' || user_id % 12 || ''' YEAR TO MONTH' as months
+    from events
+    """
+)
+def norm_interval(t):
+    number = F.col("user_id").cast("int")
+    return normalise(
+        t["events"].select(
+            "event_id",
+            F.make_dt_interval(number).alias("days"),
+            F.make_ym_interval(F.lit(0), number).alias("months"),
+        )
     )
 
 
@@ -116,13 +141,14 @@ def norm_text_array(t):
            case when l.quality is null then 'null' else 'long' end as value_type,
            cast(l.quality as bigint) as long_value
     from documents d left join labels l on l.doc_id = d.doc_id
+    union all
+    select 'Document', cast(doc_id as varchar), 'doc_id', 'long', doc_id from documents
     """
 )
 def norm_null(t):
     rows = lookup_join(t["documents"].select("doc_id"), t["labels"], LABEL)
     keyed = with_key(normalise(rows), ["doc_id"], "demo", "Document", cast_keys=True)
-    long = to_long(keyed).where("property = 'quality'")
-    return long.select("kind", "key_name", "property", "value_type", "long_value")
+    return to_long(keyed).select("kind", "key_name", "property", "value_type", "long_value")
 
 
 @query(
