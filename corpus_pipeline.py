@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from entityloom.llm import decontaminate, language, packing, personal, simhash
 from entityloom.llm.components import written
 from entityloom.llm.queries import table, tokenizer_file
+from entityloom.llm.shipping import ship
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose language the network is sure enough of."""
+    """Documents in some language: those without a letter go."""
+    ship(spark)
     return language.keep_identified(docs)
 
 

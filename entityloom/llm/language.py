@@ -290,13 +290,14 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text", name: str
     return append_result(typed, text, make, FIELDS, name)
 
 
-SURE = 0.4
-
-
 def keep_identified(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sure: float = SURE
+    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sure: float = 0.0
 ) -> DataFrame:
-    """``docs`` without rows in no language (``und``) or below the score ``sure``."""
+    """``docs`` without rows in no language (``und``) or below the score ``sure``.
+
+    Texts in several languages score low and are clean all the same, so by default only
+    texts in no language go.
+    """
     name = free_name("language", docs.columns)
     done = identify(docs, fit(docs.where(~held_out(key, 4, 2)), key, text, lang), text, name)
     kept = (F.col(name)["lang_pred"] != UNKNOWN) & (F.col(name)["score"] >= sure)

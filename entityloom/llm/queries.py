@@ -21,12 +21,15 @@ from entityloom.llm import (
     toxicity,
     vectors,
 )
+from entityloom.llm.shipping import ship
 from entityloom.plans.registry import SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder; the executors get the library along with it."""
+    ship(spark)
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
