@@ -8,7 +8,8 @@ words have equal positions and are computed once, however often they occur; ever
 position of the whole text counts.
 
 Training is backpropagation through time in numpy, on a bounded sample of labelled
-documents (``SAMPLE_DOCS`` a language, of at most ``SAMPLE_CHARS`` characters each).
+documents (``SAMPLE_DOCS`` a language, ``MOST_DOCS`` in all, of at most ``SAMPLE_CHARS``
+characters each).
 """
 
 from __future__ import annotations
@@ -17,16 +18,18 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entityloom.llm.samples import held_out
+from entityloom.llm.samples import held_out, share_of_hash
 from entityloom.llm.words import NOT_ALNUM, append_result, cut_words, free_name, word_hashes
 
 SPAN = 16
 HIDDEN = 16
 SAMPLE_DOCS = 150
+MOST_DOCS = 5_000
+MOST_LANGUAGES = 1_000
 SAMPLE_CHARS = 20_000
 EPOCH_WORDS = 24_000
 EPOCHS = 8
@@ -169,24 +172,29 @@ def train(words: list[tuple[bytes, int]], languages: list[str], seed: int = 7) -
 
 
 def training_rows(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """``text, lang`` of at most ``SAMPLE_DOCS`` documents a language, chosen by a hash.
+    """``text, lang`` of at most ``SAMPLE_DOCS`` documents of each of the ``MOST_LANGUAGES``
+    commonest languages (fewer where there are many languages), chosen by a hash of the row.
 
-    The choice is a window limited per language, which Spark cuts down in each task before
-    it shuffles.
+    A first pass counts the languages; then all but a few times as many rows as are wanted are
+    left out by their hash alone, before anything is shuffled.
     """
-    from pyspark.sql import Window
-
-    usable = docs.where(
-        F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS)
-    )
-    ordered = Window.partitionBy("lang").orderBy("at", "text")
-    rows = usable.select(
+    rows = docs.select(
         F.col(lang).cast("string").alias("lang"),
         F.col(text).cast("string").alias("text"),
-        F.xxhash64(key).alias("at"),
-    )
-    ranked = rows.withColumn("rank", F.row_number().over(ordered))
-    return ranked.where(F.col("rank") <= SAMPLE_DOCS).select("text", "lang")
+        F.xxhash64(F.col(key), F.col(text)).alias("at"),
+    ).where(f"lang is not null and text is not null and length(text) <= {SAMPLE_CHARS}")
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    found = counts.collect()
+    if not found:
+        return rows.select("text", "lang").limit(0)
+    each = max(1, min(SAMPLE_DOCS, MOST_DOCS // len(found)))
+    shares = [x for r in found for x in (F.lit(r["lang"]), F.lit(4.0 * each / r["count"]))]
+    share = F.element_at(F.create_map(*shares), F.col("lang"))
+    few = rows.where(share.isNotNull() & (share_of_hash("at") < share))
+    few = few.dropDuplicates(["lang", "at"])  # repeated rows have one hash
+    ordered = Window.partitionBy("lang").orderBy("at")
+    ranked = few.withColumn("rank", F.row_number().over(ordered))
+    return ranked.where(F.col("rank") <= each).select("text", "lang")
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"):
