@@ -147,4 +147,23 @@ SQL: dict[str, str] = {
                sha256(coalesce(kept, '')) as kept_sha256
         from doc left join kept using (doc_id)
     """,
+    "op10_vectors": """
+        with recursive unit as (
+            select vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) as u
+            from (select vec_id, cast(embedding as double[]) as e from embeddings)
+            where len(e) > 0 and list_dot_product(e, e) > 0),
+        link as (
+            select a.vec_id as a, b.vec_id as b
+            from unit a join unit b on a.vec_id <> b.vec_id
+            where list_dot_product(a.u, b.u) >= 0.95),
+        reach as (
+            select vec_id, vec_id as node from embeddings
+            union
+            select r.vec_id, l.b from reach r join link l on l.a = r.node),
+        part as (select vec_id, min(node) as component_id from reach group by vec_id),
+        degree as (select a as vec_id, count(*) as n_links from link group by a)
+        select p.vec_id, coalesce(n_links, 0)::bigint as n_links, component_id,
+               p.vec_id = component_id as kept
+        from part p left join degree d on d.vec_id = p.vec_id
+    """,
 }
