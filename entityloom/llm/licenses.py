@@ -2,7 +2,7 @@
 
 Each template has its own window length: its words and a stride less one, so that a window
 starting at a multiple of the stride holds any verbatim copy whole.  A window's shingles
-(``SHINGLE`` words) are sketched by ``BANDS`` bands of ``ROWS`` minimum hashes; a template that
+(``SHINGLE`` words, or all of a shorter template) are sketched by ``BANDS`` bands of ``ROWS`` minimum hashes; a template that
 shares a band with a window is a candidate, and the share of its distinct shingles that the
 window holds decides (``CONTAINMENT`` or more).
 
@@ -66,16 +66,10 @@ TEMPLATES = {
     "CC-BY-4.0-notice": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License"
     ),
-    "all-rights-reserved": "Copyright. All rights reserved. No part may be reproduced.",
+    "all-rights-reserved": "All rights reserved.",
 }
 
 
-def shingles(text: str) -> np.ndarray:
-    """Hashes of the shingles of a text; a shorter text is one shingle of all its words."""
-    hashes = word_hashes(cut_words(pa.array([text]), NOT_ALNUM, lower=True))
-    return window_hashes(hashes, min(SHINGLE, max(1, len(hashes))))
-
-
 class Template(NamedTuple):
     name: str
     words: int
@@ -85,16 +79,19 @@ class Template(NamedTuple):
 
 
 class Catalogue(NamedTuple):
+    """The templates of one shingle length."""
+
+    shingle: int
     templates: list[Template]
     factors: np.ndarray  # one multiplier for each minimum hash
     known: np.ndarray  # sorted shingles of all templates
     bands: list[np.ndarray]  # for each template, its bands' keys
 
 
-def least_similarity(template: Template) -> float:
+def least_similarity(template: Template, shingle: int) -> float:
     """The smallest similarity of a template and a window that verifies."""
     need = int(np.ceil(CONTAINMENT * len(template.shingles) - 1e-9))
-    window = template.span - SHINGLE + 1
+    window = template.span - shingle + 1
     return need / (window + len(template.shingles) - need)
 
 
@@ -109,32 +106,43 @@ def sketch(rows: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return out
 
 
-def prepare(texts: dict[str, str] | None = None, seed: int = 9) -> Catalogue:
-    """A catalogue of license texts by name; raises if the bands could miss too much."""
+def prepare(texts: dict[str, str] | None = None, seed: int = 9) -> list[Catalogue]:
+    """License texts by name as catalogues; raises if the bands could miss too much."""
     rng = np.random.default_rng(seed)
     factors = rng.integers(1, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    templates = []
+    by_shingle: dict[int, list[Template]] = {}
     for name, text in sorted((TEMPLATES if texts is None else texts).items()):
-        n = len(cut_words(pa.array([text]), NOT_ALNUM).starts)
-        if n < SHINGLE:
-            raise ValueError(f"{name}: a template needs {SHINGLE} words")
-        stride = max(1, n // 8)
-        template = Template(name, n, stride, n + stride - 1, np.unique(shingles(text)))
-        if (1 - least_similarity(template) ** ROWS) ** BANDS > MISS:
+        hashes = word_hashes(cut_words(pa.array([text]), NOT_ALNUM, lower=True))
+        n = len(hashes)
+        if not n:
+            raise ValueError(f"{name}: a template needs a word")
+        shingle, stride = min(SHINGLE, n), max(1, n // 8)
+        parts = np.unique(window_hashes(hashes, shingle))
+        template = Template(name, n, stride, n + stride - 1, parts)
+        if (1 - least_similarity(template, shingle) ** ROWS) ** BANDS > MISS:
             raise ValueError(f"{name}: the bands miss more than {MISS}")
-        templates.append(template)
-    known = np.unique(np.concatenate([t.shingles for t in templates]))
-    bands = [sketch(t.shingles[None, :], factors)[0] for t in templates]
-    return Catalogue(templates, factors, known, bands)
-
-
-def windows_of(near: np.ndarray, first: np.ndarray, last: np.ndarray, template: Template):
+        by_shingle.setdefault(shingle, []).append(template)
+    return [
+        Catalogue(
+            shingle,
+            templates,
+            factors,
+            np.unique(np.concatenate([t.shingles for t in templates])),
+            [sketch(t.shingles[None, :], factors)[0] for t in templates],
+        )
+        for shingle, templates in sorted(by_shingle.items())
+    ]
+
+
+def windows_of(
+    near: np.ndarray, first: np.ndarray, last: np.ndarray, template: Template, shingle: int
+):
     """Starts of the template's windows that hold any of the places ``near``.
 
     first, last: where the text of each place begins and ends.  Windows start at multiples of
     the stride from the text's beginning; a text shorter than a window is one window.
     """
-    reach = template.span - SHINGLE
+    reach = template.span - shingle
     step = template.stride
     top = np.maximum(last - template.span - first, 0)
     top = -(-top // step)  # the last window may reach past the text's end
@@ -148,52 +156,53 @@ def windows_of(near: np.ndarray, first: np.ndarray, last: np.ndarray, template:
     return starts, np.repeat(last, count)[at]
 
 
-def scan(texts: pa.Array, catalogue: Catalogue) -> tuple[np.ndarray, ...]:
-    """Best window of each template in each text that has one: text, template, start, share."""
+def scan(texts: pa.Array, catalogues: list[Catalogue]) -> list[tuple[int, str, int, int, float]]:
+    """Best window of each template in each text that has one: the text's place, the
+    template's name, the window's first word and words, and the share of shingles held."""
     cut = cut_words(texts, NOT_ALNUM, lower=True)
     hashes = word_hashes(cut)
-    rolled = window_hashes(hashes, SHINGLE)
-    found: list[tuple[np.ndarray, ...]] = []
-    if len(rolled):
-        at = np.minimum(np.searchsorted(catalogue.known, rolled), len(catalogue.known) - 1)
-        place = np.flatnonzero(catalogue.known[at] == rolled)
-        doc = np.searchsorted(cut.first, place, side="right") - 1
-        inside = place + SHINGLE <= cut.first[doc + 1]
-        place, doc = place[inside], doc[inside]
-        first, last = cut.first[doc], cut.first[doc + 1]
-        for number, template in enumerate(catalogue.templates):
-            starts, ends = windows_of(place, first, last, template)
-            width = template.span - SHINGLE + 1
-            for low in range(0, len(starts), CHUNK_WINDOWS):
-                begin, end = starts[low : low + CHUNK_WINDOWS], ends[low : low + CHUNK_WINDOWS]
-                index = begin[:, None] + np.arange(width)
-                # Past the text's end a window repeats its last shingle.
-                index = np.minimum(index, (end - SHINGLE)[:, None])
-                rows = rolled[index]
-                keys = sketch(rows, catalogue.factors)
-                hit = np.flatnonzero((keys == catalogue.bands[number]).any(axis=1))
-                some = np.sort(rows[hit], axis=1)
-                at = np.minimum(
-                    np.searchsorted(template.shingles, some), len(template.shingles) - 1
-                )
-                held = template.shingles[at] == some
-                held[:, 1:] &= some[:, 1:] != some[:, :-1]
-                share = held.sum(axis=1) / len(template.shingles)
-                good = share >= CONTAINMENT - 1e-12
-                begin = begin[hit][good]
-                owner = np.searchsorted(cut.first, begin, side="right") - 1
-                found.append(
-                    (owner, np.full(len(owner), number), begin - cut.first[owner], share[good])
-                )
-    if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0),)
-    owner, number, start, share = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort([start, -share, number, owner])
-    key = np.stack([owner[order], number[order]])
-    new = np.ones(len(order), bool)
-    new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
-    best = order[new]
-    return owner[best], number[best], start[best], share[best]
+    best: dict[tuple[int, str], tuple[float, int, int]] = {}
+    for catalogue in catalogues:
+        for template, owner, start, share in windows_held(hashes, cut.first, catalogue):
+            for text, at, held in zip(owner, start, share, strict=True):
+                key, found = (text, template.name), (-held, at, template.span)
+                best[key] = min(best.get(key, found), found)
+    return [(text, name, at, n, -held) for (text, name), (held, at, n) in sorted(best.items())]
+
+
+def windows_held(hashes: np.ndarray, first_word: np.ndarray, catalogue: Catalogue):
+    """For each template and chunk of windows: texts, first words and shares that verify."""
+    shingle = catalogue.shingle
+    rolled = window_hashes(hashes, shingle)
+    if not len(rolled):
+        return
+    at = np.minimum(np.searchsorted(catalogue.known, rolled), len(catalogue.known) - 1)
+    place = np.flatnonzero(catalogue.known[at] == rolled)
+    doc = np.searchsorted(first_word, place, side="right") - 1
+    inside = place + shingle <= first_word[doc + 1]
+    place, doc = place[inside], doc[inside]
+    first, last = first_word[doc], first_word[doc + 1]
+    for number, template in enumerate(catalogue.templates):
+        starts, ends = windows_of(place, first, last, template, shingle)
+        width = template.span - shingle + 1
+        for low in range(0, len(starts), CHUNK_WINDOWS):
+            begin, end = starts[low : low + CHUNK_WINDOWS], ends[low : low + CHUNK_WINDOWS]
+            index = begin[:, None] + np.arange(width)
+            # Past the text's end a window repeats its last shingle.
+            index = np.minimum(index, (end - shingle)[:, None])
+            rows = rolled[index]
+            keys = sketch(rows, catalogue.factors)
+            hit = np.flatnonzero((keys == catalogue.bands[number]).any(axis=1))
+            some = np.sort(rows[hit], axis=1)
+            at = np.minimum(np.searchsorted(template.shingles, some), len(template.shingles) - 1)
+            held = template.shingles[at] == some
+            held[:, 1:] &= some[:, 1:] != some[:, :-1]
+            share = held.sum(axis=1) / len(template.shingles)
+            good = share >= CONTAINMENT - 1e-12
+            begin = begin[hit][good]
+            owner = np.searchsorted(first_word, begin, side="right") - 1
+            start = begin - first_word[owner]
+            yield template, owner.tolist(), start.tolist(), share[good].tolist()
 
 
 def scan_licenses(
@@ -209,15 +218,14 @@ def scan_licenses(
     Null, empty and short texts have no windows that verify unless they hold the shingles;
     repeated rows are scanned each.
     """
-    catalogue = prepare(templates)
+    catalogues = prepare(templates)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, 1):
-                owner, number, start, share = scan(piece.column(1), catalogue)
-                names = [catalogue.templates[i].name for i in number.tolist()]
-                spans = [catalogue.templates[i].span for i in number.tolist()]
+                rows = scan(piece.column(1), catalogues)
+                owner, names, start, spans, share = zip(*rows, strict=True) if rows else [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0).take(pa.array(owner, pa.int64())),

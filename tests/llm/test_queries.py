@@ -1,0 +1,53 @@
+"""The registered queries: against SQL where there is some, and their columns."""
+
+import pytest
+
+import __spark_entry__
+from entityloom.llm.queries import QUERIES, SQL
+from tests.compare import compare, connect
+from tests.conftest import DATA
+
+COLUMNS = {
+    "op1_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint,"
+    " items_sha256 string, contaminated boolean",
+    "op2_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op3_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint,"
+    " doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op4_personal": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint,"
+    " base_sha256 string, spans string",
+    "op5_substrings": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+    "op6_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op7_quality": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op8_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op9_licenses": "doc_id bigint, license string, start_word bigint, n_words bigint,"
+    " containment double",
+    "op10_vectors": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+}
+ONE_ROW_EACH = [f"op{n}_" for n in (1, 2, 4, 5, 6, 7, 8)]
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(DATA)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, con, name):
+    rows, problems = compare(QUERIES[name](spark, DATA), con, SQL[name])
+    assert not problems
+    assert rows > 0
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_columns_and_rows(spark, con, name):
+    found = QUERIES[name](spark, DATA)
+    assert ", ".join(f"{c} {t}" for c, t in found.dtypes) == COLUMNS[name]
+    ids = sorted(r[0] for r in found.collect())
+    if name.startswith(tuple(ONE_ROW_EACH)):
+        assert ids == sorted(r[0] for r in con.execute("select doc_id from documents").fetchall())
+
+
+def test_all_are_registered():
+    assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
+    assert set(SQL) <= set(__spark_entry__.oracle_sql())
+    assert set(COLUMNS) == set(QUERIES)
