@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entityloom.llm.components import written
 from entityloom.llm.words import SPACES, cut_words, mix, pieces, window_hashes, word_hashes
 
 WINDOW = 35
@@ -320,7 +321,8 @@ def marks(keyed: DataFrame, window: int) -> DataFrame:
         .where("total > 1 or again")
         .select("anchor", (F.expr("low <> high") | F.col("again")).alias("mixed"))
     )
-    hits = runs.drop("again").join(anchors, "anchor")
+    # Written once: what follows reads it in several ways, and the texts need not be cut again.
+    hits = written(runs.drop("again").join(anchors, "anchor"), "repeated-segments")
     pure = hits.where("not mixed").select(
         "ka", "kb", "start", (F.col("start") + F.col("size")).alias("end")
     )
