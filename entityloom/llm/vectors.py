@@ -4,12 +4,16 @@ Vectors are scaled to length one, so a cosine of at least ``c`` is a distance of
 ``r = sqrt(2 - 2c)``.  Each vector lies in the list of its nearest coarse centre, with its
 residual coded by one centre in each subspace and the length ``e`` of what the code leaves.
 
-Probes and filter lose nothing:
+What is compared:
 
 * A neighbour of q lies in list c only if q is within ``r`` of the plane between c and q's own
-  centre, so q probes exactly the lists for which that holds.
+  centre, and only if the neighbour lies in the plane's direction.  A step of length ``r`` in a
+  random direction of ``d`` dimensions goes ``r / sqrt(d)`` that way, so q probes the lists
+  whose plane is within ``DEVIATIONS`` times that, and ``r`` at most.  ``margin=1`` probes all
+  lists within ``r`` and loses nothing, at many times the cost in high dimensions.
 * The table-lookup distance of q to a coded vector is off by at most ``e``, so what it puts
-  farther than ``r + e`` is no neighbour.  The rest is reranked by the exact cosine.
+  farther than ``r + e`` is no neighbour.  The rest is reranked by the exact cosine, so
+  every link found is one.
 
 Centres are trained on at most ``SAMPLE`` vectors; all vectors are indexed and are queries.
 
@@ -29,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityloom.llm.components import components, written
+from entityloom.llm.samples import lowest
 
 COSINE = 0.95
 SAMPLE = 20_000
@@ -37,6 +42,7 @@ SUBSPACE = 8
 CODES = 64
 CHUNK = 4096
 BLOCK = 256
+DEVIATIONS = 3.0
 SLACK = 1e-6
 
 
@@ -148,18 +154,22 @@ def forest(flags: np.ndarray, left: np.ndarray, right: np.ndarray):
 ROW = "list int, mine int, theirs int, member boolean, node long, copies long, vector binary"
 
 
-def near_links(classes: DataFrame, count: int, cosine: float) -> tuple[DataFrame, DataFrame]:
+def near_links(
+    classes: DataFrame, count: int, size: int, cosine: float, margin: float | None
+) -> tuple[DataFrame, DataFrame]:
     """Sums of linked copies by node, and links that connect the same components.
 
-    classes: ``node, copies, embedding`` of one dimension, distinct and non-zero.
+    classes: ``node, copies, embedding`` of one dimension ``size``, distinct and non-zero.
     """
     spark = classes.sparkSession
-    some = classes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("node", "embedding")
+    hashed = classes.select("node", "embedding", F.xxhash64("node").alias("at"))
+    some = lowest(hashed, "at", SAMPLE, count)
     got = some.toArrow().sort_by("node")["embedding"].combine_chunks()
     sample = unit(got.flatten().to_numpy().reshape(len(got), -1))
     lists = int(np.clip(np.sqrt(count), 1, MOST_LISTS))
     index = spark.sparkContext.broadcast(train(sample, lists))
-    radius = np.sqrt(2 - 2 * cosine)
+    share = min(1.0, DEVIATIONS / np.sqrt(size)) if margin is None else margin
+    radius = share * np.sqrt(2 - 2 * cosine)  # how near a plane is probed
 
     def rows_of(batch):
         column = batch.column("embedding")
@@ -252,11 +262,12 @@ def vector_groups(
     key: str = "vec_id",
     embedding: str = "embedding",
     cosine: float = COSINE,
+    margin: float | None = None,
 ) -> DataFrame:
     """``key, n_links, component_id, kept``: one row per row of ``vectors``.
 
-    Two rows link if the cosine of their vectors is at least ``cosine`` (above 0), in double
-    precision.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
+    Two rows link if they are found and the cosine of their vectors is at least ``cosine``
+    (above 0), in double precision; ``margin`` (0 to 1) sets how many lists are probed.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
     are null, empty or zero or hold null or non-finite numbers link with nothing, and vectors
     of different dimension never link.  Repeated rows link as rows.  A null key is never the
     smallest and its row is not kept.
@@ -285,7 +296,7 @@ def vector_groups(
     sums = links = None
     for size in sorted(sizes, key=lambda r: r["size"]):
         part = classes.where(F.col("size") == size["size"])
-        more, pairs = near_links(part, size["count"], cosine)
+        more, pairs = near_links(part, size["count"], size["size"], cosine, margin)
         sums = more if sums is None else sums.unionByName(more)
         links = pairs if links is None else links.unionByName(pairs)
     if sums is None:

@@ -38,7 +38,8 @@ def brute(rows, cosine=0.95):
 
 def check(spark, rows):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = vectors.vector_groups(frame.selectExpr("*", "1 as node", "2 as copies")).collect()
+    frame = frame.selectExpr("*", "1 as node", "2 as copies")
+    got = vectors.vector_groups(frame, margin=1.0).collect()
     stored = [(r.vec_id, r.embedding) for r in frame.collect()]
     assert sorted(map(tuple, got), key=repr) == sorted(brute(stored), key=repr)
 
@@ -57,6 +58,20 @@ def test_equals_all_pairs(spark, monkeypatch):
     check(spark, [(1, rows[0]), (1, rows[0]), (1, rows[1]), (None, rows[0]), (None, [1.0, 1.0])])
 
 
+def test_recall_of_the_usual_margin(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(1500, 64))
+    near = base[rng.integers(0, 1500, 1500)] + rng.normal(size=(1500, 64)) * 0.2
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, near]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in vectors.vector_groups(frame).collect()}
+    units = vectors.unit(np.array([v for _, v in rows]))
+    flags = units @ units.T >= 0.95
+    want = flags.sum(axis=1) - 1
+    assert all(found[i] <= n for i, n in enumerate(want))
+    assert want.sum() > 1000 and sum(found.values()) >= 0.99 * want.sum()
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.vector_groups(frame).collect() == []
