@@ -101,8 +101,8 @@ def train(labels: np.ndarray, docs: list[np.ndarray], seed: int = 3) -> Machine:
     """Fits a machine to documents given as arrays of slots."""
     rng = np.random.default_rng(seed)
     seen = np.bincount(np.concatenate(docs), minlength=1 << BITS)
-    sizes = np.array([len(d) for d in docs])
-    toxic = np.bincount(np.concatenate(docs), np.repeat(labels, sizes), 1 << BITS)
+    marked = [d for d, label in zip(docs, labels, strict=True) if label]
+    toxic = np.bincount(np.concatenate([*marked, docs[0][:0]]), minlength=1 << BITS)
     mean = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
     apart = (toxic - mean * seen) / np.sqrt(mean * (1 - mean) * np.maximum(seen, 1))
     used = np.flatnonzero(
@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "t
     if not got.num_rows:
         return None
     lists = got["slots"].combine_chunks()
-    docs_slots = [np.asarray(x.values.to_numpy(), np.int64) for x in lists]
+    docs_slots = [x.values.to_numpy() for x in lists]
     return train(got["label"].to_numpy().astype(float), docs_slots)
 
 
