@@ -321,45 +321,39 @@ def marks(keyed: DataFrame, window: int) -> DataFrame:
         .where("total > 1 or again")
         .select("anchor", (F.expr("low <> high") | F.col("again")).alias("mixed"))
     )
-    # Written once: what follows reads it in several ways, and the texts need not be cut again.
-    hits = written(runs.drop("again").join(anchors, "anchor"), "repeated-segments")
-    pure = hits.where("not mixed").select(
-        "ka", "kb", "start", (F.col("start") + F.col("size")).alias("end")
-    )
+    # Written once, exact copies as one row: what follows reads it in several ways, and the
+    # texts need not be cut again.
+    found = runs.drop("again").join(anchors, "anchor")
+    found = found.groupBy("anchor", "segment", "ka", "kb", "start", "size", "mixed")
+    hits = written(found.agg(F.count(F.lit(1)).alias("copies")), "repeated-segments")
+
+    def spans_of(rows: DataFrame, begin, end) -> DataFrame:
+        return rows.select("ka", "kb", begin.alias("start"), end.alias("end"))
+
+    start, whole = F.col("start"), F.col("start") + F.col("size")
+    pure = spans_of(hits.where("not mixed"), start, whole)
     mixed = hits.where("mixed")
     distinct = mixed.groupBy("anchor", "segment").agg(
-        F.count(F.lit(1)).alias("times"),
+        F.sum("copies").alias("times"),
         F.min(F.struct("ka", "kb", "start", "size")).alias("place"),
     )
-    crowds = distinct.groupBy("anchor").count().where(F.col("count") > CROWD).select("anchor")
-    crowds = crowds.withColumn("crowded", F.lit(True))
-    # One place of each distinct segment is enough to fetch its words.
-    wanted = (
-        distinct.select("anchor", "segment", "place.*")
-        .groupBy("ka", "kb")
-        .agg(F.collect_list(F.struct("anchor", "segment", "start", "size")).alias("parts"))
-    )
-    words = words_of(keyed, wanted).join(crowds, "anchor", "left")
-    lone = shard_spans(words.where("crowded is null"), window)
-    lone = lone.unionByName(crowd_spans(words.where("crowded"), window))
-    spans = lone.groupBy("anchor", "segment").agg(
-        F.collect_set(F.struct("at", "n")).alias("found")
-    )
+    distinct = written(distinct, "distinct-segments")
     copied = distinct.where("times > 1").select("anchor", "segment")
-    copied = copied.withColumn("found", F.lit(None).cast("array<struct<at:int,n:int>>"))
-    known = spans.join(copied, ["anchor", "segment"], "left_anti").unionByName(copied)
-    whole = F.array(F.struct(F.lit(0).alias("at"), F.col("size").alias("n")))
-    of_mixed = (
-        mixed.join(known, ["anchor", "segment"])
-        .select("ka", "kb", "start", F.explode(F.coalesce("found", whole)).alias("f"))
-        .select(
-            "ka",
-            "kb",
-            (F.col("start") + F.col("f.at")).alias("start"),
-            (F.col("start") + F.col("f.at") + F.col("f.n")).alias("end"),
-        )
+    copies = spans_of(mixed.join(copied, ["anchor", "segment"]), start, whole)
+    # One place of each distinct segment is enough to fetch its words, and the only place of
+    # a segment that occurs once.
+    placed = distinct.select("anchor", "segment", "times", "place.*")
+    wanted = placed.groupBy("ka", "kb").agg(
+        F.collect_list(F.struct("anchor", "segment", "start", "size")).alias("parts")
     )
-    every = pure.unionByName(of_mixed)
+    crowds = distinct.groupBy("anchor").count().where(F.col("count") > CROWD)
+    crowds = crowds.select("anchor", F.lit(True).alias("crowded"))
+    words = words_of(keyed, wanted).join(crowds, "anchor", "left")
+    repeated = shard_spans(words.where("crowded is null"), window)
+    repeated = repeated.unionByName(crowd_spans(words.where("crowded"), window))
+    lone = placed.where("times = 1").join(repeated, ["anchor", "segment"])
+    at = F.col("start") + F.col("at")
+    every = pure.unionByName(copies).unionByName(spans_of(lone, at, at + F.col("n")))
     return every.groupBy("ka", "kb").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
