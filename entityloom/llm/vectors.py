@@ -7,18 +7,19 @@ residual coded by one centre in each subspace and the length ``e`` of what the c
 What is compared:
 
 * A neighbour of q lies in list c only if q is within ``r`` of the plane between c and q's own
-  centre, and only if the neighbour lies in the plane's direction.  A step of length ``r`` in a
-  random direction of ``d`` dimensions goes ``r / sqrt(d)`` that way, so q probes the lists
-  whose plane is within ``DEVIATIONS`` times that, and ``r`` at most.  ``margin=1`` probes all
-  lists within ``r`` and loses nothing, at many times the cost in high dimensions.
+  centre; q probes all such lists, so no link is lost.  In high dimensions these are most
+  lists, so lists near each other form a group, q is sent to a group once, and finds there
+  which of its lists to probe.
+* Probing is mutual: of two groups only one sends its vectors to the other, and a link found
+  counts at both its ends.
 * The table-lookup distance of q to a coded vector is off by at most ``e``, so what it puts
   farther than ``r + e`` is no neighbour.  The rest is reranked by the exact cosine, so
   every link found is one.
 
 Centres are trained on at most ``SAMPLE`` vectors; all vectors are indexed and are queries.
 
-Equal vectors are one class with a count.  A list's members and the queries that probe it are
-dealt into chunks of about ``CHUNK``, and each pair of chunks is one task's work, so a list
+Equal vectors are one class with a count.  A group's members and the queries that probe it are
+dealt into chunks of about ``CHUNK`` and ``ASKED * CHUNK``, and each pair of chunks is one task's work, so a list
 with a third of all vectors is spread too.  A task returns sums of links and a forest of them
 (one row a vector at most), never its pairs.
 """
@@ -40,16 +41,20 @@ SAMPLE = 20_000
 MOST_LISTS = 1024
 SUBSPACE = 8
 CODES = 64
+TOGETHER = 8  # lists of a group
 CHUNK = 4096
-BLOCK = 256
-DEVIATIONS = 3.0
+ASKED = 4
+BLOCK = 512
 SLACK = 1e-6
+ROUNDING = 1e-4  # of squared distances in single precision
 
 
 class Index(NamedTuple):
     centres: np.ndarray
     spaces: list[np.ndarray]  # the dimensions of each subspace
     books: list[np.ndarray]  # the centres of each subspace
+    group: np.ndarray  # the group of each list
+    asks: np.ndarray  # whether the vectors of one group are sent to another
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -84,62 +89,82 @@ def train(sample: np.ndarray, lists: int, seed: int = 13) -> Index:
     centres = kmeans(sample, lists, rng)
     rest = sample - centres[nearest(sample, centres)]
     spaces = np.array_split(np.arange(sample.shape[1]), -(-sample.shape[1] // SUBSPACE))
-    return Index(centres, spaces, [kmeans(rest[:, s], CODES, rng) for s in spaces])
+    books = [kmeans(rest[:, s], CODES, rng) for s in spaces]
+    group = nearest(centres, kmeans(centres, -(-len(centres) // TOGETHER), rng))
+    a, b = np.indices((group.max() + 1,) * 2)
+    asks = (a == b) | ((a < b) == ((a + b) % 2 == 0))
+    return Index(centres, spaces, books, group, asks)
 
 
-def encode(rows: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """List, codes, and the length of what the codes leave, of each row."""
-    home = nearest(rows, index.centres)
+def encode(rows: np.ndarray, home: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Codes, and the length of what the codes leave, of each row of the list ``home``."""
     rest = rows - index.centres[home]
     codes = np.stack(
         [nearest(rest[:, s], b) for s, b in zip(index.spaces, index.books, strict=True)], axis=1
     )
     for i, (s, b) in enumerate(zip(index.spaces, index.books, strict=True)):
         rest[:, s] -= b[codes[:, i]]
-    return home, codes.astype(np.uint8), np.sqrt((rest**2).sum(axis=1))
+    return codes.astype(np.uint8), np.sqrt((rest**2).sum(axis=1))
+
+
+def probes(rows: np.ndarray, home: np.ndarray, index: Index, cells: np.ndarray, radius: float):
+    """Which of the lists ``cells`` may hold a neighbour of which row: a table of flags."""
+    c, out = index.centres[cells], np.empty((len(rows), len(cells)), bool)
+    for at in range(0, len(rows), 2048):
+        some, own = rows[at : at + 2048], index.centres[home[at : at + 2048]]
+        square = (c**2).sum(axis=1) - 2 * some @ c.T
+        mine = (own**2).sum(axis=1) - 2 * (some * own).sum(axis=1)
+        apart = (own**2).sum(axis=1)[:, None] + (c**2).sum(axis=1) - 2 * own @ c.T
+        apart = np.sqrt(np.maximum(apart, 0))
+        out[at : at + 2048] = square - mine[:, None] <= 2 * radius * apart + SLACK
+    return out
 
 
-def probes(rows: np.ndarray, home: np.ndarray, index: Index, radius: float):
-    """Pairs of a row and a list that may hold a neighbour of it."""
-    c = index.centres
-    square = ((c**2).sum(axis=1) - 2 * rows @ c.T) + 1.0
-    apart = np.sqrt(
-        np.maximum(((c**2).sum(axis=1)[:, None] + (c**2).sum(axis=1) - 2 * c @ c.T), 0)
-    )
-    own = square[np.arange(len(rows)), home][:, None]
-    return np.nonzero(square - own <= 2 * radius * apart[home] + SLACK)
+def asked_groups(rows: np.ndarray, home: np.ndarray, index: Index, radius: float):
+    """Pairs of a row and a group it is sent to."""
+    order = np.argsort(index.group, kind="stable")
+    near = probes(rows, home, index, order, radius)
+    first = np.unique(index.group[order], return_index=True)
+    asked = np.zeros((len(rows), len(index.asks)), bool)
+    asked[:, first[0]] = np.logical_or.reduceat(near, first[1], axis=1)
+    return np.nonzero(asked & index.asks[index.group[home]])
 
 
-def lookup_distances(query: np.ndarray, index: Index, cell: int, codes: np.ndarray) -> np.ndarray:
-    """Distances of queries to coded members of one list, by one table a subspace."""
-    rest = query - index.centres[cell]
-    total = np.zeros((len(query), len(codes)))
+def products(query: np.ndarray, index: Index) -> np.ndarray:
+    """Products of queries with every subspace's centres, (subspace, code, query)."""
+    out = np.empty((len(index.spaces), max(map(len, index.books)), len(query)), np.float32)
     for i, (s, b) in enumerate(zip(index.spaces, index.books, strict=True)):
-        table = ((rest[:, s][:, None, :] - b[None, :, :]) ** 2).sum(axis=2)
-        total += table[:, codes[:, i]]
-    return np.sqrt(total)
-
-
-def linked(query, member, codes, left, index: Index, cell: int, cosine: float) -> np.ndarray:
-    """Which queries link to which members: a table of flags."""
-    radius = np.sqrt(2 - 2 * cosine)
-    out = np.zeros((len(query), len(member)), bool)
-    for at in range(0, len(query), BLOCK):
-        some = query[at : at + BLOCK]
-        near = lookup_distances(some, index, cell, codes) <= radius + left + SLACK
-        if near.mean() > 0.05:
-            out[at : at + BLOCK] = near & (some @ member.T >= cosine)
-        else:
-            i, j = np.nonzero(near)
-            out[at + i, j] = np.einsum("ij,ij->i", some[i], member[j]) >= cosine
+        out[i, : len(b)] = b @ query[:, s].T
     return out
 
 
-def forest(flags: np.ndarray, left: np.ndarray, right: np.ndarray):
-    """For each node with a link, the smallest node that its links reach in this table."""
-    i, j = np.nonzero(flags)
-    nodes, at = np.unique(np.concatenate([left[i], right[j]]), return_inverse=True)
-    a, b = at[: len(i)], at[len(i) :]
+def linked(query, member, codes, left, tables, index: Index, cell: int, cosine: float):
+    """Which members of one list link to which queries: a table of flags.
+
+    A query's squared distance to a coded member is that to the list's centre, a constant of
+    the member, and twice the looked-up products off.
+    """
+    centre = index.centres[cell]
+    constant = np.zeros(len(member))
+    total = np.zeros((len(member), len(query)), np.float32)
+    for i, (s, b) in enumerate(zip(index.spaces, index.books, strict=True)):
+        constant += (2 * b @ centre[s] + (b**2).sum(axis=1))[codes[:, i]]
+        total += tables[i][codes[:, i]]
+    most = (np.sqrt(2 - 2 * cosine) + left + SLACK) ** 2 + ROUNDING
+    far = ((query - centre) ** 2).sum(axis=1)
+    least = ((constant - most)[:, None] + far).astype(np.float32)
+    near = 2 * total >= least
+    if near.mean() > 0.01:
+        return near & (member @ query.T >= cosine)
+    i, j = np.nonzero(near)
+    near[i, j] = np.einsum("ij,ij->i", member[i], query[j]) >= cosine
+    return near
+
+
+def forest(left: np.ndarray, right: np.ndarray):
+    """For each node with a link, the smallest node that these links reach."""
+    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a, b = at[: len(left)], at[len(left) :]
     label = np.arange(len(nodes))
     while True:
         new = label.copy()
@@ -151,15 +176,18 @@ def forest(flags: np.ndarray, left: np.ndarray, right: np.ndarray):
         label = new
 
 
-ROW = "list int, mine int, theirs int, member boolean, node long, copies long, vector binary"
+ROW = (
+    "group int, mine int, theirs int, member boolean, node long, copies long, home int,"
+    " vector binary"
+)
 
 
 def near_links(
-    classes: DataFrame, count: int, size: int, cosine: float, margin: float | None
+    classes: DataFrame, count: int, cosine: float, margin: float
 ) -> tuple[DataFrame, DataFrame]:
     """Sums of linked copies by node, and links that connect the same components.
 
-    classes: ``node, copies, embedding`` of one dimension ``size``, distinct and non-zero.
+    classes: ``node, copies, embedding`` of one dimension, distinct and non-zero.
     """
     spark = classes.sparkSession
     hashed = classes.select("node", "embedding", F.xxhash64("node").alias("at"))
@@ -168,8 +196,7 @@ def near_links(
     sample = unit(got.flatten().to_numpy().reshape(len(got), -1))
     lists = int(np.clip(np.sqrt(count), 1, MOST_LISTS))
     index = spark.sparkContext.broadcast(train(sample, lists))
-    share = min(1.0, DEVIATIONS / np.sqrt(size)) if margin is None else margin
-    radius = share * np.sqrt(2 - 2 * cosine)  # how near a plane is probed
+    radius = margin * np.sqrt(2 - 2 * cosine)  # how near a plane is probed
 
     def rows_of(batch):
         column = batch.column("embedding")
@@ -179,22 +206,22 @@ def near_links(
         for batch in batches:
             if batch.num_rows:
                 rows = rows_of(batch)
-                home, _, _ = encode(rows, index.value)
-                _, asked = probes(rows, home, index.value, radius)
-                n = len(index.value.centres)
+                home = nearest(rows, index.value.centres)
+                _, asked = asked_groups(rows, home, index.value, radius)
+                n = len(index.value.asks)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "list": np.arange(n),
-                        "members": np.bincount(home, minlength=n),
+                        "group": np.arange(n),
+                        "members": np.bincount(index.value.group[home], minlength=n),
                         "queries": np.bincount(asked, minlength=n),
                     }
                 )
 
-    counted = classes.mapInArrow(sizes, "list long, members long, queries long")
-    found = counted.groupBy("list").agg(F.sum("members").alias("m"), F.sum("queries").alias("q"))
+    counted = classes.mapInArrow(sizes, "group long, members long, queries long")
+    found = counted.groupBy("group").agg(F.sum("members").alias("m"), F.sum("queries").alias("q"))
     parts = np.ones((2, MOST_LISTS), np.int64)
-    for r in found.collect():  # one row a list
-        parts[:, r["list"]] = max(1, -(-r.m // CHUNK)), max(1, -(-r.q // CHUNK))
+    for r in found.collect():  # one row a group
+        parts[:, r["group"]] = max(1, -(-r.m // CHUNK)), max(1, -(-r.q // (ASKED * CHUNK)))
 
     def deal(batches):
         for batch in batches:
@@ -202,11 +229,12 @@ def near_links(
                 continue
             rows = rows_of(batch)
             node = batch.column("node").to_numpy()
-            home, _, _ = encode(rows, index.value)
-            who, asked = probes(rows, home, index.value, radius)
+            home = nearest(rows, index.value.centres)
+            who, asked = asked_groups(rows, home, index.value, radius)
+            members = np.arange(len(rows)), index.value.group[home]
             spot = (node * 0x9E3779B1 + (node >> 17)) & 0x7FFFFFFF
             raw = [row.tobytes() for row in rows]
-            for member, row, cell in ((True, np.arange(len(rows)), home), (False, who, asked)):
+            for member, row, cell in ((True, *members), (False, who, asked)):
                 own, other = (0, 1) if member else (1, 0)
                 times = parts[other][cell]
                 ends = np.cumsum(times)
@@ -225,9 +253,10 @@ def near_links(
                             pa.array(np.full(len(part), member)),
                             pa.array(node[part], pa.int64()),
                             batch.column("copies").take(pa.array(part)),
+                            pa.array(home[part], pa.int32()),
                             pa.array([raw[i] for i in part.tolist()], pa.binary()),
                         ],
-                        ["list", "mine", "theirs", "member", "node", "copies", "vector"],
+                        ["group", "mine", "theirs", "member", "node", "copies", "home", "vector"],
                     )
 
     def compare(key, table):
@@ -236,22 +265,35 @@ def near_links(
         copies = table.column("copies").combine_chunks().to_numpy()
         raw = b"".join(table.column("vector").combine_chunks().to_pylist())
         rows = np.frombuffer(raw, np.float64).reshape(len(node), -1)
+        home = table.column("home").combine_chunks().to_numpy()
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
-        nodes = low = total = np.zeros(0, np.int64)
-        if len(m) and len(q):
-            _, codes, left = encode(rows[m], index.value)
-            flags = linked(
-                rows[q], rows[m], codes, left, index.value, key[0].as_py(), cosine
-            )
-            flags &= node[q][:, None] != node[m][None, :]
-            nodes, low = forest(flags, node[q], node[m])
-            sums = flags @ copies[m].astype(np.float64)
-            total = np.zeros(len(nodes), np.int64)
-            has = np.flatnonzero(sums)
-            total[np.searchsorted(nodes, node[q][has])] = sums[has].astype(np.int64)
+        cells = np.unique(home[m])
+        near = probes(rows[q], home[q], index.value, cells, radius)
+        same = index.value.group[home[q]] == key[0].as_py()
+        links, sums = [(node[:0], node[:0])], np.zeros(len(node))
+        lists = [m[home[m] == cell] for cell in cells]
+        coded = [encode(rows[b], home[b], index.value) for b in lists]
+        for at in range(0, len(q), BLOCK):
+            tables = products(rows[q[at : at + BLOCK]], index.value)
+            for number, cell in enumerate(cells.tolist()):
+                b, (codes, left) = lists[number], coded[number]
+                some = np.flatnonzero(near[at : at + BLOCK, number])
+                a = q[at + some]
+                few = tables[:, :, some]
+                flags = linked(rows[a], rows[b], codes, left, few, index.value, cell, cosine)
+                # A pair of one group meets twice, a vector itself; other pairs meet once.
+                flags &= ~same[at + some] | (node[a] < node[b][:, None])
+                j, i = np.nonzero(flags)
+                if len(i):
+                    links.append(forest(node[a[i]], node[b[j]]))
+                    sums += np.bincount(a[i], copies[b[j]], len(node))
+                    sums += np.bincount(b[j], copies[a[i]], len(node))
+        nodes, low = forest(*(np.concatenate(x) for x in zip(*links, strict=True)))
+        total, has = np.zeros(len(nodes), np.int64), np.flatnonzero(sums)
+        np.add.at(total, np.searchsorted(nodes, node[has]), sums[has].astype(np.int64))
         return pa.table({"node": nodes, "low": low, "links": total})
 
-    dealt = classes.mapInArrow(deal, ROW).groupBy("list", "mine", "theirs")
+    dealt = classes.mapInArrow(deal, ROW).groupBy("group", "mine", "theirs")
     met = written(dealt.applyInArrow(compare, "node long, low long, links long"), "vector-links")
     sums = met.groupBy("node").agg(F.sum("links").alias("links"))
     return sums, met.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
@@ -262,16 +304,19 @@ def vector_groups(
     key: str = "vec_id",
     embedding: str = "embedding",
     cosine: float = COSINE,
-    margin: float | None = None,
+    margin: float = 1.0,
 ) -> DataFrame:
     """``key, n_links, component_id, kept``: one row per row of ``vectors``.
 
-    Two rows link if they are found and the cosine of their vectors is at least ``cosine``
-    (above 0), in double precision; ``margin`` (0 to 1) sets how many lists are probed.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
+    Two rows link if the cosine of their vectors is at least ``cosine`` (above 0), in double
+    precision.  Lists within ``margin`` times the linking distance are probed; 1 loses no
+    link, and less is refused.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
     are null, empty or zero or hold null or non-finite numbers link with nothing, and vectors
     of different dimension never link.  Repeated rows link as rows.  A null key is never the
     smallest and its row is not kept.
     """
+    if not margin >= 1:
+        raise ValueError("a margin below 1 loses links")
     rows = vectors.select(
         F.col(key).alias("key"), F.col(embedding).cast("array<double>").alias("embedding")
     )
@@ -296,7 +341,7 @@ def vector_groups(
     sums = links = None
     for size in sorted(sizes, key=lambda r: r["size"]):
         part = classes.where(F.col("size") == size["size"])
-        more, pairs = near_links(part, size["count"], size["size"], cosine, margin)
+        more, pairs = near_links(part, size["count"], cosine, margin)
         sums = more if sums is None else sums.unionByName(more)
         links = pairs if links is None else links.unionByName(pairs)
     if sums is None:

@@ -76,3 +76,15 @@ def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.vector_groups(frame).collect() == []
     check(spark, [(1, None), (2, [0.0])])
+
+
+def test_links_along_one_direction_are_all_found(spark):
+    angle = np.linspace(0, 2 * np.pi, 600, endpoint=False)
+    turn = np.linalg.qr(np.random.default_rng(5).normal(size=(64, 2)))[0]
+    plane = np.stack([np.cos(angle), np.sin(angle)], axis=1) @ turn.T
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(plane)], "vec_id long, embedding array<double>"
+    )
+    # Each has the 30 neighbours within 18 degrees on either side (cosine 0.951).
+    rows = vectors.vector_groups(frame).collect()
+    assert all(r.n_links == 60 and r.component_id == 0 for r in rows) and len(rows) == 600
