@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from entityloom.llm import vectors
 
@@ -88,3 +89,20 @@ def test_links_along_one_direction_are_all_found(spark):
     # Each has the 30 neighbours within 18 degrees on either side (cosine 0.951).
     rows = vectors.vector_groups(frame).collect()
     assert all(r.n_links == 60 and r.component_id == 0 for r in rows) and len(rows) == 600
+
+
+def test_both_ends_count_a_link(spark):
+    rng = np.random.default_rng(8)
+    turn = np.linalg.qr(rng.normal(size=(64, 4)))[0]
+    flat = rng.normal(size=(700, 4)) @ turn.T
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(flat)], "vec_id long, embedding array<double>"
+    )
+    rows = vectors.vector_groups(frame).collect()
+    units = vectors.unit(flat)
+    want = (units @ units.T >= 0.95).sum(axis=1) - 1
+    assert want.sum() > 2000
+    assert {r.vec_id: r.n_links for r in rows} == dict(enumerate(want.tolist()))
+    assert all(r.n_links for r in rows if not r.kept)
+    with pytest.raises(ValueError):
+        vectors.vector_groups(frame, margin=0.5)
