@@ -2,14 +2,14 @@
 
 The network reads each word (letters and bytes above ASCII, ASCII lower-cased) byte by byte
 from both ends and gives every byte position a probability for each language; words longer
-than ``SPAN`` bytes are read in spans.  A document's probabilities are the mean of the
+than ``SPAN`` bytes are read in spans of whole characters, in training too.  A document's probabilities are the mean of the
 logarithms over all its positions, made to sum to one.  State starts anew with each word, so equal
 words have equal positions and are computed once, however often they occur; every
 position of the whole text counts.
 
 Training is backpropagation through time in numpy, on a bounded sample of labelled
-documents (``SAMPLE_DOCS`` a language, ``MOST_DOCS`` in all, of at most ``SAMPLE_CHARS``
-characters each).
+documents (``SAMPLE_DOCS`` a language, ``MOST_DOCS`` in all, and of a text longer than
+``SAMPLE_CHARS`` characters ``SAMPLE_PARTS`` parts spread over it, so many characters together).
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ SAMPLE_DOCS = 150
 MOST_DOCS = 5_000
 MOST_LANGUAGES = 1_000
 SAMPLE_CHARS = 20_000
+SAMPLE_PARTS = 8
 EPOCH_WORDS = 24_000
 EPOCHS = 8
 BATCH = 256
@@ -45,6 +46,21 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * x))
 
 
+def spans_of(word: bytes) -> list[bytes]:
+    """A word in spans of at most ``SPAN`` bytes that split no UTF-8 character."""
+    if len(word) <= SPAN:
+        return [word]
+    out, at = [], 0
+    while at < len(word):
+        end = at + SPAN
+        while at < end < len(word) and word[end] & 0xC0 == 0x80:
+            end -= 1
+        end = end if end > at else at + SPAN
+        out.append(word[at:end])
+        at = end
+    return out
+
+
 class Direction:
     """One gated recurrent layer: update gate z, reset gate r, candidate c."""
 
@@ -129,8 +145,7 @@ class Network:
         out = np.zeros((len(words), len(self.languages)), np.float32)
         spans: dict[int, list[tuple[int, bytes]]] = {}
         for i, word in enumerate(words):
-            for at in range(0, len(word), SPAN):
-                span = word[at : at + SPAN]
+            for span in spans_of(word):
                 spans.setdefault(len(span), []).append((i, span))
         for size, rows in spans.items():
             for at in range(0, len(rows), 8192):
@@ -146,10 +161,10 @@ def train(words: list[tuple[bytes, int]], languages: list[str], seed: int = 7) -
     net, rng = Network(languages, seed=seed), np.random.default_rng(seed)
     by_length: dict[int, tuple[list[bytes], list[int]]] = {}
     for word, label in words:
-        span = word[:SPAN]
-        data, labels = by_length.setdefault(len(span), ([], []))
-        data.append(span)
-        labels.append(label)
+        for span in spans_of(word):
+            data, labels = by_length.setdefault(len(span), ([], []))
+            data.append(span)
+            labels.append(label)
     sets = [
         (np.frombuffer(b"".join(data), np.uint8).reshape(-1, size).T, np.array(labels))
         for size, (data, labels) in sorted(by_length.items())
@@ -182,7 +197,7 @@ def training_rows(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
         F.col(lang).cast("string").alias("lang"),
         F.col(text).cast("string").alias("text"),
         F.xxhash64(F.col(key), F.col(text)).alias("at"),
-    ).where(f"lang is not null and text is not null and length(text) <= {SAMPLE_CHARS}")
+    ).where("lang is not null and text is not null")
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     found = counts.collect()
     if not found:
@@ -191,6 +206,11 @@ def training_rows(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     shares = [x for r in found for x in (F.lit(r["lang"]), F.lit(4.0 * each / r["count"]))]
     share = F.element_at(F.create_map(*shares), F.col("lang"))
     few = rows.where(share.isNotNull() & (share_of_hash("at") < share))
+    size, part = F.length("text"), SAMPLE_CHARS // SAMPLE_PARTS
+    starts = [F.floor((size - part) * i / (SAMPLE_PARTS - 1)) + 1 for i in range(SAMPLE_PARTS)]
+    parts = [F.col("text").substr(x.cast("int"), F.lit(part)) for x in starts]
+    some = F.when(size <= SAMPLE_CHARS, F.col("text")).otherwise(F.concat_ws(" ", *parts))
+    few = few.withColumn("text", some)
     few = few.dropDuplicates(["lang", "at"])  # repeated rows have one hash
     ordered = Window.partitionBy("lang").orderBy("at")
     ranked = few.withColumn("rank", F.row_number().over(ordered))
@@ -211,8 +231,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         cut = cut_words(pa.array(group["text"].tolist(), pa.string()), SEPARATORS, lower=True)
         raw = cut.data.tobytes()
         spans = zip(cut.starts.tolist(), cut.ends.tolist(), strict=True)
-        words = [raw[a:b] for a, b in spans]
-        # The same number of words a language, so that none is likelier by its size.
+        words = [x for a, b in spans for x in spans_of(raw[a:b])]
+        # The same number of spans a language, so that none is likelier by its size.
         rng = np.random.default_rng(11)
         some = rng.integers(0, len(words), EPOCH_WORDS) if words else []
         pairs += [(words[i], languages.index(value)) for i in some]

@@ -59,3 +59,20 @@ def test_every_position_counts_and_edges_are_defined(spark):
     assert language.identified(empty).count() == 0
     assert language.identified(empty.limit(0).union(
         spark.createDataFrame([(None, None, None, None, None)], empty.schema))).count() == 1
+
+
+def test_training_reads_whole_words_and_long_texts(spark):
+    words = [(b"a" * 16 + b"bbbb", 0), (b"a" * 16 + b"cccc", 1)] * 600
+    reader = language.Reader(language.train(words, ["p", "q"]))
+    assert reader(pa.array(["aaaaaaaaaaaaaaaabbbb", "aaaaaaaaaaaaaaaacccc"]))[0].to_pylist() == ["p", "q"]
+    run = "一二三a四五六七八九十".encode()
+    assert b"".join(language.spans_of(run)) == run and len(run) > 30
+    assert all(x.decode() and len(x) <= 16 for x in language.spans_of(run))
+    rows = [(i, "the cat sat on the mat " * 9, "en") for i in range(20)]
+    rows += [(20 + i, "一二三四五六七八九十" * 3000 + "甲乙丙丁戊己庚辛壬癸" * 3000, "zh") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    picked = language.training_rows(docs, "doc_id", "text", "lang").where("lang = 'zh'").collect()
+    assert 0 < len(picked) and all(len(r.text) < 20100 and "一" in r.text and "癸" in r.text for r in picked)
+    net = language.fit(docs)
+    late = pa.array(["癸甲乙丙丁戊己庚辛壬" * 4, "the mat"])
+    assert net.languages == ["en", "zh"] and language.Reader(net)(late)[0].to_pylist() == ["zh", "en"]
