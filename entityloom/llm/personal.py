@@ -101,9 +101,13 @@ def emails(text: str) -> list[tuple[int, int]]:
 
 
 def ibans(text: str) -> list[tuple[int, int]]:
-    """Candidates cut to their country's length, with valid check digits."""
-    found = []
-    for m in IBAN.finditer(text):
+    """Candidates cut to their country's length, with valid check digits.
+
+    The search goes on at the end of what is confirmed, or behind the start of what is not.
+    """
+    found, at = [], 0
+    while m := IBAN.search(text, at):
+        at = m.start() + 1
         size, plain = LENGTHS.get(m[0][:2], 99), m[0].replace(" ", "")
         if len(plain) >= size and mod97(plain[:size]):
             end, left = m.start(), size
@@ -112,6 +116,7 @@ def ibans(text: str) -> list[tuple[int, int]]:
                 end += 1
             if end == len(text) or not text[end].isalnum():
                 found.append((m.start(), end))
+                at = end
     return found
 
 

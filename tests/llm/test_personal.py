@@ -58,3 +58,11 @@ def test_digest_and_mask(spark):
         key=repr,
     )
     assert personal.personal_digest(frame.where("false")).count() == 0
+
+
+def test_ibans_next_to_each_other():
+    one, two = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for text in (f"{one} {two}", f"AB12 {two}", f"DE88{one[4:]} {two}", f"x {two} {one} {one}"):
+        found = [text[a:b] for a, b in personal.ibans(text)]
+        want = sorted((text.find(x, i), x) for x in (one, two) for i in range(len(text)) if text.startswith(x, i))
+        assert found == [x for _, x in want] and found
