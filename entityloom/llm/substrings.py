@@ -16,8 +16,8 @@ texts would cost the square of the corpus.  Instead reference and query meet by
    suffix automaton that knows how often each state's words end somewhere.  The shard's segments
    stream through it, and matching statistics (the longest suffix read so far that ends
    in two places) of ``window`` or more mark the maximal spans.
-4. An anchor with more than ``CROWD`` distinct segments is no shard of bounded size: its windows
-   are counted by a 128-bit hash, combined in each task before they are shuffled.
+4. An anchor whose distinct segments are more than ``CROWD``, or have more than ``CROWD_WORDS``
+   words (long runs of one line), is no shard of bounded size: its windows are counted by a 128-bit hash, combined in each task before they are shuffled.
 
 Texts are known by a 128-bit hash, so exact copies, however many, are marked once.  The
 shuffle of the texts themselves is one, used for step 3 and for the result.
@@ -37,6 +37,7 @@ WINDOW = 35
 ANCHOR = 12
 SHARD_WORDS = 50_000
 CROWD = 1_000
+CROWD_WORDS = 100_000
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 2**64)
 
@@ -346,7 +347,10 @@ def marks(keyed: DataFrame, window: int) -> DataFrame:
     wanted = placed.groupBy("ka", "kb").agg(
         F.collect_list(F.struct("anchor", "segment", "start", "size")).alias("parts")
     )
-    crowds = distinct.groupBy("anchor").count().where(F.col("count") > CROWD)
+    crowds = distinct.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("place.size").alias("words")
+    )
+    crowds = crowds.where((F.col("count") > CROWD) | (F.col("words") > CROWD_WORDS))
     crowds = crowds.select("anchor", F.lit(True).alias("crowded"))
     words = words_of(keyed, wanted).join(crowds, "anchor", "left")
     repeated = shard_spans(words.where("crowded is null"), window)

@@ -63,3 +63,26 @@ def test_automaton_spans_equal_brute_force():
 def test_no_documents(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.removal_digest(frame).collect() == []
+
+
+def test_long_runs_of_one_line_are_no_shard(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CROWD_WORDS", 500, raising=False)
+    sharded, shard_spans = [], substrings.shard_spans
+
+    def kept(reference, window):
+        rows = reference.selectExpr("anchor", "length(words) div 8 as n")
+        sharded.extend(rows.groupBy("anchor").sum("n").collect())
+        return shard_spans(reference, window)
+
+    monkeypatch.setattr(substrings, "shard_spans", kept)
+    rng = random.Random(3)
+    docs = [(i, f"{rng.random()} " + "| " * (200 + i) + f"{rng.random()} end") for i in range(12)]
+    docs += [(20 + i, " ".join(["x"] * i + [f"w{j}" for j in range(60)])) for i in range(3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = substrings.remove_repeats(frame).collect()
+    rows = [
+        (r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest())
+        for r in got
+    ]
+    assert sorted(rows) == sorted(brute.substring_dedup(docs, substrings.WINDOW))
+    assert all(n <= 500 for _, n in sharded)
