@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from entityloom.llm import (
     decontaminate,
+    exact,
     language,
     licenses,
     packing,
     personal,
     quality,
+    resample,
     simhash,
+    spelling,
     substrings,
     toxicity,
     vectors,
@@ -81,6 +84,20 @@ def vector_groups(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.vector_groups(table(spark, folder, "embeddings"))
 
 
+def spelling_forms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return spelling.spelling_variants(spelling.word_counts(docs, damage=97))
+
+
+def drawn(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resample.resampled(docs, benchmark).drop("n_words")
+
+
+def exact_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.exact_groups(table(spark, folder, "documents")).drop("n_chars")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": contamination,
     "op2_simhash": simhash_groups,
@@ -92,12 +109,25 @@ QUERIES: dict[str, Query] = {
     "op8_language": languages,
     "op9_licenses": license_notices,
     "op10_vectors": vector_groups,
+    "op11_spelling": spelling_forms,
+    "op12_resampling": drawn,
+    "op13_exact": exact_copies,
 }
 
 ITEM_WORDS = r"""regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+# CRC-32 by its table, which is made by the rule; ``s`` is a text, ``tab`` the table's list.
+CRC_TABLE = """select list_transform(range(256), lambda i: list_reduce(
+            list_concat([i], range(8)),
+            lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab"""
+CRC = """xor(list_reduce(
+            list_concat([4294967295], list_transform(range(strlen(s)), lambda i:
+                16 * (instr('0123456789ABCDEF', substr(hex(encode(s)), 2 * i + 1, 1)) - 1)
+                + instr('0123456789ABCDEF', substr(hex(encode(s)), 2 * i + 2, 1)) - 1)),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"""
+
 SQL: dict[str, str] = {
     "op1_decontamination": f"""
         with doc as (select doc_id, {ITEM_WORDS} as w from documents),
@@ -166,4 +196,98 @@ SQL: dict[str, str] = {
                p.vec_id = component_id as kept
         from part p left join degree d on d.vec_id = p.vec_id
     """,
+    "op11_spelling": rf"""
+        with recursive table_of as ({CRC_TABLE}),
+        run as (
+            select coalesce(cast(doc_id as varchar), '') as d, count(*) as c,
+                   translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as r
+            from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''),
+                         '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as r from documents)
+            group by all),
+        coded as (
+            select r, c, {CRC} as h from (select *, d || ':' || r as s from run), table_of),
+        word as (
+            select w as word, sum(c)::bigint as n
+            from (select c, case when h % 97 = 0 then
+                             r[1:(h % length(r))::bigint] || r[(h % length(r))::bigint + 2:]
+                         else r end as w from coded)
+            where length(w) >= 5 group by w having sum(c) >= 3),
+        cut as (
+            select word, n, i, word[1:i - 1] || word[i + 1:] as rest
+            from (select word, n, unnest(range(1, length(word) + 1)) as i from word)),
+        shorter as (
+            select distinct cut.word as a, word.word as b
+            from cut join word on word.word = cut.rest),
+        near as (
+            select x.word as a, y.word as b from cut x join cut y using (i, rest)
+            where x.word <> y.word
+            union select a, b from shorter
+            union select b, a from shorter),
+        ranked as (
+            select a, b, w.n as n_b, count(*) over (partition by a) as n_near,
+                   row_number() over (partition by a order by w.n desc, encode(b)) as place
+            from near join word w on w.word = b),
+        formed as (
+            select word.word, word.n, coalesce(n_near, 0)::bigint as n_near,
+                   case when n_b >= 2 * word.n then b end as form,
+                   case when n_b >= 2 * word.n then n_b end as form_n
+            from word left join ranked on a = word.word and place = 1),
+        chain as (
+            select word, word as spot, 0 as steps from formed
+            union all
+            select chain.word, formed.form, steps + 1
+            from chain join formed on formed.word = chain.spot where formed.form is not null),
+        ends as (select word, max_by(spot, steps) as root from chain group by word)
+        select formed.word, form, root, n, n_near, form_n from formed join ends using (word)
+    """,
+    "op12_resampling": rf"""
+        with table_of as ({CRC_TABLE}),
+        entry as (
+            select 'd' as side, doc_id as id, {ITEM_WORDS} as w from documents
+            union all select 't', item_id, {ITEM_WORDS} from benchmark),
+        feature as (
+            select side, id, unnest(list_concat(w, list_transform(range(1, len(w)),
+                       lambda i: w[i] || ' ' || w[i + 1]))) as s from entry),
+        coded as (
+            select s, {CRC} % 10000 as bucket from (select distinct s from feature), table_of),
+        counted as (
+            select bucket, count(*) filter (side = 'd') as s, count(*) filter (side = 't') as t
+            from feature join coded using (s) group by bucket),
+        total as (select sum(s) as s_all, sum(t) as t_all from counted),
+        gain as (
+            select bucket, floor(1000 * ln(((t + 1) * (s_all + 10000))::double
+                       / ((s + 1) * (t_all + 10000))::double))::bigint as gain
+            from counted, total),
+        weighed as (
+            select id as doc_id, count(*) as n, floor(sum(gain) / count(*))::bigint as weight
+            from feature join coded using (s) join gain using (bucket)
+            where side = 'd' group by id),
+        h as (
+            select doc_id, len({ITEM_WORDS}) as n_words,
+                   ('0x' || sha256('7:' || doc_id)[1:8])::bigint as h from documents),
+        scored as (
+            select h.doc_id, n_words, coalesce(n, 0)::bigint as n_features,
+                   coalesce(weight, 0)::bigint as weight,
+                   (coalesce(weight, 0)
+                    + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::bigint)::bigint as score
+            from h left join weighed using (doc_id)),
+        able as (
+            select doc_id, row_number() over (order by score desc, doc_id) as rank,
+                   count(*) over () as n from scored where n_words >= 20)
+        select doc_id, n_features, weight, score,
+               case when rank <= 25 * n // 100 then rank end as rank
+        from scored left join able using (doc_id)
+    """,
+    "op13_exact": r"""
+        with doc as (
+            select doc_id, length(coalesce(text, '')) as chars,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as t
+            from documents),
+        ranked as (
+            select doc_id, t, row_number() over same as place, count(*) over (partition by t) as n,
+                   first_value(doc_id) over same as keep_id
+            from doc window same as (partition by t order by chars desc, doc_id))
+        select doc_id, keep_id, n as group_size, place = 1 as kept, sha256(t) as text_sha256
+        from ranked
+    """,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 import xxhash
@@ -120,3 +122,74 @@ def personal(text):
             if good:
                 out[kind].append(m.span())
     return out
+
+
+def exact_groups(docs):
+    """``key, keep, size, digest`` of each row; of rows equal in length and key any may stay."""
+    groups = {}
+    for key, text in docs:
+        bare = re.sub(r"[\x20\x09-\x0D]", "", text or "")
+        groups.setdefault(bare, []).append((-len(text or ""), key is None, key or 0, key))
+    out = []
+    for bare, rows in groups.items():
+        keep = min(rows)[3]
+        digest = hashlib.sha256(bare.encode()).hexdigest()
+        out += [(row[3], keep, len(rows), digest) for row in rows]
+    return out
+
+
+def near(a, b):
+    """Whether one inserted, deleted or replaced code point makes one of the other."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(counts):
+    """``word, form, root, n, n_near, form_n`` of each word."""
+    forms, rows = {}, []
+    for word, n in counts.items():
+        close = [w for w in counts if near(word, w)]
+        best = min(close, key=lambda w: (-counts[w], w), default=None)
+        forms[word] = best if best is not None and counts[best] >= 2 * n else None
+        rows.append((word, n, len(close)))
+    out = []
+    for word, n, n_near in rows:
+        root = word
+        while forms[root] is not None:
+            root = forms[root]
+        out.append((word, forms[word], root, n, n_near, counts.get(forms[word])))
+    return out
+
+
+def features(text):
+    words = alnum_words(text)
+    return words + [" ".join(words[i : i + 2]) for i in range(len(words) - 1)]
+
+
+def resampled(docs, target, percent=25, least=20):
+    """``key, n_features, weight, score, rank`` of each row; the ranks of equal rows are exchangeable."""
+
+    def counted(texts):
+        return Counter(zlib.crc32(f.encode()) % 10_000 for t in texts for f in features(t))
+
+    s, t = counted([x[1] for x in docs]), counted(target)
+    s_all, t_all = sum(s.values()), sum(t.values())
+    rows = []
+    for key, text in docs:
+        found = features(text)
+        total = 0
+        for f in found:
+            b = zlib.crc32(f.encode()) % 10_000
+            ratio = (t[b] + 1) * (s_all + 10_000) / ((s[b] + 1) * (t_all + 10_000))
+            total += math.floor(1000 * math.log(ratio))
+        weight = total // len(found) if found else 0
+        named = f"7:{'' if key is None else key}"
+        h = int(hashlib.sha256(named.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        rows.append((key, len(found), weight, score, len(alnum_words(text)) >= least))
+    able = sorted((r for r in rows if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    drawn = len(able) * percent // 100
+    out = [(*r[:4], i + 1 if i < drawn else None) for i, r in enumerate(able)]
+    return out + [(*r[:4], None) for r in rows if not r[4]]

@@ -22,6 +22,9 @@ COLUMNS = {
     "op9_licenses": "doc_id bigint, license string, start_word bigint, n_words bigint,"
     " containment double",
     "op10_vectors": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+    "op11_spelling": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
+    "op12_resampling": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op13_exact": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
 }
 ONE_ROW_EACH = [f"op{n}_" for n in (1, 2, 4, 5, 6, 7, 8)]
 
