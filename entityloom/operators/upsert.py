@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from entityloom.functions.scalars import quoted
 from entityloom.operators.collapse import collapse_by_key
 from entityloom.operators.entities import KEY
+from entityloom.operators.labels import folding
 from entityloom.operators.normalise import ABSENT
 
 
@@ -18,17 +19,49 @@ class PropertyTypeChanged(TypeError):
 
 
 def check_same_types(current: DataFrame, incoming: DataFrame) -> None:
-    """Fails, before anything runs, if a property is of another type on either side."""
-    stored = dict(current.dtypes)
+    """Fails, before anything runs, if a property is of another type on either side.
+
+    Names are compared as the session does: ``Name`` and ``name`` are one property unless
+    ``spark.sql.caseSensitive`` is on.
+    """
+    fold = folding(current.sparkSession)
+    stored = {fold(name): kind for name, kind in current.dtypes}
     changed = [
-        f"{name}: {stored[name]} stored, {kind} incoming"
+        f"{name}: {stored[fold(name)]} stored, {kind} incoming"
         for name, kind in incoming.dtypes
-        if stored.get(name, kind) != kind
+        if stored.get(fold(name), kind) != kind
     ]
     if changed:
         raise PropertyTypeChanged("; ".join(changed))
 
 
+def spelled_as(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """``incoming`` with the names it shares with ``stored`` in that side's spelling,
+    those in ``__absent__`` included."""
+    fold = folding(stored.sparkSession)
+    spelling = {fold(name): name for name in stored.columns}
+    changed = {
+        name: spelling[fold(name)]
+        for name in incoming.columns
+        if spelling.get(fold(name), name) != name
+    }
+    if not changed:
+        return incoming
+
+    def absent(names: Column) -> Column:
+        pairs = F.create_map(*[F.lit(x) for pair in changed.items() for x in pair])
+        return F.transform(names, lambda n: F.coalesce(F.try_element_at(pairs, n), n))
+
+    return incoming.select(
+        *[
+            absent(F.col(ABSENT)).alias(ABSENT)
+            if name == ABSENT
+            else quoted(name).alias(changed.get(name, name))
+            for name in incoming.columns
+        ]
+    )
+
+
 def _with_absent(df: DataFrame, other: DataFrame) -> DataFrame:
     """``df`` with the properties that only ``other`` has marked absent in each row."""
     lacking = [c for c in other.columns if c not in (*df.columns, ABSENT)]
@@ -53,12 +86,14 @@ def upsert_entities(
     ``order_by``, unless it is ``collapsed`` already.  A property of entities that only
     one side has is absent, not null, in the other's rows (``__absent__`` names it);
     rows that are no entities get null there.  A property whose type differs fails before
-    the run.  Where the incoming keys are below Spark's broadcast threshold, ``current`` is
+    the run.  A property spelled differently on the two sides is one, in the stored spelling,
+    unless the session is case sensitive.  Where the incoming keys are below Spark's broadcast threshold, ``current`` is
     only scanned; beyond it both sides are shuffled by key.  ``incoming`` is used
     twice, so land it first if it is the end of a long chain.
     """
     names = [key] if isinstance(key, str) else list(key)
     check_same_types(current, incoming)
+    incoming = spelled_as(current, incoming)
     new, keys = incoming, incoming.select(*names)
     if not collapsed:
         new, keys = collapse_by_key(incoming, names, order_by), keys.distinct()
