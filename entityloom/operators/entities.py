@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from entityloom.functions import property_types as P
 from entityloom.functions.scalars import quoted
-from entityloom.operators.normalise import ABSENT
+from entityloom.operators.normalise import ABSENT, REJECTED
 
 KEY = "__key__"
 KEY_FIELDS = ["name", "kind", "project"]
@@ -96,7 +96,7 @@ def split_bad_keys(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def to_long(wide: DataFrame) -> DataFrame:
     """One row per property of each entity; no shuffle."""
-    names = [c for c in wide.columns if c not in (KEY, ABSENT)]
+    names = [c for c in wide.columns if c not in (KEY, ABSENT, REJECTED)]
     cells = []
     for name in names:
         kind = P.stored_kind(wide.schema[name].dataType)

@@ -16,6 +16,9 @@ from entityloom.operators.labels import first_of_each_label
 # null is there; one named here is absent.  The column exists only with ``reads``.
 ABSENT = "__absent__"
 
+# What could not be read, kept on request: (property, source_type, wanted_type, raw_text) each.
+REJECTED = "__rejected__"
+
 Override = Callable[[Column], Column]
 
 
@@ -24,6 +27,7 @@ def normalise(
     overrides: Mapping[str, Override] | None = None,
     reads: Mapping[str, str] | None = None,
     decimal: str = "double",
+    keep_rejected: bool = False,
 ) -> DataFrame:
     """``df`` with each column converted to its property type; nulls stay nulls.
 
@@ -31,7 +35,8 @@ def normalise(
     columns of a type, by the type's name (``decimal``, ``date``, ``array``, ..);
     the result is brought to a property type in turn.  ``reads`` names columns
     to be read as another type first.  A value that cannot be read makes the
-    property absent and keeps the row.  ``decimal`` is ``double`` or ``keep``.
+    property absent and keeps the row; with ``keep_rejected`` its text and types are kept
+    beside it in ``__rejected__``.  ``decimal`` is ``double`` or ``keep``.
     """
     if decimal not in ("double", "keep"):
         raise ValueError(f"decimal must be 'double' or 'keep', not {decimal!r}")
@@ -48,23 +53,25 @@ def normalise(
     if not reads:
         return read.select(*values)
 
-    unread = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    quoted(f.name).isNotNull() & _as(f, reads[f.name]).isNull(),
-                    F.lit(f.name),
-                )
-                for f in rows.schema.fields
-                if f.name in reads
-            ]
+    def bad(f: T.StructField) -> Column:
+        return quoted(f.name).isNotNull() & _as(f, reads[f.name]).isNull()
+
+    def raw(f: T.StructField) -> Column:
+        return F.struct(
+            F.lit(f.name).alias("property"),
+            F.lit(f.dataType.simpleString()).alias("source_type"),
+            F.lit(reads[f.name]).alias("wanted_type"),
+            quoted(f.name).cast("string").alias("raw_text"),
         )
-    )
-    marked = rows.select(
-        *[_read(f, overrides, reads) for f in rows.schema.fields],
-        unread.alias(ABSENT),
-    )
-    return marked.select(*values, ABSENT)
+
+    asked = [f for f in rows.schema.fields if f.name in reads]
+    names = F.array_compact(F.array(*[F.when(bad(f), F.lit(f.name)) for f in asked]))
+    marks = [names.alias(ABSENT)]
+    if keep_rejected:
+        texts = F.array_compact(F.array(*[F.when(bad(f), raw(f)) for f in asked]))
+        marks.append(texts.alias(REJECTED))
+    marked = rows.select(*[_read(f, overrides, reads) for f in rows.schema.fields], *marks)
+    return marked.select(*values, ABSENT, *([REJECTED] if keep_rejected else []))
 
 
 def _as(field: T.StructField, type_name: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.entity_job import Profile, RunResult, run, run_folder, store
+from entityloom.sources.entity_rows import ClientSource
 from entityloom.sources.jdbc import JdbcSource, ValueRanges, land_tables, read_jdbc
 from entityloom.sources.tables import ParquetTables, land
 
@@ -23,6 +24,7 @@ class CustomerJob:
     yields the profile's rows itself: the database then joins, and one snapshot is read.
     ``trim`` is for blank-padded text columns.  ``folder`` takes the landed tables, each
     run's in a folder of its own; by default they go under the session's shared folder.
+    ``most_fan_out`` bounds the rows that the lookups may make of a customer's.
     """
 
     project: str
@@ -37,14 +39,15 @@ class CustomerJob:
     trim: bool = False
     check_counts: bool = False
     exact_counts: bool = False
+    most_fan_out: float | None = None
 
     def profile(self) -> Profile:
         return customer_profile(self.owner, self.measure, self.trim)
 
     def tables(
-        self, spark: SparkSession, source: JdbcSource | str
+        self, spark: SparkSession, source: JdbcSource | ClientSource | str
     ) -> Mapping[str, DataFrame]:
-        """The ten tables, from a database or a folder of Parquet tables.
+        """The ten tables, from a database, a client of one or a folder of Parquet tables.
 
         Of a database only the columns and rows that the profile uses are read.
         """
@@ -65,11 +68,12 @@ class CustomerJob:
             self.check_counts,
         )
 
-    def rows(self, spark: SparkSession, source: JdbcSource | str) -> DataFrame:
+    def rows(self, spark: SparkSession, source: JdbcSource | ClientSource | str) -> DataFrame:
         """The profile's rows, from its tables or from one statement."""
         if self.statement is None:
-            return self.profile().rows(self.tables(spark, source), self.only)
-        if isinstance(source, str):
+            tables = self.tables(spark, source)
+            return self.profile().rows(tables, self.only, most_fan_out=self.most_fan_out)
+        if not isinstance(source, JdbcSource):
             raise ValueError("a statement needs a database")
         rows = read_jdbc(spark, source, f"({self.statement}) q")
         if self.only:
@@ -79,7 +83,7 @@ class CustomerJob:
     def run(
         self,
         spark: SparkSession,
-        source: JdbcSource | str,
+        source: JdbcSource | ClientSource | str,
         current: DataFrame | None = None,
     ) -> tuple[RunResult, DataFrame]:
         """The run's result, and the stored entities after it."""

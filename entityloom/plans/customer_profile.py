@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from entityloom.functions.scalars import iso_date, or_zero
+from entityloom.operators.collapse import Order
 from entityloom.operators.lookups import Lookup
 from entityloom.plans.entity_job import EntityRules, Profile
 
@@ -206,7 +207,7 @@ def customer_rules(project: str, kind: str = "Customer") -> EntityRules:
 
     def order_by():
         return [
-            F.asc_nulls_last(name)
+            Order(name)
             for name in (
                 "sales_tax_exempt_id",
                 "tax_exemption_code",

@@ -10,11 +10,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entityloom.operators.collapse import collapse_by_key
+from entityloom.operators.collapse import DROPPED, ROWS, Order, collapse_by_key, collapse_counted
 from entityloom.operators.entities import KEY, split_bad_keys, with_key
+from entityloom.operators.fanout import check_fan_out
 from entityloom.operators.lookups import AUTO, Lookup, widen
-from entityloom.operators.metrics import observe_keyed, observed_metrics, run_metrics
-from entityloom.operators.normalise import Override, normalise
+from entityloom.operators.metrics import (
+    landed_metrics,
+    observe_keyed,
+    observed_metrics,
+    rejected_values,
+)
+from entityloom.operators.normalise import REJECTED, Override, normalise
 from entityloom.operators.upsert import upsert_entities
 from entityloom.sources.shared import new_path
 from entityloom.sources.tables import land
@@ -65,8 +71,13 @@ class Profile:
         tables: Mapping[str, DataFrame],
         only: object | None = None,
         hot_rows: int | str | None = AUTO,
+        most_fan_out: float | None = None,
     ) -> DataFrame:
-        """All rows, or those whose filter column equals ``only``."""
+        """All rows, or those whose filter column equals ``only``.
+
+        With ``most_fan_out`` the rows that the lookups make of each base row are counted
+        first, and the run fails before anything is joined if they are more.
+        """
         base = tables[self.base].select(*self.base_columns)
         if self.trim:
             texts = {f.name for f in base.schema if isinstance(f.dataType, T.StringType)}
@@ -79,6 +90,8 @@ class Profile:
                 raise ValueError("this profile has no filter column")
             base = base.where(F.col(self.filter_column) == F.lit(only))
             known[self.filter_column] = only
+        if most_fan_out is not None:
+            check_fan_out(base, tables, self.lookups, most_fan_out)
         wide = widen(base, tables, self.lookups, hot_rows, known)
         return wide.select(*self.output())
 
@@ -95,10 +108,12 @@ class EntityRules:
     overrides: Mapping[str, Override] = field(default_factory=dict)
     reads: Mapping[str, str] = field(default_factory=dict)
     decimal: str = "double"
-    order_by: Callable[[], list[Column]] = list
+    order_by: Callable[[], list[Column | Order]] = list
+    keep_rejected: bool = False  # land what could not be read, with its text
 
     def keyed(self, rows: DataFrame) -> DataFrame:
-        typed = normalise(rows, self.overrides, self.reads, self.decimal)
+        kept = self.keep_rejected and bool(self.reads)
+        typed = normalise(rows, self.overrides, self.reads, self.decimal, kept)
         return with_key(
             typed,
             self.key_columns,
@@ -108,12 +123,14 @@ class EntityRules:
             self.on_bad_key,
         )
 
-    def entities(self, keyed: DataFrame) -> DataFrame:
-        """One row per usable key."""
-        good, _ = split_bad_keys(keyed)
+    def entities(self, keyed: DataFrame, counted: bool = False) -> DataFrame:
+        """One row per usable key; ``counted`` with the rows it stands for."""
+        good, _ = split_bad_keys(keyed.drop(REJECTED))
         # Text key columns are equal just when the keys are, and naming them lets
         # a join on the same column serve the collapse without another shuffle.
         keys = None if self.cast_keys else self.key_columns
+        if counted:
+            return collapse_counted(good, keys, self.order_by(), list(self.reads))
         return collapse_by_key(good, keys, self.order_by())
 
 
@@ -122,6 +139,7 @@ class RunResult:
     entities: DataFrame  # wide, one row per key
     quarantine: DataFrame
     metrics: DataFrame
+    rejected: DataFrame | None = None  # values that could not be read
 
 
 def run_folder(spark: SparkSession, folder: str | None) -> str:
@@ -141,26 +159,37 @@ def run(
 
     The entities are landed straight from the joins, so a join on the key column serves
     the collapse too, and the rows are counted on their way; the quarantine is landed from
-    its own filtered branch.  Counts may be high after a task was repeated.  With
-    ``exact_counts`` the keyed rows are landed once instead and all three read that table:
-    one write, read and shuffle more, and the counts are exact whatever happened.
+    its own filtered branch, and so are the rejected values if the rules keep them.  Counts
+    may be high after a task was repeated.  With ``exact_counts`` rows are collapsed by an
+    aggregate instead, every landed entity knows how many rows it stands for, and the counts
+    are exact whatever happened, without another write or shuffle; the order of the rules is
+    then given by ``Order``.
     """
     place = run_folder(rows.sparkSession, folder)
     keyed = rules.keyed(rows)
-    if exact_counts:
-        keyed = land(keyed, "keyed-rows", place)
-        entities = land(rules.entities(keyed), "entities", place)
-        return RunResult(entities, split_bad_keys(keyed)[1], run_metrics(keyed, entities))
     seen = Observation()
-    entities = land(rules.entities(observe_keyed(keyed, seen)), "entities", place)
-    quarantine = land(split_bad_keys(keyed)[1], "quarantine", place)
-    return RunResult(entities, quarantine, observed_metrics(seen, entities))
+    if exact_counts:
+        entities = land(rules.entities(keyed, counted=True), "entities", place)
+    else:
+        entities = land(rules.entities(observe_keyed(keyed, seen)), "entities", place)
+    quarantine = land(split_bad_keys(keyed)[1].drop(REJECTED), "quarantine", place)
+    rejected = None
+    if REJECTED in keyed.columns:
+        rejected = land(rejected_values(keyed), "rejected", place)
+    if exact_counts:
+        metrics = landed_metrics(entities, quarantine)
+        return RunResult(entities.drop(ROWS, DROPPED), quarantine, metrics, rejected)
+    return RunResult(entities, quarantine, observed_metrics(seen, entities), rejected)
 
 
 def store(
     current: DataFrame | None, entities: DataFrame, folder: str | None = None
 ) -> DataFrame:
-    """The next version of the stored entities, as a new table beside the old one."""
+    """The next version of the stored entities, as a new table beside the old one.
+
+    This writes every stored entity; ``sources.buckets`` rewrites only those that share a
+    bucket with an incoming key.
+    """
     place = run_folder(entities.sparkSession, folder)
     if current is None:
         return land(entities, "stored", place)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.functions.scalars import quoted
+from entityloom.sources.entity_rows import ClientSource
 from entityloom.sources.tables import land
 from entityloom.together import together
 
@@ -38,6 +39,16 @@ class JdbcSource:
         }
         return {name: value for name, value in given.items() if value is not None}
 
+    def rows(
+        self,
+        spark: SparkSession,
+        relation: str,
+        split: ValueRanges | Sequence[str] | None = None,
+        columns: Sequence[str] | None = None,
+    ) -> DataFrame:
+        """Rows of a table; what is selected of them Spark pushes into the queries by itself."""
+        return read_jdbc(spark, self, relation, split)
+
 
 @dataclass(frozen=True)
 class ValueRanges:
@@ -119,7 +130,7 @@ def where_equal(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def land_tables(
     spark: SparkSession,
-    source: JdbcSource,
+    source: JdbcSource | ClientSource,
     relations: Mapping[str, str],
     splits: Mapping[str, ValueRanges | Sequence[str]] | None = None,
     equal: Mapping[str, object] | None = None,
@@ -130,8 +141,8 @@ def land_tables(
 ) -> dict[str, DataFrame]:
     """Each relation read once and kept as Parquet, by its name.
 
-    Joins then run on one set of rows instead of asking the database again.  The
-    tables are read side by side.  A relation with a column of ``equal`` is read
+    ``source`` is a database, or a client that reads one (``entity_rows``).  Joins then run on
+    one set of rows instead of asking the database again.  The tables are read side by side.  A relation with a column of ``equal`` is read
     only where it has that value; the database applies the condition.  ``columns`` and
     ``conditions`` name the columns and rows that are used of a relation; others are not
     read.  ``check_counts`` compares the rows of a split read with a count of the whole by
@@ -140,6 +151,12 @@ def land_tables(
     """
     splits = splits or {}
 
+    def asked(name: str) -> list[str] | None:
+        """The columns used of a table, and those its rows are chosen by."""
+        if name not in (columns or {}):
+            return None
+        return list(dict.fromkeys([*columns[name], *(equal or {})]))
+
     def used(name: str, rows: DataFrame) -> DataFrame:
         rows = where_equal(rows, equal or {})
         if name in (conditions or {}):
@@ -148,9 +165,10 @@ def land_tables(
 
     def landed(name: str, relation: str) -> DataFrame:
         split = splits.get(name)
-        rows = land(used(name, read_jdbc(spark, source, relation, split)), name, folder)
+        read = source.rows(spark, relation, split, asked(name))
+        rows = land(used(name, read), name, folder)
         if check_counts and split is not None:
-            expected = used(name, read_jdbc(spark, source, relation, None)).count()
+            expected = used(name, source.rows(spark, relation, None, asked(name))).count()
             if (found := rows.count()) != expected:
                 raise RowCountDiffers(f"{name}: {found} rows landed, {expected} in the database")
         return rows

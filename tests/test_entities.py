@@ -10,11 +10,13 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from entityloom.operators.collapse import collapse_by_key
+from entityloom.operators.collapse import ROWS, Order, collapse_by_key, collapse_counted
 from entityloom.operators.entities import KEY, split_bad_keys, to_long, with_key
 from entityloom.operators.metrics import observe_keyed, run_metrics
-from entityloom.operators.normalise import normalise
+from entityloom.operators.normalise import ABSENT, normalise
 from entityloom.operators.upsert import upsert_entities
+from entityloom.plans.entity_job import EntityRules, run
+from entityloom.sources.tables import land
 from tests.conftest import plan_of
 
 VALUES = ["long", "double", "bool", "string", "blob", "timestamp"]
@@ -224,12 +226,13 @@ def test_counts(spark):
         "dropped_values": 2,
         "entities": 2,
         "collapsed": 1,
+        "dropped_by_column": {"n": 2},
     }
     seen = Observation("run")
     observe_keyed(keyed, seen).write.format("noop").mode("overwrite").save()
-    assert seen.get == {"rows": 5, "bad_keys": 2, "dropped_values": 2}
+    assert seen.get == {"rows": 5, "bad_keys": 2, "dropped id": 0, "dropped n": 2}
     empty = run_metrics(keyed.where("1 = 0")).first()
-    assert set(empty) == {0}
+    assert set(empty[:-1]) == {0} and empty[-1] == {}
 
 
 def test_observing_rows_without_reads(spark):
@@ -238,3 +241,103 @@ def test_observing_rows_without_reads(spark):
     observe_keyed(keyed, seen).write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 1, "bad_keys": 0}
     assert run_metrics(keyed).first().dropped_values == 0
+
+
+ORDERS = [
+    [],
+    [Order("n")],
+    [Order("n", descending=True)],
+    [Order("x", descending=True, nulls_last=False), Order("s", descending=True)],
+    [Order("b", descending=True), Order("d", descending=True), Order("t", nulls_last=False)],
+    [Order("t", descending=True), Order("z", descending=True), Order("u", descending=True)],
+]
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_the_counting_collapse_picks_the_same_rows(spark, order):
+    rng = random.Random(1)
+    cells = [
+        [None, -(2**63), 2**63 - 1, 0, 5],
+        [None, float("nan"), -0.5, 2.0, float("inf")],
+        [None, "", "a", "ab", "é"],
+        [None, True, False],
+        [None, 0, 1, 40000],
+    ]
+    rows = [(f"k{rng.randrange(12)}", *[rng.choice(c) for c in cells]) for _ in range(150)]
+    df = spark.createDataFrame(rows, "k string, n long, x double, s string, b boolean, i int")
+    df = df.selectExpr(
+        "k", "n", "x", "s", "b", "date_add(date '1999-12-30', i) as d",
+        "timestamp_seconds(i * 7 - 9) as t", "cast(s as binary) as z",
+        "cast(timestamp_seconds(i * 7 - 9) as timestamp_ntz) as u",
+    )
+    counted = collapse_counted(df, ["k"], order)
+    plain = collapse_by_key(df, ["k"], order)
+    assert counted.columns == [*df.columns, ROWS]
+    assert sorted(map(repr, counted.drop(ROWS).collect())) == sorted(map(repr, plain.collect()))
+    assert {r.k: r[ROWS] for r in counted.collect()} == {
+        r.k: r["count"] for r in df.groupBy("k").count().collect()
+    }
+
+
+def test_the_counting_collapse_counts_per_task(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "id as v")
+    plan = plan_of(collapse_counted(df, ["k"], [Order("v")]))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_min" in plan[plan.index("Exchange") :] and "partial_count" in plan
+    with pytest.raises(TypeError, match="downwards"):
+        collapse_counted(df.selectExpr("k", "array(v) as v"), ["k"], [Order("v", True)])
+
+
+RULES = EntityRules(
+    ["id"], "p", "K", reads={"n": "int", "m": "date"}, order_by=lambda: [Order("n", True)], keep_rejected=True
+)
+TEXTS = [("a", "1", None), ("a", "no", "2024-02-30"), ("a", "2", "2024-02-03"), ("b", None, "x")]
+TEXTS += [(None, "no", None), ("", "2", "y"), ("c", "z", "z")]
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_a_run_counts_by_column_and_keeps_what_it_rejects(spark, tmp_path, exact):
+    rows = spark.createDataFrame(TEXTS, "id string, n string, m string")
+    result = run(rows, RULES, str(tmp_path), exact_counts=exact)
+    assert result.metrics.first().asDict() == {
+        "rows": 7,
+        "bad_keys": 2,
+        "dropped_values": 7,
+        "entities": 3,
+        "collapsed": 2,
+        "dropped_by_column": {"n": 3, "m": 4},
+    }
+    assert result.entities.columns == [KEY, "id", "n", "m", ABSENT]
+    assert {r.id: r.n for r in result.entities.collect()} == {"a": 2, "b": None, "c": None}
+    rejected = sorted(map(tuple, result.rejected.drop("project", "kind").collect()), key=repr)
+    assert rejected == sorted(
+        [
+            ("a", "n", "string", "int", "no"),
+            ("a", "m", "string", "date", "2024-02-30"),
+            ("b", "m", "string", "date", "x"),
+            (None, "n", "string", "int", "no"),
+            (None, "m", "string", "date", "y"),
+            ("c", "n", "string", "int", "z"),
+            ("c", "m", "string", "date", "z"),
+        ],
+        key=repr,
+    )
+    assert result.quarantine.columns == [KEY, "id", "n", "m", ABSENT]
+
+
+def test_exact_counts_add_no_write_and_no_shuffle(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame(TEXTS, "id string, n string, m string").repartition(3, "id")
+    landed = {}
+
+    def noted(df, name, folder=None):
+        landed[name] = plan_of(df).count("Exchange")
+        return land(df, name, folder)
+
+    monkeypatch.setattr("entityloom.plans.entity_job.land", noted)
+    counts = {}
+    for exact in (False, True):
+        landed.clear()
+        run(rows, RULES, str(tmp_path), exact_counts=exact)
+        counts[exact] = dict(landed)
+    assert counts[True] == counts[False]
+    assert set(counts[True]) == {"entities", "quarantine", "rejected"}

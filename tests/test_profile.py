@@ -232,6 +232,7 @@ def test_whole_run(spark, exact):
         "dropped_values": 0,
         "entities": 8,
         "collapsed": 2,
+        "dropped_by_column": {},
     }
     assert result.quarantine.count() == 0
     entities = {r["__key__"]["name"]: r for r in result.entities.collect()}
