@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from entityloom.operators.collapse import collapse_by_key
+from entityloom.operators.collapse import ROWS, Order, collapse_by_key, collapse_counted
 from entityloom.operators.entities import KEY, split_bad_keys, to_long, with_key
 from entityloom.operators.lookups import Lookup, lookup_join
 from entityloom.operators.metrics import run_metrics
 from entityloom.operators.normalise import normalise
 from entityloom.operators.upsert import upsert_entities
-from entityloom.plans.entity_job import store
-from entityloom.plans.registry import query
+from entityloom.plans.entity_job import EntityRules, run, store
+from entityloom.plans.registry import SCHEMAS, query
+from entityloom.sources.buckets import read_buckets, upsert_buckets
+from entityloom.sources.entity_rows import ClientSource
+from entityloom.sources.entity_store import write_entities
 from entityloom.sources.files import write_by_date
+from entityloom.sources.folder_store import STORE, stored_rows
 from entityloom.sources.shared import new_path
+from entityloom.sources.tables import land
 
 PROJECT = "demo"
 
@@ -188,9 +193,9 @@ UPSERT_LONG_SQL = """
 """
 
 
-@query(UPSERT_LONG_SQL)
-def upsert_long(t):
-    """Each side has a property the other lacks; ranks of open orders cannot be read."""
+def order_batches(t, spelled: str = "amount"):
+    """Stored and incoming orders: each side has a property the other lacks, one is spelled
+    ``spelled`` on the incoming side, and ranks of open orders cannot be read."""
     order_id = F.col("o_orderkey").cast("string").alias("order_id")
     amount = F.col("o_totalprice").alias("amount")
     digit = F.substring("o_orderpriority", 1, 1)
@@ -199,12 +204,30 @@ def upsert_long(t):
     rank = F.when(F.col("o_orderstatus") == "F", digit).when(F.col("o_orderstatus") == "O", "none")
     incoming = t["orders"].where("o_orderdate >= timestamp_ntz '2000-01-01 00:00:00'")
     incoming = normalise(
-        incoming.select(order_id, amount, rank.alias("rank")), reads={"rank": "int"}
-    )
-    keyed = [with_key(df, ["order_id"], PROJECT, "Order") for df in (current, incoming)]
-    return to_long(upsert_entities(*keyed, KEY)).select(
-        "key_name", "property", "value_type", "long_value", "double_value", "string_value"
+        incoming.select(order_id, amount.alias(spelled), rank.alias("rank")), reads={"rank": "int"}
     )
+    return [with_key(df, ["order_id"], PROJECT, "Order") for df in (current, incoming)]
+
+
+ORDER_LONG = ["key_name", "property", "value_type", "long_value", "double_value", "string_value"]
+
+
+@query(UPSERT_LONG_SQL)
+def upsert_long(t):
+    """One property has two spellings; the stored one counts."""
+    return to_long(upsert_entities(*order_batches(t, "Amount"), KEY)).select(*ORDER_LONG)
+
+
+@query(UPSERT_LONG_SQL, name="upsert_buckets")
+def upsert_in_buckets(t):
+    """The same through a store in buckets, the incoming orders in two writes."""
+    current, incoming = order_batches(t)
+    path = new_path(t["orders"].sparkSession, "bucket-store")
+    upsert_buckets(path, current, buckets=16)
+    late = F.crc32(F.col("order_id").cast("binary")) % 3 == 0
+    for part in (incoming.where(late), incoming.where(~late)):
+        upsert_buckets(path, part)
+    return to_long(read_buckets(current.sparkSession, path)).select(*ORDER_LONG)
 
 
 @query(
@@ -253,6 +276,55 @@ def entity_sink(t):
     return to_long(stored).select(*LONG_COLUMNS)
 
 
+LONG_SCHEMA = (
+    "kind string, key_name string, property string, value_type string,"
+    " long_value bigint, double_value double, string_value string"
+)
+
+
+@query(
+    LONG_SQL.replace("c_acctbal, null", "case when c_acctbal < 0 then 0 else c_acctbal end, null")
+)
+def external_store(t):
+    """The writes of ``entity_sink`` put into a keyed store through the data source, a property a row."""
+    first = keyed_customers(t)
+    spark = t["customer"].sparkSession
+    second = first.where("balance < 0").withColumn("balance", F.lit(0.0))
+    folder = new_path(spark, "folder-store")
+    for number, rows in enumerate((first, second)):
+        options = {"folder": folder, "write": str(number)}
+        long = to_long(rows).select(*LONG_COLUMNS)
+        write_entities(long, STORE, options, LONG_COLUMNS[:3], batch_rows=20_000)
+    return stored_rows(spark, folder, LONG_SCHEMA, LONG_COLUMNS[:3])
+
+
+@query(
+    """
+    select o_orderkey, o_custkey, o_totalprice, c_name
+    from orders left join customer on c_custkey = o_custkey
+    where o_orderstatus = 'F'
+    """
+)
+def client_rows(t):
+    """Two tables read through a client of one's own, by row groups; the filter reaches it."""
+    spark = t["orders"].sparkSession
+    folder = new_path(spark, "for-a-client")
+    for name in ("orders", "customer"):
+        land(t[name], name, folder)
+    source = ClientSource(
+        "entityloom.sources.entity_rows:ParquetClient",
+        {name: SCHEMAS[name] for name in ("orders", "customer")},
+        {"folder": folder},
+    )
+    orders = source.rows(
+        spark, "orders", columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    )
+    name = Lookup("customer", on={"c_custkey": "o_custkey"}, take={"c_name": "c_name"})
+    customers = source.rows(spark, "customer", columns=["c_custkey", "c_name"])
+    rows = lookup_join(orders.where("o_orderstatus = 'F'"), customers, name)
+    return rows.drop("o_orderstatus")
+
+
 @query(
     """
     with rows as (
@@ -263,16 +335,89 @@ def entity_sink(t):
            count(*) - count(label_id) as bad_keys,
            count(role) - count(try_cast(role as integer)) as dropped_values,
            count(distinct label_id) as entities,
-           count(label_id) - count(distinct label_id) as collapsed
+           count(label_id) - count(distinct label_id) as collapsed,
+           'role=' || (count(role) - count(try_cast(role as integer))) as dropped_by_column
     from rows
     """,
     name="run_metrics",
 )
 def run_metrics_conversations(t):
+    counts = run_metrics(TALK.keyed(turns(t)))
+    return counts.withColumn("dropped_by_column", by_column_text())
+
+
+TALK = EntityRules(
+    ["label_id"], PROJECT, "Talk", cast_keys=True, reads={"role": "int"}, keep_rejected=True
+)
+
+
+def turns(t):
     label = Lookup("labels", on={"doc_id": "conv_id"}, take={"label_id": "doc_id"})
-    turns = t["conversations"].select("conv_id", "role")
-    rows = normalise(lookup_join(turns, t["labels"], label), reads={"role": "int"})
-    return run_metrics(with_key(rows, ["label_id"], PROJECT, "Talk", cast_keys=True))
+    return lookup_join(t["conversations"].select("conv_id", "role"), t["labels"], label)
+
+
+def by_column_text():
+    """The counts by column as text, ``name=count`` by name."""
+    pairs = F.transform(
+        F.array_sort(F.map_entries("dropped_by_column")),
+        lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
+    )
+    return F.array_join(pairs, ",")
+
+
+@query(
+    """
+    with rows as (
+      select c.conv_id, c.role, l.doc_id as label_id
+      from conversations c left join labels l on l.doc_id = c.conv_id
+    )
+    select count(*) as rows,
+           count(*) - count(label_id) as bad_keys,
+           count(role) - count(try_cast(role as integer)) as dropped_values,
+           count(distinct label_id) as entities,
+           count(label_id) - count(distinct label_id) as collapsed,
+           'role=' || (count(role) - count(try_cast(role as integer))) as dropped_by_column
+    from rows
+    """
+)
+def run_exact_metrics(t):
+    """The counts of a whole run, from the entities and the quarantine it landed."""
+    counts = run(turns(t), TALK, exact_counts=True).metrics
+    return counts.withColumn("dropped_by_column", by_column_text())
+
+
+@query(
+    """
+    select cast(l.doc_id as varchar) as key_name, 'role' as property, 'string' as source_type,
+           'int' as wanted_type, c.role as raw_text
+    from conversations c left join labels l on l.doc_id = c.conv_id
+    where c.role is not null and try_cast(c.role as integer) is null
+    """
+)
+def run_rejected(t):
+    """Every value of a run that could not be read."""
+    rejected = run(turns(t), TALK).rejected
+    return rejected.select("key_name", "property", "source_type", "wanted_type", "raw_text")
+
+
+@query(
+    """
+    select o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, n as rows_per_key
+    from (
+      select *, count(*) over (partition by o_custkey) as n, row_number() over (
+        partition by o_custkey order by o_orderdate desc, o_orderpriority desc, o_orderkey) as rn
+      from orders
+    ) where rn = 1
+    """
+)
+def collapse_counted_latest(t):
+    """One aggregate picks a customer's latest order and counts all."""
+    orders = t["orders"].select(
+        "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    order = [Order("o_orderdate", True), Order("o_orderpriority", True), Order("o_orderkey")]
+    kept = collapse_counted(orders, ["o_custkey"], order)
+    return kept.withColumnRenamed(ROWS, "rows_per_key").drop("o_orderpriority")
 
 
 @query(

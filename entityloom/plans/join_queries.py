@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from entityloom.functions.scalars import iso_date, or_zero
+from entityloom.operators.fanout import fan_outs
 from entityloom.operators.labels import first_of_each_label
 from entityloom.operators.lookups import Lookup, lookup_join, widen
 from entityloom.plans.order_profile import (
@@ -16,6 +19,7 @@ from entityloom.plans.order_profile import (
     with_code_tables,
 )
 from entityloom.plans.registry import query
+from entityloom.sources.cuts import balanced_conditions
 from entityloom.sources.jdbc import text_ranges
 from entityloom.sources.tables import query_rows
 
@@ -303,3 +307,62 @@ def text_range_split(t):
         sum(met[1:], met[0]).alias("times_read"),
         sum(read_by[1:], read_by[0]).alias("read_by"),
     )
+
+
+@query(
+    """
+    select count(*) as rows, count(*) as met_once, count(*) filter (o_custkey % 3 = 0) as hot,
+           true as balanced
+    from orders
+    """
+)
+def balanced_parts(t):
+    """Orders, a third of them on one customer, cut into parts by a sample of their own."""
+    third = F.when(F.col("o_custkey") % 3 == 0, F.lit(3)).otherwise(F.col("o_custkey"))
+    orders = t["orders"].select(third.alias("customer"), F.col("o_orderkey").alias("order"))
+    share = max(0.05, min(1.0, 50_000 / max(1, orders.count())))
+    sample = orders.sample(share, seed=3)
+    conditions = balanced_conditions(sample, "customer", 12, "`order`")
+    met = [F.expr(condition).cast("int") for condition in conditions]
+    sizes = [F.sum(m).alias(f"p{i}") for i, m in enumerate(met)]
+    whole = orders.agg(
+        F.count("*").alias("rows"),
+        F.count_if(sum(met[1:], met[0]) == 1).alias("met_once"),
+        F.count_if(F.col("customer") == 3).alias("hot"),
+        *sizes,
+    )
+    largest = F.greatest(*[F.col(f"p{i}") for i in range(len(met))])
+    balanced = largest <= 2.2 * F.col("rows") / 12  # twice the mean, and the sample's error
+    return whole.select("rows", "met_once", "hot", balanced.alias("balanced"))
+
+
+@query(
+    f"""
+    with {CODES},
+    met as (
+      select 'nation' as lookup, count(*) as before, count(*) as after from customer
+      union all
+      select 'orders', count(*), sum(greatest(n, 1))::bigint
+      from (select c_custkey, count(o_orderkey) as n
+            from customer left join orders on o_custkey = c_custkey group by c_custkey)
+      union all
+      select 'codes', count(*), sum(greatest(n, 1))::bigint
+      from (select c_custkey, (select count(*) from codes
+                               where ref_id = 1 and code_value = cast(n_regionkey as varchar)) as n
+            from customer left join nation on n_nationkey = c_nationkey)
+    )
+    select * from met
+    """
+)
+def lookup_fan_out(t):
+    """What each lookup makes of a customer's row; the codes are looked up by the nation's region."""
+    codes = code_table(t).where("code_table_ref_id = 1")
+    lookups = [
+        replace(NATION, take={"region_key": "n_regionkey"}),
+        Lookup("orders", on={"o_custkey": "c_custkey"}, take={"order": "o_orderkey"}, satellite=True),
+        Lookup("codes", on={"code_value": "region_key"}, take={"region": "code_desc"}, code_type="int"),
+    ]
+    tables = {"nation": t["nation"], "orders": t["orders"], "codes": codes}
+    found = fan_outs(t["customer"].select("c_custkey", "c_nationkey"), tables, lookups)
+    rows = [(f.table, f.before, f.after) for f in found]
+    return t["customer"].sparkSession.createDataFrame(rows, "lookup string, before long, after long")

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from entityloom.operators.lookups import Lookup, widen
 from entityloom.operators.skew import SALTS, find_hot_keys, spread_left_join
+from entityloom.sources.tables import land
 from entityloom.together import together
+from tests.conftest import plan_of
 
 KEYS = st.one_of(st.none(), st.integers(0, 4))
 
@@ -210,3 +212,44 @@ def test_a_failure_cancels_the_other_jobs(spark):
     with pytest.raises(ZeroDivisionError):
         together(spark, endless, fails)
     assert time.perf_counter() - start < 40
+
+
+@pytest.mark.parametrize(
+    "base_type, right_type",
+    [
+        ("decimal(9,2)", "decimal(12,4)"),
+        ("decimal(12,4)", "decimal(9,2)"),
+        ("int", "decimal(12,4)"),
+        ("double", "smallint"),
+        ("date", "timestamp"),
+        ("timestamp", "date"),
+    ],
+)
+def test_keys_of_other_types_are_spread(spark, base_type, right_type):
+    def column(type_name, name):
+        day = "date_add(date '2024-01-01', cast(id % 3 as int))"
+        value = day if type_name in ("date", "timestamp") else "id % 3"
+        return f"cast({value} as {type_name}) as {name}"
+
+    right = spark.range(90).selectExpr(column(right_type, "k"), "id as v")
+    base = spark.range(6).selectExpr(column(base_type, "id"), "id as tag")
+    hot = find_hot_keys(right, ["k"], min_rows=10)
+    spread = spread_left_join(base, right, [("id", "k")], hot)
+    assert spread.columns == ["id", "tag", "v"] and dict(spread.dtypes)["id"] == base_type
+    assert rows(spread) == rows(spread_left_join(base, right, [("id", "k")]))
+    assert "salt" in plan_of(spread) and spread.count() == 180
+
+
+def test_hot_keys_need_one_scan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("entityloom.operators.skew.LEAST_HOT_ROWS", 100)
+    spark.range(4000).selectExpr("if(id % 2 = 0, 6, id) as k").write.parquet(f"{tmp_path}/t")
+    read = []
+
+    def landed(df, name):
+        plan = plan_of(df)
+        read.append(plan.count("FileScan"))
+        return land(df, name)
+
+    monkeypatch.setattr("entityloom.operators.skew.land", landed)
+    hot = find_hot_keys(spark.read.parquet(f"{tmp_path}/t"), ["k"])
+    assert read == [1] and salts(hot) == {(6,): 2}  # 2000 of 4000 rows, 1000 to a partition
