@@ -195,8 +195,9 @@ def spelling_variants(words: DataFrame, factor: int = 2) -> DataFrame:
     """
     if factor < 2:
         raise ValueError("a factor below 2 allows forms in a circle")
-    ahead = trie_nodes(words.where("word <> ''"))
-    back = trie_nodes(words.where("word <> ''").select(F.reverse("word").alias("word"), "n"))
+    words = written(words.where("word <> ''").select("word", "n"), "words")
+    ahead = trie_nodes(words)
+    back = trie_nodes(words.select(F.reverse("word").alias("word"), "n"))
     back = back.select(F.reverse("word").alias("word"), F.col("nodes").alias("back"))
     both = ahead.select("word", "place", "n", F.col("nodes").alias("ahead")).join(back, "word")
     near = near_words(both)
