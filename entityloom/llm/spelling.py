@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityloom.llm.components import written
@@ -147,30 +147,28 @@ def near_words(words: DataFrame) -> DataFrame:
         F.max(F.when(~skip, member)).alias("gap"),
     )
     pairs = pairs.where((F.size("skips") > 1) | ((F.size("skips") == 1) & F.col("gap").isNotNull()))
-    bare = F.transform("skips", lambda s: F.struct(s["less"].alias("less"), s["place"].alias("place")))
-    pairs = pairs.select("gap", "skips", bare.alias("bare"))
-
-    each = pairs.select("gap", "bare", F.explode("skips").alias("s"))
-    met = F.col("s.fresh") & F.col("gap").isNotNull()
-    other = F.when(F.col("bare")[0]["place"] == F.col("s.place"), F.get("bare", F.lit(1)))
-    other = other.otherwise(F.col("bare")[0])
-    of_skips = each.select(
-        F.col("s.place").alias("place"),
-        (F.size("bare") - 1 + met.cast("int")).cast("bigint").alias("n_near"),
-        F.least(other, F.when(met, F.col("gap"))).alias("best"),
-    )
-    shorter = pairs.where("gap is not null").select(
-        "gap", F.filter("skips", lambda s: s["fresh"]).alias("fresh")
-    )
-    of_gaps = shorter.where(F.size("fresh") > 0).select(
-        F.col("gap.place").alias("place"),
-        F.size("fresh").cast("bigint").alias("n_near"),
-        F.struct(
-            F.col("fresh")[0]["less"].alias("less"), F.col("fresh")[0]["place"].alias("place")
-        ).alias("best"),
-    )
-    found = of_skips.where("n_near > 0").unionByName(of_gaps)
-    return found.groupBy("place").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best"))
+
+    def bare(s: Column) -> Column:
+        return F.struct(s["less"].alias("less"), s["place"].alias("place"))
+
+    def found(place: Column, n_near: Column, best: Column) -> Column:
+        return F.struct(place.alias("place"), n_near.cast("bigint").alias("n_near"), best.alias("best"))
+
+    def of_skip(s: Column) -> Column:
+        met = s["fresh"] & F.col("gap").isNotNull()
+        first = F.col("skips")[0]
+        other = F.when(first["place"] != s["place"], bare(first)).otherwise(bare(F.get("skips", F.lit(1))))
+        other = F.when(F.size("skips") > 1, other)
+        return found(s["place"], F.size("skips") - 1 + met.cast("int"), F.least(other, F.when(met, F.col("gap"))))
+
+    fresh = F.filter("skips", lambda s: s["fresh"])
+    of_gap = F.when(
+        F.col("gap").isNotNull() & (F.size(fresh) > 0),
+        F.array(found(F.col("gap.place"), F.size(fresh), bare(F.get(fresh, F.lit(0))))),
+    ).otherwise(F.array())
+    each = pairs.select(F.explode(F.concat(F.transform("skips", of_skip), of_gap)).alias("f"))
+    each = each.where("f.n_near > 0").select("f.place", "f.n_near", "f.best")
+    return each.groupBy("place").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best"))
 
 
 def roots(links: DataFrame) -> DataFrame:
