@@ -8,11 +8,14 @@ learns pairs whose meaning differs from the sum of their parts:
 
     score = b + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2)
 
-Only slots that can matter get weights: those whose documents are toxic more often than
-others by ``LEAST_Z`` standard errors, and those in ``LEAST_SHARE`` of all training
-documents, which may matter together with others only.  Slots in fewer than ``LEAST_DOCS``
-have none.  Training is mini-batch Adam in numpy on at most ``SAMPLE_DOCS`` labelled
-documents, of which only the slots travel to the driver.
+Slots get weights as they are found to matter, in training alone: first those whose documents
+are toxic more or less often than others by ``LEAST_Z`` standard errors, and those in
+``LEAST_SHARE`` of all training documents; then, where the fitted machine is wrong, those whose
+documents it misjudges by as much, and the two slots of every pair whose joint documents it
+misjudges by ``LEAST_PAIR_Z``, so that terms that mean something only together are found however
+neutral each is.  (Weights for all slots, held back by decay alone, were tried: they fit the
+training documents' noise.)  Slots in fewer than ``LEAST_DOCS`` documents have none.  Training is mini-batch Adam in numpy on at most ``SAMPLE_DOCS`` labelled
+documents, of which only the slots, ``DOC_SLOTS`` of a text at most, travel to the driver.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from entityloom.llm.words import (
     window_hashes,
     word_hashes,
 )
+from entityloom.llm.workers import map_batches
 
 BITS = 20
 PREFIXES = (4, 5, 6)
@@ -42,6 +46,13 @@ SAMPLE_DOCS = 8_000
 LEAST_DOCS = 4
 LEAST_Z = 5.0
 LEAST_SHARE = 0.25
+LEAST_PAIR_Z = 8.0
+LEAST_JOINT = 8
+PAIR_SLOTS = 1_500
+CANDIDATE_PAIRS = 5_000
+PAIRS = 200
+ROUNDS = 3
+DOC_SLOTS = 16_384
 EPOCHS = 20
 BATCH = 64
 
@@ -80,6 +91,22 @@ def distinct(found: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray,
     return key & ((1 << BITS) - 1), np.bincount(key >> BITS, minlength=n)
 
 
+def spread(slots: np.ndarray) -> np.ndarray:
+    """Numbers by which slots are chosen without regard to their place."""
+    return slots.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def bounded(slots: np.ndarray, sizes: np.ndarray, most: int | None = None):
+    """``distinct``'s result with at most ``most`` slots of a text, those of the smallest hash."""
+    most, ends, kept = most or DOC_SLOTS, np.cumsum(sizes), []
+    for begin, end in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        some = slots[begin:end]
+        if len(some) > most:
+            some = np.sort(some[np.argsort(spread(some), kind="stable")[:most]])
+        kept.append(some)
+    return np.concatenate([*kept, slots[:0]]), np.minimum(sizes, most)
+
+
 def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums of consecutive rows, ``sizes`` of them each."""
     total = np.zeros((len(values) + 1, *values.shape[1:]), np.float64)
@@ -97,30 +124,147 @@ def raw_scores(places: np.ndarray, sizes: np.ndarray, machine: Machine):
     return machine.bias + linear + pairs, total
 
 
+def odds_apart(labels: np.ndarray, docs: list[np.ndarray], chance: np.ndarray):
+    """For each slot its documents, and by how many standard errors they are more often toxic
+    than their ``chance``."""
+    every, sizes = np.concatenate([*docs, np.zeros(0, np.int64)]), [len(d) for d in docs]
+    seen = np.bincount(every, minlength=1 << BITS)
+    more = np.bincount(every, np.repeat(labels - chance, sizes), 1 << BITS)
+    spread = np.bincount(every, np.repeat(np.maximum(chance * (1 - chance), 0.01), sizes), 1 << BITS)
+    return seen, more / np.sqrt(np.maximum(spread, 1e-9))
+
+
+def _pairs(slots: np.ndarray) -> np.ndarray:
+    """All pairs of a document's slots, the smaller first, as one number each."""
+    i, j = np.triu_indices(len(slots), 1)
+    return (slots[i].astype(np.int64) << BITS) | slots[j]
+
+
+def telling_pairs(
+    labels: np.ndarray, docs: list[np.ndarray], chance: np.ndarray, seen: np.ndarray
+) -> list[tuple[int, int, float]]:
+    """Pairs of slots whose joint documents the chances get wrong, and by how much, the worst first.
+
+    Of documents judged wrongly, and there of rarer slots (a common one says with another what
+    the other says alone), at most ``PAIR_SLOTS`` chosen by hash, all pairs are counted; those
+    in ``LEAST_JOINT`` of them are then held against all documents.
+    """
+    rare = (seen >= LEAST_DOCS) & (seen < LEAST_SHARE * len(docs))
+    first: dict[bytes, int] = {}
+    for i, d in enumerate(docs):
+        first.setdefault(d.tobytes(), i)  # a copy says nothing new
+    alone = sorted(first.values())
+    wrong = [i for i in alone if abs(labels[i] - chance[i]) > 0.5]
+    codes = []
+    for i in wrong:
+        some = docs[i][rare[docs[i]]].astype(np.int64)
+        if len(some) > PAIR_SLOTS:
+            some = np.sort(some[np.argsort(spread(some), kind="stable")[:PAIR_SLOTS]])
+        codes.append(some)
+    found = np.zeros(1 << 24, np.int32)
+    for some in codes:
+        np.add.at(found, _pairs(some) * 0x5851F42D % ((1 << 61) - 1) & 0xFFFFFF, 1)
+    often: list[np.ndarray] = []
+    for some in codes:
+        every = _pairs(some)
+        often.append(every[found[every * 0x5851F42D % ((1 << 61) - 1) & 0xFFFFFF] >= LEAST_JOINT])
+    keys, times = np.unique(np.concatenate([*often, np.zeros(0, np.int64)]), return_counts=True)
+    keys, times = keys[times >= LEAST_JOINT], times[times >= LEAST_JOINT]
+    a, b = keys >> BITS, keys & ((1 << BITS) - 1)
+    # Those that meet most beyond what their slots' own numbers explain.
+    usual = len(wrong) * np.minimum(seen[a], seen[b]) / len(docs)
+    keys = np.sort(keys[np.argsort(usual - times, kind="stable")[:CANDIDATE_PAIRS]])
+    if not len(keys):
+        return []
+    part = np.zeros(1 << BITS, bool)
+    part[keys >> BITS] = part[keys & ((1 << BITS) - 1)] = True
+    more, spread, joint = np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys))
+    for i in alone:
+        every = _pairs(docs[i][part[docs[i]]])
+        at = np.searchsorted(keys, every)
+        at = at[keys[np.minimum(at, len(keys) - 1)] == every]
+        more[at] += labels[i] - chance[i]
+        spread[at] += max(chance[i] * (1 - chance[i]), 0.01)
+        joint[at] += 1
+    apart = more / np.sqrt(np.maximum(spread, 1e-9))
+    good = np.flatnonzero((np.abs(apart) >= LEAST_PAIR_Z) & (joint >= LEAST_JOINT))
+    good = good[np.argsort(-np.abs(apart[good]), kind="stable")[:PAIRS]]
+    return [(int(keys[i] >> BITS), int(keys[i] & ((1 << BITS) - 1)), float(apart[i])) for i in good]
+
+
+def chances(docs: list[np.ndarray], machine: Machine) -> np.ndarray:
+    known = [p[p > 0] for p in (machine.place[d] for d in docs)]
+    sizes = np.array([len(p) for p in known])
+    raw, _ = raw_scores(np.concatenate([*known, np.zeros(0, np.int64)]).astype(np.int64), sizes, machine)
+    return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+
+
 def train(labels: np.ndarray, docs: list[np.ndarray], seed: int = 3) -> Machine:
-    """Fits a machine to documents given as arrays of slots."""
+    """Fits a machine to documents given as arrays of distinct slots.
+
+    It begins with the slots that tell something alone or are common.  Where its chances are
+    wrong for the documents of another slot, or of two slots together, these join it, and it
+    is fitted anew.
+    """
+    mean = np.full(len(docs), float(np.clip(labels.mean(), 1e-3, 1 - 1e-3)))
+    seen, apart = odds_apart(labels, docs, mean)
+    used = (seen >= LEAST_DOCS) & ((np.abs(apart) >= LEAST_Z) | (seen >= LEAST_SHARE * len(docs)))
+    pairs: list[tuple[int, int, float]] = []
+    for _ in range(ROUNDS):
+        machine = descend(labels, docs, used, seen, apart, pairs, seed)
+        chance = chances(docs, machine)
+        _, beyond = odds_apart(labels, docs, chance)
+        more = (seen >= LEAST_DOCS) & (np.abs(beyond) >= LEAST_Z) & ~used
+        known = {p[:2] for p in pairs}
+        new = [p for p in telling_pairs(labels, docs, chance, seen) if p[:2] not in known]
+        for i, j, _ in new:
+            more[i], more[j] = not used[i], not used[j]
+        if not more.any() and not new:
+            break
+        used, pairs = used | more, pairs + new
+        # What tells nothing by its odds tells by what the machine missed.
+        apart = np.where(more & (np.abs(beyond) >= LEAST_Z), beyond, apart)
+    else:
+        machine = descend(labels, docs, used, seen, apart, pairs, seed)
+    return machine
+
+
+def descend(
+    labels: np.ndarray,
+    docs: list[np.ndarray],
+    slots: np.ndarray,
+    seen: np.ndarray,
+    apart: np.ndarray,
+    pairs: list[tuple[int, int, float]],
+    seed: int,
+) -> Machine:
+    """A machine of the given slots (true in ``slots``), by mini-batches."""
     rng = np.random.default_rng(seed)
-    seen = np.bincount(np.concatenate(docs), minlength=1 << BITS)
-    marked = [d for d, label in zip(docs, labels, strict=True) if label]
-    toxic = np.bincount(np.concatenate([*marked, docs[0][:0]]), minlength=1 << BITS)
     mean = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
-    apart = (toxic - mean * seen) / np.sqrt(mean * (1 - mean) * np.maximum(seen, 1))
-    used = np.flatnonzero(
-        (seen >= LEAST_DOCS) & ((apart >= LEAST_Z) | (seen >= LEAST_SHARE * len(docs)))
-    )
+    used = np.flatnonzero(slots)
     place = np.zeros(1 << BITS, np.int32)
     place[used] = np.arange(1, len(used) + 1)
     # Slots that say little alone are held back, and the others start from their odds.
-    telling = apart[used] >= LEAST_Z
+    telling = np.abs(apart[used]) >= LEAST_Z
     decay = np.concatenate([[0.0], np.where(telling, 1e-4, 3e-2)])
+    toxic = np.bincount(
+        np.concatenate([*[d for d, label in zip(docs, labels, strict=True) if label], docs[0][:0]]),
+        minlength=1 << BITS,
+    )
     odds = (toxic[used] + mean) / (seen[used] - toxic[used] + 1 - mean) * (1 - mean) / mean
-    start = np.concatenate([[0.0], np.where(telling, np.clip(np.log(odds) / 2, 0, 2), 0.0)])
+    start = np.concatenate([[0.0], np.where(telling, np.clip(np.log(odds) / 2, -2, 2), 0.0)])
     params = [
         np.array([np.log(mean / (1 - mean))]),
         start.copy(),
         rng.normal(0, 0.01, (len(used) + 1, FACTORS)),
     ]
     params[2][0] = 0
+    # Pairs start on their way: their factors point the same way, or apart.
+    hold = np.full((len(used) + 1, 1), 3e-3)
+    for k, (i, j, much) in enumerate(pairs):
+        hold[[place[i], place[j]]] = 1e-5
+        params[2][place[i], k % FACTORS] += 0.5
+        params[2][place[j], k % FACTORS] += 0.5 if much > 0 else -0.5
     known = [p[p > 0] for p in (place[d] for d in docs)]
     means = [np.zeros_like(p) for p in params]
     squares = [np.zeros_like(p) for p in params]
@@ -141,7 +285,7 @@ def train(labels: np.ndarray, docs: list[np.ndarray], seed: int = 3) -> Machine:
                 np.array([wrong.sum()]),
                 np.bincount(places, each, n) + decay * params[1],
                 np.stack([np.bincount(places, cross[:, f], n) for f in range(FACTORS)], 1)
-                + 3e-3 * params[2],
+                + hold * params[2],
             ]
             step += 1
             rate = 0.03 * (1 - 0.9 * step / steps)
@@ -160,14 +304,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "t
 
     def run(batches):
         for batch in (p for b in batches for p in pieces(b, 2)):
-            found, sizes = distinct(*terms(batch.column("text")), batch.num_rows)
+            found, sizes = bounded(*distinct(*terms(batch.column("text")), batch.num_rows))
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.astype(np.int32)))
             columns = [batch.column("key"), batch.column("label"), lists]
             yield pa.RecordBatch.from_arrays(columns, ["key", "label", "slots"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    made = rows.mapInArrow(run, f"key {kind}, label int, slots array<int>")
+    made = map_batches(rows, run, f"key {kind}, label int, slots array<int>")
     got = made.toArrow().sort_by("key")
     if not got.num_rows:
         return None
@@ -198,7 +342,11 @@ def scores(docs: DataFrame, machine: Machine | None, key: str = "doc_id", text:
 
 
 def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text"):
-    """``key, held_out, score, predicted``; learns from labels that are not held out."""
+    """``key, held_out, score, predicted`` of every row; learns from labels that are not held out.
+
+    Null and empty texts get the bias's score, repeated rows the same one each; a null key counts
+    as empty text where rows are held out.
+    """
     machine = fit(docs, labels.where(~held_out(key, 5, 0)), key)
     return scores(docs, machine, key, text).select(
         key,
