@@ -18,6 +18,7 @@ starts, so a text of one long run of digits or letters takes linear time.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -126,6 +127,23 @@ def scored(text: str, kind: str, start: int, end: int, checked: bool) -> float:
     return min(1.0, START[kind] + 0.3 * checked + 0.2 * near)
 
 
+def merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The places as ranges that do not overlap, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def meets(ranges: list[tuple[int, int]], starts: list[int], a: int, b: int) -> bool:
+    """Whether any of the ordered ranges overlaps (a, b): if so, the last one that begins before b."""
+    at = bisect_left(starts, b) - 1
+    return at >= 0 and ranges[at][1] > a
+
+
 def spans(text: str) -> dict[str, list[Span]]:
     """The spans of each kind in one text, in order of start."""
     plain: dict[str, list[tuple[int, int]]] = {"email": emails(text)}
@@ -142,7 +160,7 @@ def spans(text: str) -> dict[str, list[Span]]:
     plain["phone"] = [
         m.span() for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15
     ]
-    taken = sorted(x for found in plain.values() for x in found)
+    taken = merged([x for found in plain.values() for x in found])
     plain["iban"] = ibans(text)
     for kind, pattern in (("local_phone", LOCAL_PHONE), ("national_id", NATIONAL_ID)):
         plain[kind] = [m.span() for m in pattern.finditer(text)]
@@ -151,9 +169,10 @@ def spans(text: str) -> dict[str, list[Span]]:
         checked = kind in ("card", "iban")
         out[kind] = [(a, b, scored(text, kind, a, b, checked)) for a, b in plain[kind]]
         if kind not in BASE:
-            free = [x for x in out[kind] if not any(x[0] < b and a < x[1] for a, b in taken)]
+            starts = [a for a, _ in taken]
+            free = [x for x in out[kind] if not meets(taken, starts, x[0], x[1])]
             out[kind] = [x for x in free if x[2] >= ACCEPT]
-            taken += [x[:2] for x in out[kind]]
+            taken = merged([*taken, *[x[:2] for x in out[kind]]])
     return out
 
 

@@ -66,3 +66,27 @@ def test_ibans_next_to_each_other():
         found = [text[a:b] for a, b in personal.ibans(text)]
         want = sorted((text.find(x, i), x) for x in (one, two) for i in range(len(text)) if text.startswith(x, i))
         assert found == [x for _, x in want] and found
+
+
+def test_time_follows_the_number_of_spans():
+    def seconds(n):
+        text = " ".join(f"a{i}@b.org call 555-{i % 900 + 100}-{i % 9000 + 1000}" for i in range(n))
+        start = time.perf_counter()
+        found = personal.spans(text)
+        assert len(found["email"]) == n
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) < 4 * max(seconds(8_000), 0.1)
+
+
+def test_overlaps_are_found_as_by_comparing_all():
+    rng = random.Random(1)
+    for _ in range(300):
+        some = [(a, a + rng.randint(1, 6)) for a in (rng.randrange(60) for _ in range(rng.randrange(8)))]
+        ranges = personal.merged(some)
+        starts = [a for a, _ in ranges]
+        for a in range(60):
+            b = a + rng.randint(1, 5)
+            want = any(a < y and x < b for x, y in some)
+            assert personal.meets(ranges, starts, a, b) == want
