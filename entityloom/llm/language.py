@@ -14,10 +14,9 @@ documents (``SAMPLE_DOCS`` a language, ``MOST_DOCS`` in all, and of a text longe
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +38,7 @@ CACHE_WORDS = 400_000
 UNKNOWN = "und"
 SEPARATORS = NOT_ALNUM.copy()
 SEPARATORS[0x30:0x3A] = True  # digits say nothing about a language
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # no ½, ², ① or Ⅳ
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

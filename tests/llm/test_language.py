@@ -76,3 +76,13 @@ def test_training_reads_whole_words_and_long_texts(spark):
     net = language.fit(docs)
     late = pa.array(["癸甲乙丙丁戊己庚辛壬" * 4, "the mat"])
     assert net.languages == ["en", "zh"] and language.Reader(net)(late)[0].to_pylist() == ["zh", "en"]
+
+
+def test_only_letters_are_letters(spark):
+    rows = [(1, "½ ² ① Ⅳ ٣ _"), (2, "½ a"), (3, "ª"), (4, "語"), (5, "🙂 1")]
+    rows += [(10 + i, "the cat sat on the mat and") for i in range(12)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identified(docs).collect()}
+    assert {i for i, lang in got.items() if lang == "und"} == {1, 5}
+    kept = {r.doc_id for r in language.keep_identified(docs.unionByName(docs)).collect()}
+    assert kept == {i for i, _ in rows} - {1, 5}
