@@ -25,10 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityloom.llm.components import written
 from entityloom.llm.words import NOT_ALNUM, cut_words, free_name, pieces, word_hashes
+from entityloom.llm.workers import map_batches
 
 WINDOW = 13
 BLOCK_BYTES = 8_000_000
+BLOCKS_AT_ONCE = 8  # broadcast together; beyond them the result so far is written
 SIEVE_BITS = 20
 
 
@@ -302,7 +305,7 @@ def matched(
     docs = docs.withColumn(text, F.col(text).cast("string"))
     at = docs.columns.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType.fromDDL(STATE))])
-    out = docs
+    out, live = docs, []
     for turn, part in enumerate(blocks(benchmark, item, item_text, block_bytes)):
         rows = part.toPandas().astype(object)
         rows = rows.where(rows.notna(), None).sort_values(["item", "text"], na_position="first")
@@ -336,7 +339,14 @@ def matched(
                     names = [f.name for f in schema]
                     yield pa.RecordBatch.from_arrays([*columns, state], names)
 
-        out = out.mapInArrow(run, schema)
+        live.append(sent)
+        out = map_batches(out, run, schema)
+        if turn % BLOCKS_AT_ONCE == BLOCKS_AT_ONCE - 1:
+            # What is found so far is written, so that no more blocks than these are held at once.
+            out = written(out, "matched")
+            for one in live:
+                one.destroy()
+            live = []
     return out
 
 
@@ -354,7 +364,10 @@ def contaminated(match: str, share: int = 20):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """``docs`` without the contaminated rows; all columns stay."""
+    """``docs`` without the contaminated rows; all columns stay.
+
+    Null and empty texts have no words and stay; equal rows stay or go together.
+    """
     name = free_name("match", docs.columns)
     found = matched(docs, benchmark, text, name=name, **options)
     return found.where(~contaminated(name)).drop(name)

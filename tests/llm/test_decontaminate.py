@@ -69,3 +69,39 @@ def test_clean_keeps_columns_and_clean_rows(spark):
     assert sorted(r.id for r in left.collect()) == [2, 3]
     assert decontaminate.clean(docs, bench.where("false")).count() == 3
     assert decontaminate.clean(docs.where("false"), bench).count() == 0
+
+
+def test_many_blocks_are_held_a_few_at_a_time(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(16))) for i in range(30)]
+    docs = [(i, " ".join(rng.choice(items)[1].split()[:14] + [rng.choice(words)] * 3)) for i in range(20)]
+    frames = [spark.createDataFrame(x, f"{k} long, text string") for x, k in ((docs, "doc_id"), (items, "item_id"))]
+
+    def judged(block_bytes):
+        found = decontaminate.matched(*frames, block_bytes=block_bytes, name="m")
+        return sorted((r.doc_id, r.m.n_words, r.m.ranges, r.m.items, r.m.longest.n_words) for r in found.collect())
+
+    whole = judged(1 << 20)
+    live, most, landed = set(), [], []
+    send = type(spark.sparkContext).broadcast
+
+    def counted(self, value):
+        sent = send(self, value)
+        end = sent.destroy
+        live.add(id(sent))
+        most.append(len(live))
+
+        def destroy(*a):
+            live.discard(id(sent))
+            end(*a)
+
+        sent.destroy = destroy
+        return sent
+
+    write = decontaminate.written
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    monkeypatch.setattr(decontaminate, "BLOCKS_AT_ONCE", 3)
+    monkeypatch.setattr(decontaminate, "written", lambda df, name: landed.append(name) or write(df, name))
+    assert judged(100) == whole
+    assert len(most) > 6 and max(most) <= 3 and landed
