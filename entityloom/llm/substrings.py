@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.components import written
 from entityloom.llm.words import SPACES, cut_words, mix, pieces, window_hashes, word_hashes
+from entityloom.llm.workers import map_batches
 
 WINDOW = 35
 ANCHOR = 12
@@ -189,16 +190,18 @@ def runs_of(keyed: DataFrame, window: int) -> DataFrame:
                 names = ["anchor", "segment", "ka", "kb", "start", "size", "again"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return kept.mapInArrow(
+    return map_batches(
+        kept,
         run,
         "anchor long, segment long, ka long, kb long, start int, size int, again boolean",
     )
 
 
 def words_of(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``anchor, segment, words``: the word hashes of each wanted segment, once.
+    """``anchor, segment, crowded, words``: the word hashes of each wanted segment, once.
 
-    wanted: ``ka, kb, parts`` with the anchor, hash, start and size of segments of a text.
+    wanted: ``ka, kb, parts`` with the anchor, hash, start and size of segments of a text, and
+    whether the anchor is crowded.
     """
     joined = keyed.join(wanted, ["ka", "kb"]).select("text", "parts", "ka", "kb", "key")
 
@@ -207,7 +210,7 @@ def words_of(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
             for piece in pieces(batch, 0):
                 cut = cut_words(piece.column(0), SPACES)
                 hashes = word_hashes(cut)
-                anchors, values, words = [], [], []
+                anchors, values, crowds, words = [], [], [], []
                 for first, parts in zip(
                     cut.first[:-1].tolist(), piece.column(1).to_pylist(), strict=True
                 ):
@@ -215,19 +218,20 @@ def words_of(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                         at = first + p["start"]
                         anchors.append(p["anchor"])
                         values.append(p["segment"])
+                        crowds.append(p["crowded"])
                         words.append(hashes[at : at + p["size"]].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchors, pa.int64()),
                         pa.array(values, pa.int64()),
+                        pa.array(crowds, pa.bool_()),
                         pa.array(words, pa.binary()),
                     ],
-                    ["anchor", "segment", "words"],
+                    ["anchor", "segment", "crowded", "words"],
                 )
 
-    return joined.mapInArrow(run, "anchor long, segment long, words binary").dropDuplicates(
-        ["anchor", "segment"]
-    )
+    schema = "anchor long, segment long, crowded boolean, words binary"
+    return map_batches(joined, run, schema).dropDuplicates(["anchor", "segment"])
 
 
 SPAN = "anchor long, segment long, at int, n int"
@@ -272,7 +276,7 @@ def shard_spans(reference: DataFrame, window: int) -> DataFrame:
         if shard:
             yield solved(shard)
 
-    return spread.select("anchor", "segment", "words").mapInArrow(run, SPAN)
+    return map_batches(spread.select("anchor", "segment", "words"), run, SPAN)
 
 
 def crowd_spans(reference: DataFrame, window: int) -> DataFrame:
@@ -302,7 +306,7 @@ def crowd_spans(reference: DataFrame, window: int) -> DataFrame:
                 )
 
     schema = "anchor long, segment long, wa long, wb long, at int"
-    windows = reference.select("anchor", "segment", "words").mapInArrow(run, schema)
+    windows = map_batches(reference.select("anchor", "segment", "words"), run, schema)
     again = windows.groupBy("wa", "wb").count().where("count > 1").select("wa", "wb")
     hit = windows.join(again, ["wa", "wb"], "left_semi")
     return hit.select("anchor", "segment", "at", F.lit(window).alias("n"))
@@ -344,16 +348,19 @@ def marks(keyed: DataFrame, window: int) -> DataFrame:
     # One place of each distinct segment is enough to fetch its words, and the only place of
     # a segment that occurs once.
     placed = distinct.select("anchor", "segment", "times", "place.*")
-    wanted = placed.groupBy("ka", "kb").agg(
-        F.collect_list(F.struct("anchor", "segment", "start", "size")).alias("parts")
-    )
     crowds = distinct.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("count"), F.sum("place.size").alias("words")
     )
     crowds = crowds.where((F.col("count") > CROWD) | (F.col("words") > CROWD_WORDS))
     crowds = crowds.select("anchor", F.lit(True).alias("crowded"))
-    words = words_of(keyed, wanted).join(crowds, "anchor", "left")
-    repeated = shard_spans(words.where("crowded is null"), window)
+    # Numbers alone meet by anchor here; the words of a crowded one never come together.
+    marked = placed.join(crowds, "anchor", "left")
+    crowded = F.coalesce("crowded", F.lit(False)).alias("crowded")
+    wanted = marked.groupBy("ka", "kb").agg(
+        F.collect_list(F.struct("anchor", "segment", "start", "size", crowded)).alias("parts")
+    )
+    words = words_of(keyed, wanted)
+    repeated = shard_spans(words.where("not crowded"), window)
     repeated = repeated.unionByName(crowd_spans(words.where("crowded"), window))
     lone = placed.where("times = 1").join(repeated, ["anchor", "segment"])
     at = F.col("start") + F.col("at")
@@ -405,7 +412,7 @@ def remove_repeats(
                     ["key", "n_words", "n_removed", "kept"],
                 )
 
-    out = found.mapInArrow(run, f"key {kind}, n_words long, n_removed long, kept string")
+    out = map_batches(found, run, f"key {kind}, n_words long, n_removed long, kept string")
     return out.withColumnRenamed("key", key)
 
 
