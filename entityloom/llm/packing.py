@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityloom.llm.words import LOWER, PIECE_BYTES, byte_set, pieces, text_bytes
+from entityloom.llm.workers import map_batches
 
 PUNCTUATION = byte_set((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 ASCII_LETTERS = byte_set((0x61, 0x7A))
@@ -343,5 +344,5 @@ def pack_documents(
         yield from made(True)
 
     kept = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    packed = kept.mapInArrow(run, f"key {kind}, {schema}")
+    packed = map_batches(kept, run, f"key {kind}, {schema}")
     return packed.withColumnRenamed("key", key)

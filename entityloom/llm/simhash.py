@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityloom.llm.components import components, written
-from entityloom.llm.words import LOWER, results, text_bytes
+from entityloom.llm.words import LOWER, free_name, results, text_bytes
+from entityloom.llm.workers import map_batches
 
 MAX_BITS = 3
 BUCKET_ROWS = 512
@@ -194,7 +195,7 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
         a, b = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
         return pa.table({"a": a, "b": b})
 
-    sent = distinct.mapInArrow(send, "bucket long, fp long")
+    sent = map_batches(distinct, send, "bucket long, fp long")
     return sent.groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
@@ -240,13 +241,13 @@ def keep_first(
     """
     groups = simhash_groups(docs.where(F.col(key).isNotNull()), key, text, shingle, max_bits)
     groups = written(groups, "simhash-groups")
-    first = groups.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("least"))
-    first = first.agg(F.count(F.lit(1)).alias("times"))
-    lone = first.where("times = 1").select("least")
-    several = first.where("times > 1").select("least")
-    left = docs.join(lone, docs[key] == F.col("least"), "left_semi")
+    name = free_name("least", docs.columns)
+    first = groups.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias(name))
+    first = first.agg(F.count(F.lit(1)).alias("n"))
+    lone, several = (first.where(condition).select(name) for condition in ("n = 1", "n > 1"))
+    left = docs.join(lone, docs[key] == F.col(name), "left_semi")
     left = left.unionByName(docs.where(F.col(key).isNull()))
     if several.isEmpty():
         return left
-    copies = docs.join(several, docs[key] == F.col("least"), "left_semi")
+    copies = docs.join(several, docs[key] == F.col(name), "left_semi")
     return left.unionByName(copies.dropDuplicates([key]))

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.components import components, written
 from entityloom.llm.samples import lowest
+from entityloom.llm.workers import map_batches
 
 COSINE = 0.95
 SAMPLE = 20_000
@@ -217,7 +218,7 @@ def near_links(
                     }
                 )
 
-    counted = classes.mapInArrow(sizes, "group long, members long, queries long")
+    counted = map_batches(classes, sizes, "group long, members long, queries long")
     found = counted.groupBy("group").agg(F.sum("members").alias("m"), F.sum("queries").alias("q"))
     parts = np.ones((2, MOST_LISTS), np.int64)
     for r in found.collect():  # one row a group
@@ -293,7 +294,7 @@ def near_links(
         np.add.at(total, np.searchsorted(nodes, node[has]), sums[has].astype(np.int64))
         return pa.table({"node": nodes, "low": low, "links": total})
 
-    dealt = classes.mapInArrow(deal, ROW).groupBy("group", "mine", "theirs")
+    dealt = map_batches(classes, deal, ROW).groupBy("group", "mine", "theirs")
     met = written(dealt.applyInArrow(compare, "node long, low long, links long"), "vector-links")
     sums = met.groupBy("node").agg(F.sum("links").alias("links"))
     return sums, met.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))

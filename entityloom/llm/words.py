@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entityloom.llm.workers import map_batches
+
 PIECE_BYTES = 2_000_000
 LONG_WORD = 4096
 
@@ -168,7 +170,7 @@ def append_result(
                     [*piece.columns, struct], [*piece.schema.names, name]
                 )
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def results(docs: DataFrame, key: str, text: str, compute, fields: str) -> DataFrame:

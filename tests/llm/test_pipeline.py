@@ -89,3 +89,15 @@ def test_run_gives_one_gapless_piece_after_another(spark):
             assert offset == at
             at += length
         assert at <= 4096
+
+
+def test_every_stage_passes_columns_named_as_inside(spark):
+    docs, _, _ = fixture(spark)
+    inside = ["least", "n", "fp", "language", "masked", "r", "k", "t", "key", "n_hit", "spans", "contaminated"]
+    wide = docs.selectExpr("*", *[f"'{name}' as `{name}`" for name in inside])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, wide, FOLDER)
+        assert found.columns == wide.columns, name
+        assert found.count() > 0
+        assert {tuple(r) for r in found.select(*inside).distinct().collect()} == {tuple(inside)}
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, FOLDER).count() > 0

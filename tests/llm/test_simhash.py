@@ -63,3 +63,15 @@ def test_groups_of_texts_equal_brute_force(spark):
 def test_no_documents(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_groups(frame).collect() == []
+
+
+def test_columns_named_as_inside_pass_unchanged(spark):
+    rows = [(3, "a b c d"), (1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (4, "p q r s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "5 as least", "6 as n", "7 as fp", "8 as component_id", "9 as times", "'f' as fingerprint"
+    )
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.least, r.n, r.fp, r.times) for r in kept.collect()) == [
+        (i, 5, 6, 7, 9) for i in (0, 1, 4)
+    ]
