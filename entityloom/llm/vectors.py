@@ -20,7 +20,8 @@ Centres are trained on at most ``SAMPLE`` vectors; all vectors are indexed and a
 
 Equal vectors are one class with a count.  A group's members and the queries that probe it are
 dealt into chunks of about ``CHUNK`` and ``ASKED * CHUNK``, and each pair of chunks is one task's work, so a list
-with a third of all vectors is spread too.  A task returns sums of links and a forest of them
+with a third of all vectors is spread too.  Vectors travel in single precision where that
+loses nothing.  A task returns sums of links and a forest of them
 (one row a vector at most), never its pairs.
 """
 
@@ -121,16 +122,48 @@ def probes(rows: np.ndarray, home: np.ndarray, index: Index, cells: np.ndarray,
     return out
 
 
-def asked_groups(rows: np.ndarray, home: np.ndarray, index: Index, radius: float):
-    """Pairs of a row and a group it is sent to."""
+def nearest_lists(rows: np.ndarray, cells: np.ndarray, index: Index, most: int) -> np.ndarray:
+    """Which of the lists ``cells`` are among the ``most`` nearest of each row: a table of flags."""
+    c, out = index.centres[cells], np.zeros((len(rows), len(cells)), bool)
+    for at in range(0, len(rows), 2048):
+        far = (c**2).sum(axis=1) - 2 * rows[at : at + 2048] @ c.T
+        few = np.argpartition(far, min(most, len(cells)) - 1, axis=1)[:, :most]
+        np.put_along_axis(out[at : at + 2048], few, True, axis=1)
+    return out
+
+
+def asked_groups(
+    rows: np.ndarray, home: np.ndarray, index: Index, radius: float, most: int | None = None
+):
+    """Pairs of a row and a group it is sent to: one with a list it probes, and of those, with
+    ``most``, one that holds any of the row's nearest lists."""
     order = np.argsort(index.group, kind="stable")
     near = probes(rows, home, index, order, radius)
+    if most is not None:
+        near &= nearest_lists(rows, order, index, most)
     first = np.unique(index.group[order], return_index=True)
     asked = np.zeros((len(rows), len(index.asks)), bool)
     asked[:, first[0]] = np.logical_or.reduceat(near, first[1], axis=1)
     return np.nonzero(asked & index.asks[index.group[home]])
 
 
+def packed(rows: np.ndarray) -> list[bytes]:
+    """Each row's bytes, in single precision where that loses nothing."""
+    with np.errstate(over="ignore"):
+        single = rows.astype(np.float32)
+        same = (single.astype(np.float64) == rows).all()
+    return [row.tobytes() for row in (single if same else rows)]
+
+
+def unpacked(raw: list[bytes], width: int) -> np.ndarray:
+    """The rows that ``packed`` made bytes of, in double precision."""
+    kinds = {4 * width: np.float32, 8 * width: np.float64}
+    if len({len(x) for x in raw}) == 1:
+        one = np.frombuffer(b"".join(raw), kinds[len(raw[0])])
+        return one.reshape(len(raw), width).astype(np.float64)
+    return np.stack([np.frombuffer(x, kinds[len(x)]).astype(np.float64) for x in raw])
+
+
 def products(query: np.ndarray, index: Index) -> np.ndarray:
     """Products of queries with every subspace's centres, (subspace, code, query)."""
     out = np.empty((len(index.spaces), max(map(len, index.books)), len(query)), np.float32)
@@ -184,7 +217,7 @@ ROW = (
 
 
 def near_links(
-    classes: DataFrame, count: int, cosine: float, margin: float
+    classes: DataFrame, count: int, cosine: float, margin: float, most: int | None
 ) -> tuple[DataFrame, DataFrame]:
     """Sums of linked copies by node, and links that connect the same components.
 
@@ -199,16 +232,16 @@ def near_links(
     index = spark.sparkContext.broadcast(train(sample, lists))
     radius = margin * np.sqrt(2 - 2 * cosine)  # how near a plane is probed
 
-    def rows_of(batch):
+    def given(batch):
         column = batch.column("embedding")
-        return unit(column.flatten().to_numpy().reshape(len(column), -1))
+        return column.flatten().to_numpy().reshape(len(column), -1)
 
     def sizes(batches):
         for batch in batches:
             if batch.num_rows:
-                rows = rows_of(batch)
+                rows = unit(given(batch))
                 home = nearest(rows, index.value.centres)
-                _, asked = asked_groups(rows, home, index.value, radius)
+                _, asked = asked_groups(rows, home, index.value, radius, most)
                 n = len(index.value.asks)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -228,13 +261,13 @@ def near_links(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = rows_of(batch)
+            rows = unit(given(batch))
             node = batch.column("node").to_numpy()
             home = nearest(rows, index.value.centres)
-            who, asked = asked_groups(rows, home, index.value, radius)
+            who, asked = asked_groups(rows, home, index.value, radius, most)
             members = np.arange(len(rows)), index.value.group[home]
             spot = (node * 0x9E3779B1 + (node >> 17)) & 0x7FFFFFFF
-            raw = [row.tobytes() for row in rows]
+            raw = packed(given(batch))
             for member, row, cell in ((True, *members), (False, who, asked)):
                 own, other = (0, 1) if member else (1, 0)
                 times = parts[other][cell]
@@ -264,8 +297,8 @@ def near_links(
         member = table.column("member").combine_chunks().to_numpy(zero_copy_only=False)
         node = table.column("node").combine_chunks().to_numpy()
         copies = table.column("copies").combine_chunks().to_numpy()
-        raw = b"".join(table.column("vector").combine_chunks().to_pylist())
-        rows = np.frombuffer(raw, np.float64).reshape(len(node), -1)
+        raw = table.column("vector").to_pylist()
+        rows = unit(unpacked(raw, index.value.centres.shape[1]))
         home = table.column("home").combine_chunks().to_numpy()
         m, q = np.flatnonzero(member), np.flatnonzero(~member)
         cells = np.unique(home[m])
@@ -306,12 +339,16 @@ def vector_groups(
     embedding: str = "embedding",
     cosine: float = COSINE,
     margin: float = 1.0,
+    probed: int | None = None,
 ) -> DataFrame:
     """``key, n_links, component_id, kept``: one row per row of ``vectors``.
 
     Two rows link if the cosine of their vectors is at least ``cosine`` (above 0), in double
     precision.  Lists within ``margin`` times the linking distance are probed; 1 loses no
-    link, and less is refused.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
+    link, and less is refused.  Lossless probing sends a vector to a share of all lists; with
+    ``probed`` it is sent to the groups of its so many nearest lists only, so that what is sent
+    for a vector does not grow with their number, and some links may be missed: the README has
+    the measured recall.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
     are null, empty or zero or hold null or non-finite numbers link with nothing, and vectors
     of different dimension never link.  Repeated rows link as rows.  A null key is never the
     smallest and its row is not kept.
@@ -342,7 +379,7 @@ def vector_groups(
     sums = links = None
     for size in sorted(sizes, key=lambda r: r["size"]):
         part = classes.where(F.col("size") == size["size"])
-        more, pairs = near_links(part, size["count"], cosine, margin)
+        more, pairs = near_links(part, size["count"], cosine, margin, probed)
         sums = more if sums is None else sums.unionByName(more)
         links = pairs if links is None else links.unionByName(pairs)
     if sums is None:

@@ -106,3 +106,35 @@ def test_both_ends_count_a_link(spark):
     assert all(r.n_links for r in rows if not r.kept)
     with pytest.raises(ValueError):
         vectors.vector_groups(frame, margin=0.5)
+
+
+@pytest.mark.parametrize("flat", [False, True])
+def test_recall_of_a_probe_budget(spark, monkeypatch, flat):
+    """Links that lie in all directions, and links that lie in eight of them."""
+    monkeypatch.setattr(vectors, "TOGETHER", 2)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(4000, 64))
+    step = rng.normal(size=(4000, 64)) * 0.2
+    if flat:
+        step = rng.normal(size=(4000, 8)) @ np.linalg.qr(rng.normal(size=(64, 8)))[0].T * 0.55
+    near = base[rng.integers(0, 4000, 4000)] + step
+    both = np.concatenate([base, near])
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>"
+    )
+    found = {r.vec_id: r.n_links for r in vectors.vector_groups(frame, probed=24).collect()}
+    units = vectors.unit(both)
+    want = (units @ units.T >= 0.95).sum(axis=1) - 1
+    assert all(found[i] <= n for i, n in enumerate(want))
+    assert want.sum() > 2000 and sum(found.values()) >= 0.9 * want.sum()
+
+
+def test_rows_are_packed_without_loss():
+    rng = np.random.default_rng(7)
+    single = rng.normal(size=(5, 6)).astype(np.float32).astype(np.float64)
+    double = np.concatenate([rng.normal(size=(4, 6)), [[1e300] * 6]])
+    raw = vectors.packed(single)
+    assert {len(x) for x in raw} == {24}
+    assert (vectors.unpacked(raw, 6) == single).all()
+    both = raw + vectors.packed(double)
+    assert (vectors.unpacked(both, 6) == np.concatenate([single, double])).all()
