@@ -150,6 +150,9 @@ def exact_groups(
     groups = members.groupBy("level", "name").agg(
         F.min(first).alias("first"), F.count("*").alias("group_size")
     )
+    # Written, so that the join has a plain shuffle on either side and Spark can split a group
+    # with very many rows at run time.
+    groups = written(groups, "exact-groups")
     return members.join(groups, ["level", "name"]).select(
         F.col("key").alias(key),
         F.col("first.key").alias("keep_id"),
