@@ -43,7 +43,8 @@ def customer_id(column: str):
 
 def master_tables(t) -> dict:
     """The ten tables of the profile.  Debtors have no status date and no limit;
-    tax rows repeat per customer; tax codes 1 and 2 are described in two languages."""
+    tax rows repeat per customer; tax codes 1 and 2 are described in two languages, and risk code
+    S has two descriptions in one language."""
     spark = t["customer"].sparkSession
     nation = F.col("c_nationkey")
     debtor = F.col("c_acctbal") < 0
@@ -71,7 +72,7 @@ def master_tables(t) -> dict:
         F.col("c_mktsegment").alias("business_unit_code"),
         nation.cast("smallint").alias("source_create_system_code"),
         nation.alias("primary_ship_dc_nbr"),
-        segment_letter.alias("credit_risk_code"),
+        F.translate(segment_letter, "B", "S").alias("credit_risk_code"),
     )
 
     def language_table(table, code, code_column, text_column, text, language="en"):
@@ -149,8 +150,8 @@ PROFILE_SQL = """
            cast(c_nationkey as smallint) as source_system_code,
            case when terms.n_regionkey < 4 then terms.n_name end as source_system_desc,
            c_nationkey as primary_ship_dc_nbr,
-           c_mktsegment[1] as credit_risk_code,
-           case c_mktsegment[1] when 'M' then 'MEDIUM' end as credit_risk_desc,
+           translate(c_mktsegment[1], 'B', 'S') as credit_risk_code,
+           risk.descr as credit_risk_desc,
            case when toxic = 0 then cast(quality as smallint) end as customer_segment_code,
            case when toxic = 0 then seg.r_name end as customer_segment_desc
     from customer
@@ -160,6 +161,8 @@ PROFILE_SQL = """
     left join (values ('en'), ('fr')) lang(code)
       on lang.code = 'en' and o_orderkey is not null
       or lang.code = 'fr' and o_orderpriority < '3'
+    left join (select distinct p_type[1] as code, p_type as descr from part) risk
+      on risk.code = translate(c_mktsegment[1], 'B', 'S')
     left join labels on doc_id = c_custkey
     left join region seg on seg.r_regionkey = quality
 """
@@ -184,7 +187,7 @@ FIRST_ROW = """
     row_number() over (partition by customer_id order by
       sales_tax_exempt_id nulls last, tax_exemption_code nulls last,
       tax_exemption_desc nulls last, customer_segment_code nulls last,
-      customer_segment_desc nulls last)
+      customer_segment_desc nulls last, credit_risk_desc nulls last)
 """
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,14 +13,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
     Only a local session (tests) may do without; it gets a temporary folder as
-    its checkpoint folder.  On a cluster a ``file:`` folder is refused unless
-    ``spark.entityloom.sharedFiles`` says that all machines mount the same one.
+    its checkpoint folder.  On a cluster a folder of the local file system, named so or by
+    default, is refused unless ``spark.entityloom.sharedFiles`` says that all machines mount
+    the same one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if folder:
         mounted = spark.conf.get("spark.entityloom.sharedFiles", "false") == "true"
-        on_disk = folder.startswith("file:") and not context.master.startswith("local")
+        on_disk = not context.master.startswith("local") and _scheme(context, folder) == "file"
         if on_disk and not mounted:
             raise RuntimeError(f"executors on other machines may not see {folder}")
         return folder.rstrip("/")
@@ -30,6 +32,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _scheme(context, folder: str) -> str:
+    """The kind of file system a folder is on; a path without one is on the session's default."""
+    named = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", folder)
+    default = named[0] if named else context._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return default.partition(":")[0].lower()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
     return f"{shared_folder(spark)}/entityloom/{name}-{uuid.uuid4().hex}"

@@ -81,8 +81,10 @@ class Context:
         self.folder = folder
 
 
-def session(master, **conf):
-    return SimpleNamespace(conf=conf, sparkContext=Context(master))
+def session(master, default="hdfs://names:1/", **conf):
+    context = Context(master)
+    context._jsc = SimpleNamespace(hadoopConfiguration=lambda: {"fs.defaultFS": default})
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_landing_over_jdbc_reads_every_relation(spark, monkeypatch, tmp_path):
@@ -132,6 +134,10 @@ def test_only_local_sessions_do_without_a_shared_folder():
     with pytest.raises(RuntimeError, match="may not see"):
         shared_folder(session("yarn", **on_disk))
     assert shared_folder(session("local-cluster[2,1,1024]", **on_disk)) == "file:///tmp/x"
+    bare = {"spark.checkpoint.dir": "/shared/x"}
+    assert shared_folder(session("yarn", **bare)) == "/shared/x"
+    with pytest.raises(RuntimeError, match="may not see"):
+        shared_folder(session("yarn", "file:///", **bare))
     mounted = {**on_disk, "spark.entityloom.sharedFiles": "true"}
     assert shared_folder(session("yarn", **mounted)) == "file:///tmp/x"
 
