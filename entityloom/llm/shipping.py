@@ -2,26 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
+from entityloom.sources.shipping import SHIPPED, ship
 
-from pyspark.sql import SparkSession
-
-import entityloom
-
-SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this library's sources to the executors, once for each application."""
-    context, home = spark.sparkContext, Path(entityloom.__file__).parent
-    if context.applicationId in SHIPPED or not home.is_dir():
-        return
-    SHIPPED.add(context.applicationId)
-    # The driver serves the file itself; nothing reads this folder on another machine.
-    target = Path(tempfile.mkdtemp(prefix="entityloom-")) / "entityloom-sources.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for file in sorted(home.rglob("*.py")):
-            archive.write(file, file.relative_to(home.parent))
-    context.addPyFile(str(target))
+__all__ = ["SHIPPED", "ship"]
