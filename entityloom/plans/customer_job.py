@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.entity_job import Profile, RunResult, run, run_folder, store
+from entityloom.sources.buckets import BUCKETS, read_buckets, upsert_buckets
 from entityloom.sources.entity_rows import ClientSource
 from entityloom.sources.jdbc import JdbcSource, ValueRanges, land_tables, read_jdbc
 from entityloom.sources.tables import ParquetTables, land
@@ -24,7 +25,9 @@ class CustomerJob:
     yields the profile's rows itself: the database then joins, and one snapshot is read.
     ``trim`` is for blank-padded text columns.  ``folder`` takes the landed tables, each
     run's in a folder of its own; by default they go under the session's shared folder.
-    ``most_fan_out`` bounds the rows that the lookups may make of a customer's.
+    ``most_fan_out`` bounds the rows that the lookups may make of a customer's.  ``store`` is a
+    folder of entities in ``buckets`` (counting for a new one) that the run rewrites where its
+    customers lie; without it all stored entities are written anew.
     """
 
     project: str
@@ -40,6 +43,8 @@ class CustomerJob:
     check_counts: bool = False
     exact_counts: bool = False
     most_fan_out: float | None = None
+    store: str | None = None
+    buckets: int = BUCKETS
 
     def profile(self) -> Profile:
         return customer_profile(self.owner, self.measure, self.trim)
@@ -62,7 +67,7 @@ class CustomerJob:
             {name: prefix + name for name in names},
             self.splits,
             {f"{self.owner}customer_id": self.only} if self.only and not self.trim else {},
-            self.folder and run_folder(spark, self.folder),
+            self.run_folder(spark),
             profile.columns(),
             profile.conditions(),
             self.check_counts,
@@ -78,7 +83,7 @@ class CustomerJob:
         rows = read_jdbc(spark, source, f"({self.statement}) q")
         if self.only:
             rows = rows.where(rows["customer_id"] == self.only)
-        return land(rows, "statement", self.folder and run_folder(spark, self.folder))
+        return land(rows, "statement", self.run_folder(spark))
 
     def run(
         self,
@@ -86,7 +91,19 @@ class CustomerJob:
         source: JdbcSource | ClientSource | str,
         current: DataFrame | None = None,
     ) -> tuple[RunResult, DataFrame]:
-        """The run's result, and the stored entities after it."""
+        """The run's result, and the stored entities after it.
+
+        ``current`` is what is stored before; a ``store`` knows that itself.
+        """
+        if self.store and current is not None:
+            raise ValueError("the store holds what is current")
         rules = customer_rules(self.project, self.kind)
         result = run(self.rows(spark, source), rules, self.folder, self.exact_counts)
-        return result, store(current, result.entities, self.folder)
+        if self.store is None:
+            return result, store(current, result.entities, self.folder)
+        upsert_buckets(self.store, result.entities, self.buckets, folder=self.run_folder(spark))
+        return result, read_buckets(spark, self.store)
+
+    def run_folder(self, spark: SparkSession) -> str | None:
+        """A folder for one step's tables below the job's, None where it has none."""
+        return self.folder and run_folder(spark, self.folder)

@@ -69,6 +69,8 @@ def read_buckets(spark: SparkSession, path: str, schema: T.StructType | None = N
     """All entities of a store, with the properties of all its files.
 
     Without ``schema`` (that of the files, bucket column included) the footers are read to find it.
+    The rows are those of now: after the next run's write the store must be read anew, as replaced
+    files are gone.
     """
     files = _files(spark, path, schema)
     if files is None:

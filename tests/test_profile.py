@@ -272,7 +272,28 @@ def test_customer_job_from_a_folder(spark, tmp_path):
     assert len(list((tmp_path / "all").glob("*/stored"))) == 1
 
 
-def test_run_shuffles_the_base_once(spark, conf, monkeypatch):
+def test_customer_job_into_a_store_in_buckets(spark, tmp_path):
+    source, place = str(tmp_path / "in"), str(tmp_path / "store")
+    for name, table in M.frames(spark).items():
+        table.write.parquet(f"{source}/{name}.parquet")
+    options = {"folder": str(tmp_path / "all"), "store": place, "buckets": 16, "exact_counts": True}
+    every = CustomerJob("demo", **options)
+    result, stored = every.run(spark, source)
+    assert result.metrics.first().entities == len(M.EXPECTED)
+    first = stored.collect()
+    assert {r["__key__"].name for r in first} == set(M.EXPECTED)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    one = CustomerJob("demo", only="tax2", **options)
+    _, again = one.run(spark, source)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    assert len({p.parent for p in {*before.items()} ^ {*after.items()} for p in p[:1]}) == 1
+    assert sorted(again.collect(), key=str) == sorted(first, key=str)
+    with pytest.raises(ValueError, match="holds what is current"):
+        every.run(spark, source, current=stored)
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_run_shuffles_the_base_once(spark, conf, monkeypatch, exact):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     plans = {}
 
@@ -283,7 +304,8 @@ def test_run_shuffles_the_base_once(spark, conf, monkeypatch):
     monkeypatch.setattr("entityloom.plans.entity_job.land", landing)
     tables = M.frames(spark)
     codes = [name for name in tables if "lang" in name]
-    run(customer_profile(measure=codes).rows(tables), customer_rules("demo"))
+    rows = customer_profile(measure=codes).rows(tables)
+    run(rows, customer_rules("demo"), exact_counts=exact)
     exchanges = [
         line
         for line in plans["entities"].splitlines()
