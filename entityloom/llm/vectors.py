@@ -7,9 +7,14 @@ residual coded by one centre in each subspace and the length ``e`` of what the c
 What is compared:
 
 * A neighbour of q lies in list c only if q is within ``r`` of the plane between c and q's own
-  centre; q probes all such lists, so no link is lost.  In high dimensions these are most
-  lists, so lists near each other form a group, q is sent to a group once, and finds there
-  which of its lists to probe.
+  centre.  In high dimensions these are most lists, and sending q to all of them makes the
+  shuffle grow with the square of the table.  So of them q probes its nearest ones, as many as
+  prove sufficient: ``JUDGES`` vectors are held against all rows, in blocks, and the rank of the
+  list in which each of their links would be found is counted.  Twice the number that finds
+  ``FOUND`` of these links, ``LEAST_PROBED`` at least, is probed.  ``probed=None`` probes all lists within reach and loses
+  no link whatever the data.
+* Lists near each other form a group; q is sent to a group once, and finds there which of its
+  lists to compare with.
 * Probing is mutual: of two groups only one sends its vectors to the other, and a link found
   counts at both its ends.
 * The table-lookup distance of q to a coded vector is off by at most ``e``, so what it puts
@@ -40,7 +45,11 @@ from entityloom.llm.workers import map_batches
 
 COSINE = 0.95
 SAMPLE = 20_000
-MOST_LISTS = 1024
+MOST_LISTS = 4096
+JUDGES = 1000
+FOUND = 0.999
+LEAST_PROBED = 64
+MEASURED = "measured"
 SUBSPACE = 8
 CODES = 64
 TOGETHER = 8  # lists of a group
@@ -210,6 +219,57 @@ def forest(left: np.ndarray, right: np.ndarray):
         label = new
 
 
+def ranks(rows: np.ndarray, group: np.ndarray, index: Index) -> np.ndarray:
+    """How many of its nearest lists each row has to probe to be sent to the group."""
+    c = index.centres
+    far = (c**2).sum(axis=1) - 2 * rows @ c.T
+    goal = np.where(index.group == group[:, None], far, np.inf).min(axis=1)
+    return (far < goal[:, None]).sum(axis=1) + 1
+
+
+def links_by_rank(classes: DataFrame, judges: np.ndarray, index, cosine: float) -> DataFrame:
+    """``rank, links``: links of the judges to all rows, by the lists that must be probed to
+    find them; 0 where both ends lie in one group.  The judges meet every row, in blocks."""
+
+    def run(batches):
+        own = nearest(judges, index.value.centres)
+        groups, asks = index.value.group, index.value.asks
+        total = np.zeros(len(index.value.centres) + 1, np.int64)
+        for batch in batches:
+            column = batch.column("embedding")
+            every = column.flatten().to_numpy().reshape(len(column), -1)
+            for at in range(0, len(every), BLOCK * 4):
+                rows = unit(every[at : at + BLOCK * 4])
+                same = judges @ rows.T
+                i, j = np.nonzero((same >= cosine) & (same < 1 - 1e-12))
+                if not len(i):
+                    continue
+                home = nearest(rows[j], index.value.centres)
+                from_group, to_group = groups[own[i]], groups[home]
+                asked = asks[from_group, to_group]
+                rank = np.zeros(len(i), np.int64)
+                there, here = np.flatnonzero(asked), np.flatnonzero(~asked)
+                rank[there] = ranks(judges[i[there]], to_group[there], index.value)
+                rank[here] = ranks(rows[j[here]], from_group[here], index.value)
+                rank[from_group == to_group] = 0
+                total += np.bincount(rank, minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"rank": at, "links": total[at]})
+
+    met = map_batches(classes.select("embedding"), run, "rank long, links long")
+    return met.groupBy("rank").agg(F.sum("links").alias("links"))
+
+
+def sufficient(links: list[tuple[int, int]]) -> int:
+    """Lists to probe, from the links found at each rank."""
+    links = sorted(links)
+    counts = np.cumsum([n for _, n in links])
+    if not len(counts):
+        return LEAST_PROBED
+    need = links[int(np.searchsorted(counts, FOUND * counts[-1] - 1e-9))][0]
+    return max(LEAST_PROBED, 2 * need)
+
+
 ROW = (
     "group int, mine int, theirs int, member boolean, node long, copies long, home int,"
     " vector binary"
@@ -217,7 +277,7 @@ ROW = (
 
 
 def near_links(
-    classes: DataFrame, count: int, cosine: float, margin: float, most: int | None
+    classes: DataFrame, count: int, cosine: float, margin: float, probed: int | str | None
 ) -> tuple[DataFrame, DataFrame]:
     """Sums of linked copies by node, and links that connect the same components.
 
@@ -231,6 +291,12 @@ def near_links(
     lists = int(np.clip(np.sqrt(count), 1, MOST_LISTS))
     index = spark.sparkContext.broadcast(train(sample, lists))
     radius = margin * np.sqrt(2 - 2 * cosine)  # how near a plane is probed
+    most = probed
+    if probed == MEASURED:
+        # Few lists are all probed anyway.
+        judges = sample[:: -(-len(sample) // JUDGES)]
+        found = links_by_rank(classes, judges, index, cosine) if lists > LEAST_PROBED else None
+        most = sufficient([tuple(r) for r in found.collect()]) if found is not None else None
 
     def given(batch):
         column = batch.column("embedding")
@@ -339,16 +405,15 @@ def vector_groups(
     embedding: str = "embedding",
     cosine: float = COSINE,
     margin: float = 1.0,
-    probed: int | None = None,
+    probed: int | str | None = MEASURED,
 ) -> DataFrame:
     """``key, n_links, component_id, kept``: one row per row of ``vectors``.
 
     Two rows link if the cosine of their vectors is at least ``cosine`` (above 0), in double
     precision.  Lists within ``margin`` times the linking distance are probed; 1 loses no
-    link, and less is refused.  Lossless probing sends a vector to a share of all lists; with
-    ``probed`` it is sent to the groups of its so many nearest lists only, so that what is sent
-    for a vector does not grow with their number, and some links may be missed: the README has
-    the measured recall.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
+    link, and less is refused.  Of these a vector probes as many of the nearest as prove
+    sufficient, or ``probed`` of them, or with None all: see above; the README has the recall
+    against all pairs.  ``component_id`` is the smallest key reachable, its own included.  Vectors that
     are null, empty or zero or hold null or non-finite numbers link with nothing, and vectors
     of different dimension never link.  Repeated rows link as rows.  A null key is never the
     smallest and its row is not kept.
