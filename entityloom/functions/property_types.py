@@ -22,6 +22,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+DECIMAL = "decimal"  # only where kept as such
 LONG, DOUBLE, BOOL, STRING, BLOB, TIMESTAMP = (
     "long",
     "double",

@@ -2,7 +2,9 @@
 
 Wide: one row per entity, ``__key__ struct<project, kind, name>`` and one typed
 column per property.  Long: one row per property, with exactly one value column
-set, or none where the property is null.  An absent property has no long row.
+set, or none where the property is null.  An absent property has no long row.  Decimals that
+were kept have a value column of their own, of the smallest type that holds them all; it is
+there only if there are any.
 """
 
 from __future__ import annotations
@@ -94,27 +96,36 @@ def split_bad_keys(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return keyed.where(~bad), keyed.where(bad)
 
 
+def _common_decimal(kinds: Sequence[T.DecimalType]) -> T.DecimalType:
+    scale = max(k.scale for k in kinds)
+    digits = max(k.precision - k.scale for k in kinds)
+    if digits + scale > 38:
+        raise TypeError(f"no decimal of 38 digits holds {digits} before and {scale} after the point")
+    return T.DecimalType(digits + scale, scale)
+
+
 def to_long(wide: DataFrame) -> DataFrame:
     """One row per property of each entity; no shuffle."""
     names = [c for c in wide.columns if c not in (KEY, ABSENT, REJECTED)]
+    values = dict(_VALUE_COLUMNS)
+    kinds = [wide.schema[name].dataType for name in names]
+    if kept := [k for k in kinds if isinstance(k, T.DecimalType)]:
+        values[P.DECIMAL] = ("decimal_value", _common_decimal(kept).simpleString())
     cells = []
-    for name in names:
-        kind = P.stored_kind(wide.schema[name].dataType)
+    for name, found in zip(names, kinds):
+        kind = P.DECIMAL if isinstance(found, T.DecimalType) else P.stored_kind(found)
         if kind is None:
-            found = wide.schema[name].dataType
-            kept = isinstance(found, T.DecimalType)
-            advice = "a kept decimal has no long form" if kept else "normalise first"
-            raise TypeError(f"{name} is {found.simpleString()}: {advice}")
+            raise TypeError(f"{name} is {found.simpleString()}: normalise first")
         col = quoted(name)
         cells += [
             F.lit(name),
             F.when(col.isNull(), "null").otherwise(kind),
             *[
                 (col if of == kind else F.lit(None)).cast(type_name)
-                for of, (_, type_name) in _VALUE_COLUMNS.items()
+                for of, (_, type_name) in values.items()
             ],
         ]
-    labels = ["property", "value_type", *[label for label, _ in _VALUE_COLUMNS.values()]]
+    labels = ["property", "value_type", *[label for label, _ in values.values()]]
     has_absent = ABSENT in wide.columns
     rows = wide.select(
         F.col(f"{KEY}.kind").alias("kind"),

@@ -212,6 +212,30 @@ def order_batches(t, spelled: str = "amount"):
 ORDER_LONG = ["key_name", "property", "value_type", "long_value", "double_value", "string_value"]
 
 
+@query(
+    """
+    select cast(c_custkey as varchar) as key_name, 'balance' as property, 'decimal' as value_type,
+           cast(cast(cast(c_acctbal as decimal(11,2)) as decimal(14,5)) as varchar) as amount
+    from customer
+    union all
+    select cast(c_custkey as varchar), 'share', 'decimal',
+           cast(cast(cast(c_nationkey as decimal(8,5)) as decimal(14,5)) as varchar)
+    from customer
+    """
+)
+def entity_long_decimals(t):
+    """Kept decimals of two scales, in one value column that holds both."""
+    rows = t["customer"].select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.col("c_acctbal").cast("decimal(11,2)").alias("balance"),
+        F.col("c_nationkey").cast("decimal(8,5)").alias("share"),
+    )
+    long = to_long(with_key(normalise(rows, decimal="keep"), ["id"], PROJECT, "Customer"))
+    amounts = long.where("value_type = 'decimal'")
+    amount = F.col("decimal_value").cast("string").alias("amount")
+    return amounts.select("key_name", "property", "value_type", amount)
+
+
 @query(UPSERT_LONG_SQL)
 def upsert_long(t):
     """One property has two spellings; the stored one counts."""

@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MOST_SAMPLED = 100_000
 
@@ -57,7 +58,8 @@ def balanced_conditions(
     ``second``, where given.  Values must order in the database as they do here.
     """
     names = [column, *([second] if second else [])]  # as the condition spells them, quotes included
-    rows = [tuple(r) for r in sample.select(*names).limit(MOST_SAMPLED).collect()]
+    few = sample.select(*names).orderBy(F.rand(7)).limit(MOST_SAMPLED)  # any of a larger sample
+    rows = [tuple(r) for r in few.collect()]
     counts = Counter(r[0] for r in rows)
     nulls = counts.pop(None, 0)
     most = len(rows) / parts

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -200,10 +201,23 @@ def test_cast_parts_are_escaped(spark):
     assert len(set(found)) == 2
 
 
-def test_kept_decimals_have_no_long_form(spark):
-    df = normalise(spark.sql("select 'a' as id, 1.5 as x"), decimal="keep")
-    with pytest.raises(TypeError, match="kept decimal"):
-        to_long(with_key(df, ["id"], "p", "K"))
+def test_kept_decimals_in_the_long_form(spark):
+    text = "cast({} as decimal({})) as {}"
+    row = ", ".join([text.format(1.5, "5,1", "x"), text.format(-0.125, "9,3", "y"), "2 as n"])
+    df = normalise(spark.sql(f"select 'a' as id, {row}, cast(null as decimal(4,0)) as z"), decimal="keep")
+    long = to_long(with_key(df, ["id"], "p", "K"))
+    assert dict(long.dtypes)["decimal_value"] == "decimal(9,3)"
+    found = {r.property: (r.value_type, r.decimal_value, r.long_value) for r in long.collect()}
+    assert found == {
+        "id": ("string", None, None),
+        "x": ("decimal", Decimal("1.500"), None),
+        "y": ("decimal", Decimal("-0.125"), None),
+        "n": ("long", None, 2),
+        "z": ("null", None, None),
+    }
+    wide = spark.sql("select 'a' as id, cast(1 as decimal(38,0)) as x, cast(1 as decimal(9,3)) as y")
+    with pytest.raises(TypeError, match="38 digits"):
+        to_long(with_key(wide, ["id"], "p", "K"))
 
 
 def test_upsert_by_whole_key(spark):
