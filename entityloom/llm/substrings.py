@@ -308,6 +308,9 @@ def crowd_spans(reference: DataFrame, window: int) -> DataFrame:
     schema = "anchor long, segment long, wa long, wb long, at int"
     windows = map_batches(reference.select("anchor", "segment", "words"), run, schema)
     again = windows.groupBy("wa", "wb").count().where("count > 1").select("wa", "wb")
+    # Written, so that the join has a plain shuffle on either side and Spark can split the
+    # places of one very common window at run time.
+    again = written(again, "repeated-windows")
     hit = windows.join(again, ["wa", "wb"], "left_semi")
     return hit.select("anchor", "segment", "at", F.lit(window).alias("n"))
 
