@@ -39,8 +39,9 @@ def without_space(text: Column) -> Column:
 
 def blocks_of(text: Column, block: int) -> Column:
     """The text in blocks of ``block`` code points, the last one shorter; one empty block if empty."""
+    # Possessive: the other forms recurse where characters of one and two units alternate.
     return F.when(text == "", F.array(F.lit(""))).otherwise(
-        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}+"), F.lit(0))
     )
 
 

@@ -54,9 +54,10 @@ def test_rows_that_stay_keep_their_columns(spark):
     assert sorted((r.doc_id for r in got), key=repr) == sorted((k for k, _ in keeps), key=repr)
 
 
-def test_very_long_texts(spark):
+@pytest.mark.parametrize("block", [4096, 65_536])
+def test_very_long_texts(spark, block):
     long = "é𝄞 abc\n" * 400_000
     rows = [(1, long), (2, long + "x"), (3, long.replace("\n", " ")), (4, "y" + long[1:])]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_groups(frame, block=65_536).collect()}
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_groups(frame, block=block).collect()}
     assert got == {1: (1, 2), 2: (2, 1), 3: (1, 2), 4: (4, 1)}
