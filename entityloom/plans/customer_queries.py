@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from entityloom.operators.entities import KEY
+from entityloom.plans.customer_job import CustomerJob
 from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.order_profile import code_table
 from entityloom.plans.registry import query
+from entityloom.sources.entity_rows import PARQUET_CLIENT, ClientSource
+from entityloom.sources.shared import new_path
+from entityloom.sources.tables import land
+from entityloom.together import together
 
 ID_WIDTH = 12
 
@@ -175,6 +182,21 @@ def profile_rows(t):
     return rows.withColumn("credit_limit_dollar_amt", amount)
 
 
+@query(PROFILE_SQL)
+def customer_profile_client(t):
+    """The customer job's rows, its ten tables read through a client of one's own."""
+    spark = t["customer"].sparkSession
+    folder, tables = new_path(spark, "master-tables"), master_tables(t)
+    together(spark, *[partial(land, df, name, folder) for name, df in tables.items()])
+    schemas = {
+        name: ", ".join(f"`{c}` {kind}" for c, kind in df.dtypes) for name, df in tables.items()
+    }
+    source = ClientSource(PARQUET_CLIENT, schemas, {"folder": folder})
+    rows = CustomerJob("demo", measure=DERIVED).rows(spark, source)
+    amount = F.col("credit_limit_dollar_amt").cast("double")
+    return rows.withColumn("credit_limit_dollar_amt", amount)
+
+
 @query(f"select * from ({PROFILE_SQL}) where customer_id = '000000000042'")
 def customer_profile_one(t):
     rows = customer_profile(measure=DERIVED).rows(master_tables(t), only="000000000042")

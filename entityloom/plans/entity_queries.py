@@ -13,7 +13,7 @@ from entityloom.operators.upsert import upsert_entities
 from entityloom.plans.entity_job import EntityRules, run, store
 from entityloom.plans.registry import SCHEMAS, query
 from entityloom.sources.buckets import read_buckets, upsert_buckets
-from entityloom.sources.entity_rows import ClientSource
+from entityloom.sources.entity_rows import PARQUET_CLIENT, ClientSource
 from entityloom.sources.entity_store import write_entities
 from entityloom.sources.files import write_by_date
 from entityloom.sources.folder_store import STORE, stored_rows
@@ -336,7 +336,7 @@ def client_rows(t):
     for name in ("orders", "customer"):
         land(t[name], name, folder)
     source = ClientSource(
-        "entityloom.sources.entity_rows:ParquetClient",
+        PARQUET_CLIENT,
         {name: SCHEMAS[name] for name in ("orders", "customer")},
         {"folder": folder},
     )

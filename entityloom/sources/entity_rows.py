@@ -31,6 +31,7 @@ from entityloom.sources.uris import open_folder
 
 FORMAT = "entity_rows"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+PARQUET_CLIENT = "entityloom.sources.entity_rows:ParquetClient"
 
 
 @dataclass
