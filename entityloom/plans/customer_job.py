@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.entity_job import Profile, RunResult, run, run_folder, store
 from entityloom.sources.buckets import BUCKETS, read_buckets, upsert_buckets
 from entityloom.sources.entity_rows import ClientSource
-from entityloom.sources.jdbc import JdbcSource, ValueRanges, land_tables, read_jdbc
+from entityloom.sources.jdbc import JdbcSource, Split, land_tables, read_jdbc
 from entityloom.sources.tables import ParquetTables, land
 
 
@@ -35,7 +35,7 @@ class CustomerJob:
     owner: str = ""
     only: str | None = None
     schema: str | None = None
-    splits: Mapping[str, ValueRanges | Sequence[str]] | None = None
+    splits: Mapping[str, Split] | None = None
     measure: Collection[str] = ()
     folder: str | None = None
     statement: str | None = None

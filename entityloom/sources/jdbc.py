@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.functions.scalars import quoted
+from entityloom.sources.cuts import balanced_conditions
 from entityloom.sources.entity_rows import ClientSource
 from entityloom.sources.tables import land
 from entityloom.together import together
@@ -72,6 +73,29 @@ class ValueRanges:
         }
 
 
+@dataclass(frozen=True)
+class SampledCuts:
+    """A split whose cuts come from the data.
+
+    ``sample`` is a relation of a few of the table's rows, drawn by the database, with ``column``
+    and ``second``: ``(select id, nbr from t tablesample system (1)) q``.  A value of ``column``
+    with more rows than a part is cut by ``second``.
+    """
+
+    column: str
+    parts: int
+    sample: str
+    second: str | None = None
+
+    def conditions(self, spark: SparkSession, source: JdbcSource) -> list[str]:
+        """One condition for each part; small and large tables get about ``parts``."""
+        rows = read_jdbc(spark, source, self.sample, None)
+        return balanced_conditions(rows, self.column, self.parts, self.second)
+
+
+Split = ValueRanges | SampledCuts | Sequence[str]
+
+
 def text_ranges(column: str, cuts: Sequence[str]) -> list[str]:
     """Conditions that split a text column at ``cuts``; each row meets exactly one.
 
@@ -132,7 +156,7 @@ def land_tables(
     spark: SparkSession,
     source: JdbcSource | ClientSource,
     relations: Mapping[str, str],
-    splits: Mapping[str, ValueRanges | Sequence[str]] | None = None,
+    splits: Mapping[str, Split] | None = None,
     equal: Mapping[str, object] | None = None,
     folder: str | None = None,
     columns: Mapping[str, Sequence[str]] | None = None,
@@ -165,6 +189,8 @@ def land_tables(
 
     def landed(name: str, relation: str) -> DataFrame:
         split = splits.get(name)
+        if isinstance(split, SampledCuts):
+            split = split.conditions(spark, source)
         read = source.rows(spark, relation, split, asked(name))
         rows = land(used(name, read), name, folder)
         if check_counts and split is not None:

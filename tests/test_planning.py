@@ -123,3 +123,29 @@ def test_balanced_conditions_split_a_landed_read(spark, monkeypatch, tmp_path):
     )
     assert landed["t"].count() == 3000
     assert max(sizes) <= 2 * 3000 / 8
+
+
+def test_cuts_are_drawn_from_the_database(spark, monkeypatch, tmp_path):
+    whole = spark.range(4000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 90)) as k", "id")
+    asked, sizes = [], []
+
+    def fake_read(spark, source, relation, split):
+        asked.append((relation, split and len(split)))
+        if split is None:
+            return whole.sample(0.25, 5) if "tablesample" in relation else whole
+        parts = [whole.where(c) for c in split]
+        sizes.extend(p.count() for p in parts)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionAll(p)
+        return out
+
+    monkeypatch.setattr(jdbc, "read_jdbc", fake_read)
+    sample = "(select k, id from t tablesample system (25)) q"
+    cuts = jdbc.SampledCuts("k", 8, sample, "id")
+    landed = jdbc.land_tables(
+        spark, jdbc.JdbcSource("d", "u"), {"t": "t"}, {"t": cuts}, folder=str(tmp_path), check_counts=True
+    )
+    assert landed["t"].count() == 4000 and sum(sizes) == 4000
+    assert max(sizes) <= 2.4 * 4000 / 8  # twice the mean, and the sample's error
+    assert asked == [(sample, None), ("t", len(sizes)), ("t", None)]
