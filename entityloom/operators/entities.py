@@ -22,6 +22,7 @@ from entityloom.operators.normalise import ABSENT, REJECTED
 KEY = "__key__"
 KEY_FIELDS = ["name", "kind", "project"]
 SEPARATOR = "/"
+LONG_KEY = ["kind", "key_name", "property"]  # what a long row is stored under
 
 _VALUE_COLUMNS = {
     P.LONG: ("long_value", "bigint"),

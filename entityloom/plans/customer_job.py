@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from entityloom.operators.entities import LONG_KEY, to_long
 from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.entity_job import Profile, RunResult, run, run_folder, store
 from entityloom.sources.buckets import BUCKETS, read_buckets, upsert_buckets
 from entityloom.sources.entity_rows import ClientSource
+from entityloom.sources.entity_store import write_entities
 from entityloom.sources.jdbc import JdbcSource, Split, land_tables, read_jdbc
 from entityloom.sources.tables import ParquetTables, land
 
@@ -27,7 +29,9 @@ class CustomerJob:
     run's in a folder of its own; by default they go under the session's shared folder.
     ``most_fan_out`` bounds the rows that the lookups may make of a customer's.  ``store`` is a
     folder of entities in ``buckets`` (counting for a new one) that the run rewrites where its
-    customers lie; without it all stored entities are written anew.
+    customers lie; without it all stored entities are written anew.  ``sink`` names a keyed
+    store's class (``module:Class``, with ``sink_options``): the run's entities are put there too,
+    a property a row, in order of their keys.
     """
 
     project: str
@@ -45,6 +49,8 @@ class CustomerJob:
     most_fan_out: float | None = None
     store: str | None = None
     buckets: int = BUCKETS
+    sink: str | None = None
+    sink_options: Mapping[str, str] = field(default_factory=dict, repr=False)
 
     def profile(self) -> Profile:
         return customer_profile(self.owner, self.measure, self.trim)
@@ -99,6 +105,9 @@ class CustomerJob:
             raise ValueError("the store holds what is current")
         rules = customer_rules(self.project, self.kind)
         result = run(self.rows(spark, source), rules, self.folder, self.exact_counts)
+        if self.sink:
+            long = to_long(result.entities)
+            write_entities(long, self.sink, dict(self.sink_options), LONG_KEY)
         if self.store is None:
             return result, store(current, result.entities, self.folder)
         upsert_buckets(self.store, result.entities, self.buckets, folder=self.run_folder(spark))

@@ -17,6 +17,8 @@ from entityloom.operators.lookups import (
 from entityloom.plans.customer_job import CustomerJob
 from entityloom.plans.customer_profile import customer_profile, customer_rules
 from entityloom.plans.entity_job import run, store
+from entityloom.operators.entities import LONG_KEY, to_long
+from entityloom.sources.folder_store import STORE, stored_rows
 from entityloom.sources.jdbc import JdbcSource, RowCountDiffers
 from entityloom.sources.tables import drop_landed, land
 from tests import master_fixture as M
@@ -292,6 +294,22 @@ def test_customer_job_into_a_store_in_buckets(spark, tmp_path):
         every.run(spark, source, current=stored)
 
 
+def test_customer_job_into_an_external_store(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    for name, table in M.frames(spark).items():
+        table.write.parquet(f"{source}/{name}.parquet")
+    stored = []
+    for write, only in enumerate((None, "tax2", None)):
+        options = {"folder": folder, "write": str(write), "password": "secret"}
+        job = CustomerJob("demo", only=only, sink=STORE, sink_options=options)
+        assert "secret" not in repr(job)
+        result, _ = job.run(spark, source)
+        schema = ", ".join(f"{c} {t}" for c, t in to_long(result.entities).dtypes)
+        stored.append(sorted(map(str, stored_rows(spark, folder, schema, LONG_KEY).collect())))
+    assert stored[0] == stored[1] == stored[2]
+    assert sorted(map(str, to_long(result.entities).collect())) == stored[0]
+
+
 @pytest.mark.parametrize("exact", [False, True])
 def test_run_shuffles_the_base_once(spark, conf, monkeypatch, exact):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
