@@ -323,7 +323,8 @@ def keep_identified(
     """``docs`` without rows in no language (``und``) or below the score ``sure``.
 
     Texts in several languages score low and are clean all the same, so by default only
-    texts in no language go.
+    texts in no language go: null and empty ones and those without a letter.  Repeated rows stay
+    or go together; a null key counts as empty text where rows are held out.
     """
     name = free_name("language", docs.columns)
     done = identify(docs, fit(docs.where(~held_out(key, 4, 2)), key, text, lang), text, name)

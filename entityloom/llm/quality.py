@@ -250,7 +250,11 @@ def scores(docs: DataFrame, ensemble: Ensemble, key: str = "doc_id", text: str =
 
 
 def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text"):
-    """``key, held_out, score, predicted``; learns from labels that are not held out."""
+    """``key, held_out, score, predicted`` of every row; learns from labels that are not held out.
+
+    Null and empty texts have the statistics of a text without words and get their score; repeated
+    rows get the same one each; a null key counts as empty text where rows are held out.
+    """
     ensemble = fit(docs, labels.where(~held_out(key, 5, 0)), key)
     return scores(docs, ensemble, key, text).select(
         key,
