@@ -101,3 +101,20 @@ def test_every_stage_passes_columns_named_as_inside(spark):
         assert found.count() > 0
         assert {tuple(r) for r in found.select(*inside).distinct().collect()} == {tuple(inside)}
     assert corpus_pipeline.STAGES[-1][1](spark, wide, FOLDER).count() > 0
+
+
+def test_every_stage_takes_very_long_and_repeated_texts(spark):
+    docs, _, _ = fixture(spark)
+    rng = random.Random(8)
+    words = "the of and to in house river stands old near town people water long year".split()
+    long = " ".join(rng.choice(words) for _ in range(400_000)) + " "
+    more = [(5000, long), (5001, long + "x y z"), (5001, long + "x y z"), (5002, long + "a@b.org")]
+    frame = spark.createDataFrame(more, "doc_id long, text string")
+    frame = frame.selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "cast(length(text) as bigint) as n_chars")
+    wide = docs.select(*frame.columns).unionByName(frame)
+    counts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, wide, FOLDER)
+        counts[name] = found.where("doc_id >= 5000").select("doc_id").distinct().count()
+    assert counts["language"] == counts["decontamination"] == counts["personal"] == counts["packing"] == 3
+    assert counts["simhash"] == 1
