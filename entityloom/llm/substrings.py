@@ -355,7 +355,7 @@ def marks(keyed: DataFrame, window: int) -> DataFrame:
         F.count(F.lit(1)).alias("count"), F.sum("place.size").alias("words")
     )
     crowds = crowds.where((F.col("count") > CROWD) | (F.col("words") > CROWD_WORDS))
-    crowds = crowds.select("anchor", F.lit(True).alias("crowded"))
+    crowds = written(crowds.select("anchor", F.lit(True).alias("crowded")), "crowded-anchors")
     # Numbers alone meet by anchor here; the words of a crowded one never come together.
     marked = placed.join(crowds, "anchor", "left")
     crowded = F.coalesce("crowded", F.lit(False)).alias("crowded")
