@@ -100,6 +100,7 @@ def test_a_folder_that_loses_rows_is_refused(spark, cluster, monkeypatch):
 LANDING = [
     "client_rows",
     "customer_entities",
+    "customer_profile",
 ]
 
 
