@@ -101,6 +101,7 @@ LANDING = [
     "client_rows",
     "customer_entities",
     "customer_profile",
+    "customer_profile_client",
 ]
 
 
