@@ -102,6 +102,7 @@ LANDING = [
     "customer_entities",
     "customer_profile",
     "customer_profile_client",
+    "customer_profile_one",
 ]
 
 
