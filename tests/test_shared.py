@@ -103,6 +103,7 @@ LANDING = [
     "customer_profile",
     "customer_profile_client",
     "customer_profile_one",
+    "entity_profile",
 ]
 
 
