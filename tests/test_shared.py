@@ -104,6 +104,7 @@ LANDING = [
     "customer_profile_client",
     "customer_profile_one",
     "entity_profile",
+    "entity_sink",
 ]
 
 
