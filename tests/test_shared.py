@@ -105,6 +105,7 @@ LANDING = [
     "customer_profile_one",
     "entity_profile",
     "entity_sink",
+    "external_store",
 ]
 
 
