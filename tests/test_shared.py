@@ -106,6 +106,7 @@ LANDING = [
     "entity_profile",
     "entity_sink",
     "external_store",
+    "files_by_date",
 ]
 
 
