@@ -107,6 +107,7 @@ LANDING = [
     "entity_sink",
     "external_store",
     "files_by_date",
+    "run_exact_metrics",
 ]
 
 
