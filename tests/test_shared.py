@@ -108,6 +108,7 @@ LANDING = [
     "external_store",
     "files_by_date",
     "run_exact_metrics",
+    "run_rejected",
 ]
 
 
