@@ -109,6 +109,7 @@ LANDING = [
     "files_by_date",
     "run_exact_metrics",
     "run_rejected",
+    "upsert_buckets",
 ]
 
 
