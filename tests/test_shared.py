@@ -110,6 +110,7 @@ LANDING = [
     "run_exact_metrics",
     "run_rejected",
     "upsert_buckets",
+    "satellite_fanout",
 ]
 
 
