@@ -122,3 +122,39 @@ def test_queries_land_on_a_cluster(spark, cluster, tables, conf, name):
     assert not problems
     assert rows > 0
     assert any((cluster / "entityloom").iterdir())
+
+
+@pytest.fixture
+def anothers(cluster):
+    """A shared folder whose ``entityloom`` takes no folders of this user (here it is a file,
+    as tests may run as root, whom another user's folder lets in)."""
+    cluster.mkdir()
+    (cluster / "entityloom").touch()
+    return cluster
+
+
+def own_folder(spark, folder):
+    group = spark.sparkContext._jvm.org.apache.hadoop.security.UserGroupInformation
+    return folder / f"entityloom-{group.getCurrentUser().getShortUserName()}"
+
+
+def test_another_users_folder_is_left_alone(spark, anothers):
+    own = own_folder(spark, anothers)
+    assert new_path(spark, "x").startswith(f"{own}/x-")
+    assert list(own.iterdir()) == []  # what was tried is gone
+    assert (anothers / "entityloom").read_bytes() == b""
+
+
+BESIDE_ANOTHER = [
+    "customer_entities",
+]
+
+
+@pytest.mark.parametrize("name", BESIDE_ANOTHER)
+def test_queries_land_beside_another_users_folder(spark, anothers, tables, conf, name):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")  # satellites are scanned for hot keys
+    folder, con = tables
+    rows, problems = compare(QUERIES[name](spark, folder), con, SQL[name])
+    assert not problems
+    assert rows > 0
+    assert any(own_folder(spark, anothers).iterdir())
