@@ -147,6 +147,7 @@ def test_another_users_folder_is_left_alone(spark, anothers):
 
 BESIDE_ANOTHER = [
     "customer_entities",
+    "customer_profile",
 ]
 
 
