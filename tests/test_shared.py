@@ -150,6 +150,7 @@ BESIDE_ANOTHER = [
     "customer_profile",
     "customer_profile_client",
     "customer_profile_one",
+    "entity_profile",
 ]
 
 
