@@ -151,6 +151,7 @@ BESIDE_ANOTHER = [
     "customer_profile_client",
     "customer_profile_one",
     "entity_profile",
+    "entity_sink",
 ]
 
 
