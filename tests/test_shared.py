@@ -152,6 +152,7 @@ BESIDE_ANOTHER = [
     "customer_profile_one",
     "entity_profile",
     "entity_sink",
+    "external_store",
 ]
 
 
