@@ -153,6 +153,7 @@ BESIDE_ANOTHER = [
     "entity_profile",
     "entity_sink",
     "external_store",
+    "files_by_date",
 ]
 
 
