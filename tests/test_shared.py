@@ -155,6 +155,7 @@ BESIDE_ANOTHER = [
     "external_store",
     "files_by_date",
     "run_exact_metrics",
+    "run_rejected",
 ]
 
 
