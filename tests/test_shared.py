@@ -156,6 +156,7 @@ BESIDE_ANOTHER = [
     "files_by_date",
     "run_exact_metrics",
     "run_rejected",
+    "upsert_buckets",
 ]
 
 
