@@ -157,6 +157,7 @@ BESIDE_ANOTHER = [
     "run_exact_metrics",
     "run_rejected",
     "upsert_buckets",
+    "satellite_fanout",
 ]
 
 
