@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.sources.shared import new_path
+from entityloom.sources.shared import new_path, write_options
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again."""
     spark = frame.sparkSession
     path = new_path(spark, name)
-    frame.write.parquet(path)
+    frame.write.options(**write_options(spark, path)).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 import pytest
 
 from entityloom.plans.catalogue import QUERIES, SQL
 from entityloom.sources import shared
-from entityloom.sources.shared import new_path, shared_folder
+from entityloom.sources.shared import UMASK, new_folder, new_path, shared_folder, write_options
 from tests.compare import compare
 
 TABLES = {
@@ -169,3 +171,57 @@ def test_queries_land_beside_another_users_folder(spark, anothers, tables, conf,
     assert not problems
     assert rows > 0
     assert any(own_folder(spark, anothers).iterdir())
+
+
+@pytest.fixture
+def of_others(spark, cluster, monkeypatch):
+    """A shared folder that all may write to; the executors run as other users than the driver
+    (one machine's threads do not, so what tells that is replaced)."""
+    cluster.mkdir()
+    cluster.chmod(0o777)
+    monkeypatch.setattr(shared, "_by_others", lambda files, table: True)
+    return cluster
+
+
+def folder_modes(folder) -> set[str]:
+    """The modes of all folders in the tables below the shared folder."""
+    tables = (folder / "entityloom").iterdir()
+    return {oct(os.stat(at).st_mode & 0o777) for table in tables for at, _, _ in os.walk(table)}
+
+
+def test_folders_are_as_open_as_the_shared_one(spark, of_others):
+    of_others.chmod(0o2770)
+    path = new_path(spark, "x")
+    assert write_options(spark, path)[UMASK] == "002"
+    assert write_options(spark, "/elsewhere/x") == {}
+    assert folder_modes(of_others) == set()  # the trial table is gone
+    new_folder(spark, "y")
+    assert folder_modes(of_others) == {"0o775"}
+
+
+def test_folders_of_one_user_are_as_usual(spark, cluster):
+    cluster.mkdir()
+    cluster.chmod(0o777)
+    assert write_options(spark, new_path(spark, "x")) == {}
+    new_folder(spark, "y")
+    assert folder_modes(cluster) == {"0o755"}
+
+
+def test_a_closed_folder_opens_nothing(spark, of_others):
+    of_others.chmod(0o755)
+    assert write_options(spark, new_path(spark, "x")) == {}
+
+
+OF_OTHERS = [
+    "customer_profile",
+]
+
+
+@pytest.mark.parametrize("name", OF_OTHERS)
+def test_queries_land_for_executors_of_other_users(spark, of_others, tables, conf, name):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")  # satellites are scanned for hot keys
+    folder, con = tables
+    rows, problems = compare(QUERIES[name](spark, folder), con, SQL[name])
+    assert not problems
+    assert rows > 0
+    assert folder_modes(of_others) == {"0o777"}
