@@ -216,6 +216,7 @@ OF_OTHERS = [
     "customer_profile",
     "customer_profile_client",
     "customer_profile_one",
+    "entity_profile",
 ]
 
 
