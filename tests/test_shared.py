@@ -217,6 +217,7 @@ OF_OTHERS = [
     "customer_profile_client",
     "customer_profile_one",
     "entity_profile",
+    "entity_sink",
 ]
 
 
