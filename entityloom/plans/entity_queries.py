@@ -17,7 +17,7 @@ from entityloom.sources.entity_rows import PARQUET_CLIENT, ClientSource
 from entityloom.sources.entity_store import write_entities
 from entityloom.sources.files import write_by_date
 from entityloom.sources.folder_store import STORE, stored_rows
-from entityloom.sources.shared import new_path
+from entityloom.sources.shared import new_folder, new_path
 from entityloom.sources.tables import land
 
 PROJECT = "demo"
@@ -314,7 +314,7 @@ def external_store(t):
     first = keyed_customers(t)
     spark = t["customer"].sparkSession
     second = first.where("balance < 0").withColumn("balance", F.lit(0.0))
-    folder = new_path(spark, "folder-store")
+    folder = new_folder(spark, "folder-store")
     for number, rows in enumerate((first, second)):
         options = {"folder": folder, "write": str(number)}
         long = to_long(rows).select(*LONG_COLUMNS)

@@ -2,15 +2,19 @@
 
 Options: ``folder``, a URI that executors and driver reach; ``write``, the number of the write,
 higher than those before it.  A put is a file named after the write, the task and the batch, so
-an attempt that runs again writes the same files over.
+an attempt that runs again writes the same files over.  On a local file system what a put makes is as
+open to other users as ``folder``, so executors may run as several.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,16 +29,30 @@ WRITE = "write"
 class FolderStore:
     def __init__(self, options: dict[str, str]):
         self.files, folder = open_folder(options["folder"])
-        self.folder = f"{folder}/{WRITE}={int(options[WRITE])}"
-        self.files.create_dir(self.folder, recursive=True)
+        self.above, self.folder = folder, f"{folder}/{WRITE}={int(options[WRITE])}"
+        with self._as_open():
+            self.files.create_dir(self.folder, recursive=True)
         self.task, self.puts = TaskContext.get().partitionId(), 0
 
     def put(self, batch: pa.RecordBatch) -> None:
         name = f"{self.folder}/part-{self.task:06d}-{self.puts:06d}.parquet"
-        with self.files.open_output_stream(name) as out:
+        with self._as_open(), self.files.open_output_stream(name) as out:
             pq.write_table(pa.Table.from_batches([batch]), out)
         self.puts += 1
 
+    @contextmanager
+    def _as_open(self) -> Iterator[None]:
+        """Files and folders made meanwhile are as open as the store's folder."""
+        if not isinstance(self.files, fs.LocalFileSystem) or not os.path.isdir(self.above):
+            yield
+            return
+        usual = os.umask(0o077)
+        os.umask(usual & ~os.stat(self.above).st_mode)
+        try:
+            yield
+        finally:
+            os.umask(usual)
+
     def close(self) -> None:
         return None
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from entityloom.plans.catalogue import QUERIES, SQL
 from entityloom.sources import shared
+from entityloom.sources.folder_store import FolderStore
 from entityloom.sources.shared import UMASK, new_folder, new_path, shared_folder, write_options
 from tests.compare import compare
 
@@ -218,6 +220,7 @@ OF_OTHERS = [
     "customer_profile_one",
     "entity_profile",
     "entity_sink",
+    "external_store",
 ]
 
 
@@ -229,3 +232,23 @@ def test_queries_land_for_executors_of_other_users(spark, of_others, tables, con
     assert not problems
     assert rows > 0
     assert folder_modes(of_others) == {"0o777"}
+
+
+def test_a_stores_files_can_be_written_over_by_another_user(tmp_path, monkeypatch):
+    monkeypatch.setattr("entityloom.sources.folder_store.TaskContext", Task)
+    tmp_path.chmod(0o777)
+    usual = os.umask(0o022)
+    store = FolderStore({"folder": str(tmp_path), "write": "0"})
+    store.put(pa.RecordBatch.from_pydict({"a": [1]}))
+    made = sorted(tmp_path.rglob("*"))
+    assert [oct(at.stat().st_mode & 0o777) for at in made] == ["0o777", "0o666"]
+    assert os.umask(usual) == 0o022
+
+
+class Task:
+    @classmethod
+    def get(cls):
+        return cls()
+
+    def partitionId(self):
+        return 0
