@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entityloom.sources.shared import write_options
+
 # The tokens an output directory may hold, and the part of the
 # time each one stands for.
 DATE_TOKENS = {
@@ -48,7 +50,6 @@ def write_by_date(df: DataFrame, directory: str, time_column: str) -> str:
     names = [name for name, _ in parts]
     if names:
         dated = dated.hint("rebalance", *names)
-    dated.write.mode("errorifexists").partitionBy(*names).json(
-        root, ignoreNullFields=False
-    )
+    writer = dated.write.options(**write_options(df.sparkSession, root))
+    writer.mode("errorifexists").partitionBy(*names).json(root, ignoreNullFields=False)
     return root

@@ -221,6 +221,7 @@ OF_OTHERS = [
     "entity_profile",
     "entity_sink",
     "external_store",
+    "files_by_date",
 ]
 
 
