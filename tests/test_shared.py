@@ -223,6 +223,7 @@ OF_OTHERS = [
     "external_store",
     "files_by_date",
     "run_exact_metrics",
+    "run_rejected",
 ]
 
 
