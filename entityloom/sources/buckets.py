@@ -23,6 +23,7 @@ from entityloom.functions.scalars import quoted
 from entityloom.operators.entities import KEY
 from entityloom.operators.normalise import ABSENT
 from entityloom.operators.upsert import upsert_entities
+from entityloom.sources.shared import write_options
 from entityloom.sources.tables import drop_landed, land
 
 BUCKETS = 1024
@@ -87,7 +88,8 @@ def _replace(rows: DataFrame, path: str, bucket: str) -> None:
     # One task a bucket or several, as its size asks: a large bucket is split at run time.
     (
         whole.hint("rebalance", F.col(bucket))
-        .write.mode("overwrite")
+        .write.options(**write_options(rows.sparkSession, path))
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(bucket)
         .parquet(path)

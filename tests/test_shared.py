@@ -224,6 +224,7 @@ OF_OTHERS = [
     "files_by_date",
     "run_exact_metrics",
     "run_rejected",
+    "upsert_buckets",
 ]
 
 
