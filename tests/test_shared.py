@@ -225,6 +225,7 @@ OF_OTHERS = [
     "run_exact_metrics",
     "run_rejected",
     "upsert_buckets",
+    "satellite_fanout",
 ]
 
 
