@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
@@ -16,6 +19,7 @@ from entityloom.sources.entity_rows import PUSHDOWN, ClientSource, ParquetClient
 from entityloom.sources.entity_store import StoreWriter, bounded, write_entities
 from entityloom.sources.folder_store import STORE, stored_rows
 from entityloom.sources.jdbc import land_tables
+from entityloom.sources.shipping import SHIPPED, ship
 from entityloom.sources.tables import ParquetTables
 from entityloom.sources.uris import open_folder
 from entityloom.plans.registry import SCHEMAS
@@ -215,3 +219,23 @@ def test_folders_as_spark_writes_them(tmp_path):
     for uri in (f"file:{tmp_path}", f"file://{tmp_path}", str(tmp_path)):
         files, path = open_folder(uri)
         assert path == str(tmp_path) and files.type_name == "local"
+
+
+def test_no_thread_goes_on_before_the_library_was_sent():
+    """The tables of a client are opened by several threads, each plans with what was sent by then."""
+    sending, sent = threading.Event(), []
+
+    def add(path):
+        sending.set()
+        time.sleep(0.5)
+        sent.append(path)
+
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app-of-threads", addPyFile=add))
+    first = threading.Thread(target=ship, args=[spark])
+    first.start()
+    assert sending.wait(10)
+    ship(spark)
+    seen = list(sent)
+    first.join()
+    SHIPPED.discard("app-of-threads")
+    assert len(seen) == 1 and sent == seen
